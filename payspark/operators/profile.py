@@ -348,10 +348,10 @@ def skill_cooccurrence(df: DataFrame, top: int = 20) -> DataFrame:
     items = df.select(skill_items(F.col("skills")).alias("items"))
     common = top_values(items.select(F.explode("items").alias("skill")), "skill", top)
     names = common.agg(F.sort_array(F.collect_list("skill"))).scalar()  # at most ``top`` names
-    counted = items.where(F.size("items") > 0).select(
+    counted = items.where(F.size("items") > 0).select("items", names.alias("top")).select(
         F.filter(
             F.transform(
-                names,
+                F.col("top"),
                 lambda s: F.struct(s.alias("s"), F.size(F.filter(F.col("items"), lambda x: x == s)).alias("c")),
             ),
             lambda t: t["c"] > 0,

@@ -65,13 +65,13 @@ SCRAPE_SQL = PAID + """, scrape AS (SELECT k1, k2, k3, k4, wage_from, collected_
 @check(
     "jsonl_records",
     SCRAPE_SQL + """ SELECT k1, k2, k3, k4, count(*) AS copies, min(position) AS position, min(job_url) AS job_url,
-      min(len(skills)) AS skills FROM scrape WHERE k4 % 7 NOT IN (0, 1) GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY k1, k2, k3, k4"),
+      min(len(skills)) AS skills FROM scrape WHERE k4 % 7 <> 1 AND k4 % 7 <> 0 GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY k1, k2, k3, k4"),
 )
 def _(spark, sf):
     df = scrape_records(spark, sf)
     line = F.to_json(F.struct("position", "job_url", "skills"))
     # one line in seven is cut off, one is blank
-    broken = F.when(F.col("k4") % 7 == 0, F.substring(line, 1, 30)).when(F.col("k4") % 7 == 1, "  ").otherwise(line)
+    broken = F.when(F.col("k4") % 7 == 0, F.substring(line, 1, 20)).when(F.col("k4") % 7 == 1, "  ").otherwise(line)
     lines = df.select("k1", "k2", "k3", "k4", broken.alias("line"))
     good = files.good_lines(files.parse_jsonl(lines, "line", "position string, job_url string, skills array<string>"))
     return good.groupBy("k1", "k2", "k3", "k4").agg(
@@ -163,12 +163,12 @@ def _(spark, sf):
 
 @check(
     "scraped_table_columns",
-    PAID + f" SELECT {K}, employer_name, job_title, round(wage_from, 4) AS wage_from, location_state AS worksite_location FROM paid",
+    PAID + f" SELECT {K}, employer_name, job_title, round(wage_from, 7) AS wage_from, location_state AS worksite_location FROM paid",
 )
 def _(spark, sf):
     raw = postings(spark, sf).select(
         *KEYS, F.col("employer_name").alias("EMPLOYER"), F.col("job_title").alias("JOB TITLE"),
-        F.round("wage_from", 4).alias("BASE SALARY"), F.col("location_state").alias("LOCATION"),
+        F.round("wage_from", 7).alias("BASE SALARY"), F.col("location_state").alias("LOCATION"),
     )
     return feeds.rename_scraped_columns(raw)
 
@@ -222,14 +222,14 @@ BOARD_SQL = PAID + f""", b AS (SELECT k1, k2, k3, k4, collected_at, CAST(k1 AS V
 
 @check(
     "flattened_postings",
-    BOARD_SQL + """ SELECT job_id, title, description, company, location, location_area, round(salary_min, 4) AS salary_min,
-      round(salary_max, 4) AS salary_max, salary_predicted, 'permanent' AS contract_type, 'IT Jobs' AS category,
+    BOARD_SQL + """ SELECT job_id, title, description, company, location, location_area, round(salary_min, 7) AS salary_min,
+      round(salary_max, 7) AS salary_max, salary_predicted, 'permanent' AS contract_type, 'IT Jobs' AS category,
       job_url AS redirect_url, wage_unit AS search_query, 'us' AS search_location FROM b""",
 )
 def _(spark, sf):
     flat = feeds.flatten_postings(board_postings(spark, sf), "posting", F.col("wage_unit"), F.lit("us"))
     return flat.drop("created", "contract_time").withColumns(
-        {c: F.round(c, 4) for c in ("salary_min", "salary_max")}
+        {c: F.round(c, 7) for c in ("salary_min", "salary_max")}
     )
 
 
@@ -243,7 +243,7 @@ def _area_case():
 @check(
     "job_board_table",
     BOARD_SQL + f""" SELECT job_id, round(CASE WHEN salary_min IS NULL THEN salary_max WHEN salary_max IS NULL THEN salary_min
-      ELSE (salary_min + salary_max) / 2 END, 4) AS salary_avg, CAST(year(received_date) AS INT) AS year,
+      ELSE (salary_min + salary_max) / 2 END, 7) AS salary_avg, CAST(year(received_date) AS INT) AS year,
       CAST(month(received_date) AS INT) AS month, {_area_case()} AS state,
       coalesce(contains(lower(location), 'remote'), false) AS is_remote,
       {ladder('title', rules.SENIORITY_LABELS, 'Mid-level', 'Unknown')} AS seniority FROM b""",
@@ -251,7 +251,7 @@ def _area_case():
 def _(spark, sf):
     df = job_board_table(board_postings(spark, sf), "posting", F.col("wage_unit"), F.lit("us"))
     return df.select(
-        "job_id", F.round("salary_avg", 4).alias("salary_avg"), "year", "month", "state", "is_remote", "seniority"
+        "job_id", F.round("salary_avg", 7).alias("salary_avg"), "year", "month", "state", "is_remote", "seniority"
     )
 
 
@@ -311,12 +311,12 @@ WAGE_SQL = "WITH w AS (SELECT CASE o_custkey % 7 " + " ".join(
 @check(
     "wage_series",
     WAGE_SQL + """SELECT series_id, soc_code, occupation, CAST(year AS INT) AS year, count(*) AS records,
-      round(sum(wage), 1) AS total FROM n GROUP BY 1, 2, 3, 4""",
+      round(sum(wage), 2) AS total FROM n GROUP BY 1, 2, 3, 4""",
 )
 def _(spark, sf):
     rows = feeds.flatten_wage_series(wage_payloads(spark, sf), "payload")
     return rows.groupBy("series_id", "soc_code", "occupation", "year").agg(
-        F.count(F.lit(1)).alias("records"), F.round(F.sum("mean_annual_wage"), 1).alias("total")
+        F.count(F.lit(1)).alias("records"), F.round(F.sum("mean_annual_wage"), 2).alias("total")
     )
 
 

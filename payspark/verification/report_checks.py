@@ -13,18 +13,18 @@ from .record_checks import SKILL_TABLE, SKILL_TEXT, TIER_SQL, wage_payloads  # n
 EDA = "annual_salary BETWEEN 30000 AND 1000000"
 
 
-def rounded(df, digits=2, keep=()):
+def rounded(df, digits=4, keep=()):
     kinds = dict(df.dtypes)
     return df.select(
         *[F.round(c, digits).alias(c) if kinds[c] == "double" and c not in keep else F.col(c) for c in df.columns]
     )
 
 
-def q(x, pct, name, digits=2):
+def q(x, pct, name, digits=4):
     return f"round(quantile_cont({x}, {pct}), {digits}) AS {name}"
 
 
-def moments(x, names=("mean", "std", "min", "max"), prefix="", digits=2):
+def moments(x, names=("mean", "std", "min", "max"), prefix="", digits=4):
     f = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max", "median": "median"}
     return ", ".join(f"round({f[n]}({x}), {digits}) AS {prefix}{n}" for n in names)
 
@@ -111,7 +111,7 @@ def _(spark, sf):
     PAID + f""", s AS (SELECT location_state, count(*) AS count, quantile_cont({A}, 0.5) AS median FROM paid
       WHERE {EDA} AND location_state IS NOT NULL GROUP BY 1 HAVING count(*) >= 20 ORDER BY 3 DESC, 1 LIMIT 15),
     c AS (SELECT *, (SELECT quantile_cont(median, 0.75) FROM s) AS t, (SELECT quantile_cont({A}, 0.5) FROM paid WHERE {EDA}) AS o FROM s)
-    SELECT location_state, count, round(median, 2) AS median, round(t, 2) AS tier1_threshold, round(o, 2) AS overall_median,
+    SELECT location_state, count, round(median, 4) AS median, round(t, 4) AS tier1_threshold, round(o, 4) AS overall_median,
       median >= t AS tier1, median > o AS above_overall FROM c""",
 )
 def _(spark, sf):
@@ -130,14 +130,11 @@ def _(spark, sf):
 @check(
     "salary_by_seniority",
     PAID + f""", b AS (SELECT seniority_level, count(*) AS count, quantile_cont({A}, 0.25) AS q25, quantile_cont({A}, 0.5) AS median,
-      quantile_cont({A}, 0.75) AS q75 FROM paid WHERE {EDA} AND seniority_level IS NOT NULL GROUP BY 1 HAVING count(*) >= 10)
-    SELECT seniority_level, count, round(q25, 2) AS q25, round(median, 2) AS median, round(q75, 2) AS q75,
-      round(min({A}), 2) AS whisker_low, round(max({A}), 2) AS whisker_high FROM paid JOIN b USING (seniority_level)
-    WHERE {EDA} AND {A} BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25) GROUP BY ALL""".replace(
-        "GROUP BY ALL", "GROUP BY 1, 2, q25, median, q75"
-    ).replace("round(q25, 2) AS q25, round(median, 2) AS median, round(q75, 2) AS q75",
-              "round(b.q25, 2) AS q25, round(b.median, 2) AS median, round(b.q75, 2) AS q75").replace(
-        "GROUP BY 1, 2, q25, median, q75", "GROUP BY seniority_level, count, b.q25, b.median, b.q75"),
+      quantile_cont({A}, 0.75) AS q75 FROM paid WHERE {EDA} AND seniority_level IS NOT NULL GROUP BY 1 HAVING count(*) >= 10),
+    w AS (SELECT seniority_level, min({A}) AS lo, max({A}) AS hi FROM paid JOIN b USING (seniority_level)
+      WHERE {EDA} AND {A} BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25) GROUP BY 1)
+    SELECT seniority_level, count, round(q25, 4) AS q25, round(median, 4) AS median, round(q75, 4) AS q75,
+      round(lo, 4) AS whisker_low, round(hi, 4) AS whisker_high FROM b JOIN w USING (seniority_level)""",
 )
 def _(spark, sf):
     return rounded(p.salary_by_seniority(paid(spark, sf)))
@@ -204,7 +201,7 @@ def _(spark, sf):
 
 @check(
     "table_profile",
-    PAID + f"SELECT count(*) AS records, 19 AS columns, count({A}) AS salary_count, "
+    PAID + f"SELECT count(*) AS records, 22 AS columns, count({A}) AS salary_count, "
     + moments(A, ("mean", "median", "std", "min", "max"), "salary_") + f", {q(A, 0.25, 'salary_q25')}, {q(A, 0.75, 'salary_q75')} FROM paid",
 )
 def _(spark, sf):
@@ -214,7 +211,7 @@ def _(spark, sf):
 def _describe_sql():
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count({c}) AS count, {moments(c, ('mean', 'std', 'min'))}, {q(c, 0.25, 'q25')}, "
-        f"{q(c, 0.5, 'median')}, {q(c, 0.75, 'q75')}, round(max({c}), 2) AS max FROM d"
+        f"{q(c, 0.5, 'median')}, {q(c, 0.75, 'q75')}, round(max({c}), 4) AS max FROM d"
         for c in ("annual_salary", "estimated_yoe", "year")
     )
 
@@ -299,8 +296,8 @@ def _(spark, sf):
     PAID + f""", b AS (SELECT count(*) AS n, quantile_cont({A}, 0.25) AS q1, quantile_cont({A}, 0.75) AS q3 FROM paid WHERE {EDA}),
     f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lb, q3 + 1.5 * (q3 - q1) AS ub FROM b),
     o AS (SELECT count(*) AS c FROM paid, f WHERE {EDA} AND ({A} < lb OR {A} > ub))
-    SELECT n, round(q1, 2) AS q1, round(q3, 2) AS q3, round(lb, 2) AS lower_bound, round(ub, 2) AS upper_bound, c AS outliers,
-      round(c * 100.0 / n, 2) AS outlier_pct FROM f, o""",
+    SELECT n, round(q1, 4) AS q1, round(q3, 4) AS q3, round(lb, 4) AS lower_bound, round(ub, 4) AS upper_bound, c AS outliers,
+      round(c * 100.0 / n, 4) AS outlier_pct FROM f, o""",
 )
 def _(spark, sf):
     return rounded(p.outlier_report(paid(spark, sf)))
@@ -309,7 +306,7 @@ def _(spark, sf):
 @check(
     "percentile_table",
     PAID + " UNION ALL ".join(
-        f"SELECT 'P{n}' AS percentile, round(quantile_cont({A}, {n / 100}), 2) AS value FROM paid WHERE {EDA}"
+        f"SELECT 'P{n}' AS percentile, round(quantile_cont({A}, {n / 100}), 4) AS value FROM paid WHERE {EDA}"
         for n in (10, 25, 50, 75, 90, 95, 99)
     ),
 )
@@ -348,7 +345,7 @@ SKILL_LONG = ", l AS (SELECT lower(trim(unnest(skills))) AS skill, annual_salary
 
 @check(
     "skill_frequency",
-    PAID + SKILL_LONG + f"""SELECT skill, count(*) AS count, round(coalesce(quantile_cont(CASE WHEN {EDA} THEN annual_salary END, 0.5), 0), 2) AS median_salary
+    PAID + SKILL_LONG + f"""SELECT skill, count(*) AS count, round(coalesce(quantile_cont(CASE WHEN {EDA} THEN annual_salary END, 0.5), 0), 4) AS median_salary
     FROM l GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30""",
 )
 def _(spark, sf):
@@ -364,7 +361,7 @@ def _(spark, sf):
     return rounded(p.best_paid_skills(paid(spark, sf)))
 
 
-REPEATED = "CASE WHEN k2 % 3 = 0 THEN list_concat(skills, ['sql', 'aws', 'sql']) ELSE skills END"
+REPEATED = "CASE WHEN k2 % 3 = 0 AND skills IS NOT NULL THEN list_concat(skills, ['sql', 'aws', 'sql']) ELSE skills END"
 
 
 @check(
@@ -435,7 +432,7 @@ AVAIL = {
     "feature_availability",
     PAID + " UNION ALL ".join(
         f"SELECT '{s}' AS source, '{f}' AS feature, "
-        + (f"round(count({AVAIL[s][f]}) * 100.0 / count(*), 4)" if f in AVAIL[s] else "CAST(NULL AS DOUBLE)")
+        + (f"round(count({AVAIL[s][f]}) * 100.0 / count(*), 4)" if f in AVAIL[s] else "max(CAST(NULL AS DOUBLE))")
         + f" AS completeness FROM paid WHERE data_source = '{s}'"
         for s in AVAIL for f in rules.KEY_FEATURES
     ),
