@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.words import flag, has_any
-from .broadcasts import one_row
+from .broadcasts import one_row, small_side
 from .features import skills_text
-from .ranking import ONE, distribution, ranked_values
+from .ranking import distribution
 
 SALARY = "annual_salary"
 EDA_LOW, EDA_HIGH = 30000.0, 1000000.0
@@ -106,16 +106,15 @@ def salary_by_title(df: DataFrame, min_rows: int = 20, top: int = 15, normalise:
 def salary_by_seniority(df: DataFrame, level: str = "seniority_level", min_rows: int = 10) -> DataFrame:
     """Box-plot numbers per level: quartiles and the extreme values inside the 1.5 IQR fences."""
     valid = valid_salaries(df, EDA_LOW, EDA_HIGH)
-    ranked = ranked_values(valid, [level], F.col(SALARY))
     boxes = distribution(valid, [level], F.col(SALARY), QUARTILES).where(F.col("n") >= min_rows)
+    boxes = small_side(boxes)
     spread = (F.col("q75") - F.col("q25")) * 1.5
-    v = F.col("__v")
     whiskers = (
-        ranked.select(level, "__v")
+        valid.select(level, SALARY)
         .join(boxes, level)
-        .where(v.between(F.col("q25") - spread, F.col("q75") + spread))
+        .where(F.col(SALARY).between(F.col("q25") - spread, F.col("q75") + spread))
         .groupBy(level)
-        .agg(F.min("__v").alias("whisker_low"), F.max("__v").alias("whisker_high"))
+        .agg(F.min(SALARY).alias("whisker_low"), F.max(SALARY).alias("whisker_high"))
     )
     return boxes.join(whiskers, level).select(
         level, F.col("n").alias("count"), "q25", "median", "q75", "whisker_low", "whisker_high"
@@ -178,12 +177,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double")]
 
 
-def numeric_describe(df: DataFrame, columns: list[str] | None = None, width: float = 1.0) -> DataFrame:
+def numeric_describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max of every numeric column, exact."""
     cols = columns or numeric_columns(df)
     pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])
     long = df.select(F.explode(pairs).alias("p")).select(F.col("p.k").alias("column_name"), F.col("p.v").alias("v"))
-    d = distribution(long, ["column_name"], F.col("v"), QUARTILES, ("mean", "std", "min", "max"), width)
+    d = distribution(long, ["column_name"], F.col("v"), QUARTILES, ("mean", "std", "min", "max"))
     return d.select("column_name", F.col("n").alias("count"), "mean", "std", "min", "q25", "median", "q75", "max")
 
 
@@ -202,7 +201,7 @@ def source_counts(df: DataFrame) -> DataFrame:
 def quality_by_source(df: DataFrame) -> DataFrame:
     """Mean, median and std of the quality score per source and overall (source "all")."""
     wide = df.select(F.explode(F.array("data_source", F.lit("all"))).alias("data_source"), "quality_score")
-    d = distribution(wide, ["data_source"], F.col("quality_score"), {"median": 0.5}, ("mean", "std"), width=2.0**-20)
+    d = distribution(wide, ["data_source"], F.col("quality_score"), {"median": 0.5}, ("mean", "std"))
     return d.select("data_source", F.col("n").alias("records"), "mean", "median", "std")
 
 

@@ -1,9 +1,11 @@
 """Exact order statistics without collecting a group into one task.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here values are first reduced to
-(group, value, count), map side first, then ranked inside narrow value buckets, and bucket offsets come from a
-running sum over bucket counts.  A window partition therefore holds either one bucket's distinct values or
-one group's bucket list, never a whole group.
+``percentile`` keeps every distinct value of a group in one buffer.  Here a first pass counts rows per value
+bucket, map side, and finds the buckets that hold the wanted ranks; a second pass keeps only the rows of those
+buckets and ranks their distinct values.  Neither pass moves more than bucket counts and a sliver of the rows.
+
+Buckets are logarithmic: their number depends on the spread of the values (8,192 per factor of e), not on the
+number of rows, so the running sum over a group's buckets stays small whatever the table size.
 """
 
 from __future__ import annotations
@@ -11,49 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .broadcasts import small_side
+from .broadcasts import local_copy, small_side
 
 ONE = "__all"
+BUCKETS_PER_E = 8192
+MAX_LOCAL_GROUPS = 10_000
 
 
-def value_counts(df: DataFrame, by: list[str], value: Column, width: float) -> DataFrame:
-    keys = [F.col(c) for c in by] or [F.lit(1).alias(ONE)]
-    counts = (
-        df.select(*keys, value.cast("double").alias("__v"))
-        .dropna(subset=[*by, "__v"])
-        .groupBy(*(by or [ONE]), "__v")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
-    return counts.withColumn("__b", F.floor(F.col("__v") / width))
-
-
-def ranked_values(df: DataFrame, by: list[str], value: Column, width: float = 1.0) -> DataFrame:
-    """Distinct values per group with ``__c`` (copies), ``__lo``/``__hi`` (first rank, rank after last), ``__n``."""
-    g = by or [ONE]
-    counts = value_counts(df, by, value, width)
-    before = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counts.groupBy(*g, "__b")
-        .agg(F.sum("__c").alias("__bc"))
-        .select(
-            *g,
-            "__b",
-            F.coalesce(F.sum("__bc").over(before), F.lit(0)).alias("__off"),
-            F.sum("__bc").over(Window.partitionBy(*g)).alias("__n"),
-        )
-    )
-    inside = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        counts.withColumn("__cum", F.sum("__c").over(inside))
-        .join(buckets, [*g, "__b"])
-        .withColumn("__hi", F.col("__off") + F.col("__cum"))
-        .withColumn("__lo", F.col("__hi") - F.col("__c"))
-    )
-
-
-def _at_rank(rank: Column) -> Column:
-    v = F.col("__v")
-    return F.max(F.when((F.col("__lo") <= rank) & (rank < F.col("__hi")), v))
+def bucket(v: Column) -> Column:
+    """Non-decreasing bucket number of a value."""
+    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * BUCKETS_PER_E)).cast("bigint")
 
 
 def distribution(
@@ -62,48 +31,105 @@ def distribution(
     value: Column,
     percentiles: dict[str, float],
     moments: tuple[str, ...] = (),
-    width: float = 1.0,
 ) -> DataFrame:
     """One row per group: ``n``, exact linearly interpolated percentiles and the asked-for moments.
 
-    ``moments`` may name mean, std (sample), min, max.  ``width`` is the bucket width: choose it so a group's
-    value range spans at most a few million buckets.
+    ``moments`` may name mean, std (sample), min, max.  The first pass runs here; its result, one row per group,
+    comes back when there are at most 10,000 groups and is broadcast to the second pass.  With more groups both
+    passes stay lazy and meet in a shuffle join over pre-counted values.
     """
-    ranked = ranked_values(df, by, value, width)
-    n, c, v = F.col("__n"), F.col("__c"), F.col("__v")
-    aggs = [F.max(n).alias("n")]
-    for name, p in percentiles.items():
-        pos = F.lit(float(p)) * (n - 1)
-        aggs += [_at_rank(F.floor(pos)).alias(f"__{name}_lo"), _at_rank(F.ceil(pos)).alias(f"__{name}_hi")]
-    if "mean" in moments or "std" in moments:
-        aggs.append(F.sum(v * c).alias("__s1"))
-    if "std" in moments:
-        aggs.append(F.sum(v * v * c).alias("__s2"))
-    aggs += [f(v).alias(k) for k, f in (("min", F.min), ("max", F.max)) if k in moments]
-
-    out = ranked.groupBy(*(by or [ONE])).agg(*aggs)
-    n = F.col("n")
-    cols = [F.col(c) for c in by] + [n]
-    if "mean" in moments:
-        cols.append((F.col("__s1") / n).alias("mean"))
-    if "std" in moments:
-        spread = F.greatest(F.col("__s2") - F.col("__s1") * F.col("__s1") / n, F.lit(0.0))
-        cols.append(F.when(n > 1, F.sqrt(spread / (n - 1))).alias("std"))
-    cols += [F.col(k) for k in ("min", "max") if k in moments]
+    g = by or [ONE]
+    keys = [F.col(c) for c in by] or [F.lit(1).alias(ONE)]
+    base = (
+        df.select(*keys, value.cast("double").alias("__v"))
+        .dropna(subset=[*by, "__v"])
+        .withColumn("__b", bucket(F.col("__v")))
+    )
+    groups = _locate(base, g, percentiles, moments)
+    local = local_copy(groups, MAX_LOCAL_GROUPS)
+    if local is not None:
+        groups = F.broadcast(local)
+        wanted = F.broadcast(_wanted_buckets(groups, g, percentiles))  # at most 2 per group and percentile
+        counted = base.join(wanted, [*g, "__b"]).groupBy(*g, "__b", "__off", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    else:
+        wanted = _wanted_buckets(groups, g, percentiles)
+        counted = base.groupBy(*g, "__b", "__v").agg(F.count(F.lit(1)).alias("__c")).join(wanted, [*g, "__b"])
+
+    inside = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("__hi", F.col("__off") + F.sum("__c").over(inside)).withColumn(
+        "__lo", F.col("__hi") - F.col("__c")
+    )
+    kept = [c for c in groups.columns if not c.startswith("__at_")]
+    picked = ranked.join(groups.select(*kept), g).groupBy(*kept).agg(*_values_at(percentiles))
+    out = [F.col(c) for c in by] + [F.col(c) for c in ("n", *moments)]
     for name, p in percentiles.items():
-        pos = F.lit(float(p)) * (n - 1)
+        pos = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*cols)
+        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return picked.select(*out)
+
+
+def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
+    """The two neighbouring 0-based ranks of each percentile, over ``n``."""
+    out = {}
+    for name, p in percentiles.items():
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        out[f"{name}_lo"], out[f"{name}_hi"] = F.floor(pos), F.ceil(pos)
+    return out
+
+
+def _locate(base: DataFrame, g: list[str], percentiles: dict[str, float], moments: tuple[str, ...]) -> DataFrame:
+    """Per group: size, moments and, per wanted rank, its bucket and the number of rows before that bucket."""
+    v = F.col("__v")
+    sums = {"__bc": F.count(F.lit(1)), "__s1": F.sum(v), "__s2": F.sum(v * v), "min": F.min(v), "max": F.max(v)}
+    need = {"__bc"}
+    for m in moments:
+        need |= {"mean": {"__s1"}, "std": {"__s1", "__s2"}}.get(m, {m})
+    before = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    heads = base.groupBy(*g, "__b").agg(*[a.alias(k) for k, a in sums.items() if k in need])
+    heads = heads.withColumns(
+        {
+            "__off": F.coalesce(F.sum("__bc").over(before), F.lit(0)),
+            "n": F.sum("__bc").over(Window.partitionBy(*g)),
+        }
+    )
+    n = F.max("n").cast("bigint")
+    s1, s2 = F.sum("__s1"), F.sum("__s2")
+    spread = F.greatest(s2 - s1 * s1 / n, F.lit(0.0))
+    made = {
+        "mean": s1 / n,
+        "std": F.when(n > 1, F.sqrt(spread / F.greatest(n - 1, F.lit(1)))),
+        "min": F.min("min"),
+        "max": F.max("max"),
+    }
+    place = F.struct(F.col("__b").alias("b"), F.col("__off").alias("off"))
+    at = [
+        F.max(F.when((F.col("__off") <= r) & (r < F.col("__off") + F.col("__bc")), place)).alias(f"__at_{k}")
+        for k, r in _ranks(percentiles).items()
+    ]
+    return heads.groupBy(*g).agg(n.alias("n"), *[made[m].alias(m) for m in moments], *at)
+
+
+def _wanted_buckets(groups: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
+    places = F.array_distinct(F.array(*[F.col(f"__at_{k}") for k in _ranks(percentiles)]))
+    return groups.select(*g, F.explode(places).alias("__p")).select(
+        *g, F.col("__p.b").alias("__b"), F.col("__p.off").alias("__off")
+    )
+
+
+def _values_at(percentiles: dict[str, float]) -> list[Column]:
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    return [F.max(F.when((lo <= r) & (r < hi), v)).alias(f"__{k}") for k, r in _ranks(percentiles).items()]
 
 
 def rank_thresholds(
     df: DataFrame, by: list[str], key: Column, ranks: dict[str, Column], bits: int = 60, head_bits: int = 20
 ) -> DataFrame:
-    """Per group, the key value at each asked-for 1-based rank (null for rank 0) and the group size ``n``.
+    """Per group, the key value at each asked-for 1-based rank; rank 0 gives null.
 
-    ``key`` is a non-negative bigint below 2**bits, evenly spread (a hash); ``ranks`` are columns over ``n``.
-    The first pass counts key heads map side; only keys under a head that holds a wanted rank are ranked.
+    ``key`` is a non-negative bigint below 2**bits, evenly spread (a hash); ``ranks`` are columns over the group
+    size ``n``.  The first pass counts key heads map side; only keys under a head that holds a wanted rank are
+    ranked in the second.
     """
     g = by or [ONE]
     keys = [F.col(c) for c in by] or [F.lit(1).alias(ONE)]
@@ -123,14 +149,14 @@ def rank_thresholds(
     )
     targets = (
         heads.select("*", wanted.alias("__w"))
-        .where(
-            (F.col("__w.rank") <= F.col("__cum")) & (F.col("__w.rank") > F.col("__cum") - F.col("__bc"))
+        .where((F.col("__w.rank") <= F.col("__cum")) & (F.col("__w.rank") > F.col("__cum") - F.col("__bc")))
+        .select(
+            *g, "__b", F.col("__w.name").alias("__name"),
+            (F.col("__w.rank") - F.col("__cum") + F.col("__bc")).alias("__r"),
         )
-        .select(*g, "__b", F.col("__w.name").alias("__name"),
-                (F.col("__w.rank") - F.col("__cum") + F.col("__bc")).alias("__r"))
     )
     inside = Window.partitionBy(*g, "__b", "__name").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
+    return (
         base.join(small_side(targets), [*g, "__b"])
         .groupBy(*g, "__b", "__name", "__r", "__k")
         .agg(F.count(F.lit(1)).alias("__kc"))
@@ -138,7 +164,5 @@ def rank_thresholds(
         .where((F.col("__kcum") >= F.col("__r")) & (F.col("__kcum") - F.col("__kc") < F.col("__r")))
         .groupBy(*g)
         .agg(*[F.max(F.when(F.col("__name") == k, F.col("__k"))).alias(k) for k in ranks])
+        .select(*by, *ranks)
     )
-    sizes = heads.groupBy(*g).agg(F.max("n").alias("n"))
-    out = sizes.join(found, g, "left")
-    return out.select(*by, "n", *ranks)

@@ -242,8 +242,8 @@ def _area_case():
 
 @check(
     "job_board_table",
-    BOARD_SQL + f""" SELECT job_id, round(CASE WHEN salary_min IS NULL THEN salary_max WHEN salary_max IS NULL THEN salary_min
-      ELSE (salary_min + salary_max) / 2 END, 7) AS salary_avg, CAST(year(received_date) AS INT) AS year,
+    BOARD_SQL + f""" SELECT job_id, CASE WHEN salary_min IS NULL THEN salary_max WHEN salary_max IS NULL THEN salary_min
+      ELSE (salary_min + salary_max) / 2 END AS salary_avg, CAST(year(received_date) AS INT) AS year,
       CAST(month(received_date) AS INT) AS month, {_area_case()} AS state,
       coalesce(contains(lower(location), 'remote'), false) AS is_remote,
       {ladder('title', rules.SENIORITY_LABELS, 'Mid-level', 'Unknown')} AS seniority FROM b""",
@@ -251,7 +251,7 @@ def _area_case():
 def _(spark, sf):
     df = job_board_table(board_postings(spark, sf), "posting", F.col("wage_unit"), F.lit("us"))
     return df.select(
-        "job_id", F.round("salary_avg", 7).alias("salary_avg"), "year", "month", "state", "is_remote", "seniority"
+        "job_id", "salary_avg", "year", "month", "state", "is_remote", "seniority"
     )
 
 
