@@ -26,12 +26,12 @@ def annualize_wage(wage: Column, unit: Column | None = None, week_first: bool =
         return w
     u = F.coalesce(F.lower(unit), F.lit(""))
     fortnight = u.contains("bi-week") | u.contains("biweek")
-    out = F.when(u.contains("hour"), w * HOURS_PER_YEAR)
+    periods = F.when(u.contains("hour"), HOURS_PER_YEAR)
     if week_first:
-        out = out.when(u.contains("week"), w * 52).when(fortnight, w * 26)
+        periods = periods.when(u.contains("week"), 52).when(fortnight, 26)
     else:
-        out = out.when(fortnight, w * 26).when(u.contains("week"), w * 52)
-    return out.when(u.contains("month"), w * 12).otherwise(w)
+        periods = periods.when(fortnight, 26).when(u.contains("week"), 52)
+    return w * periods.when(u.contains("month"), 12).otherwise(1)
 
 
 def parse_salary_text(text: Column) -> Column:

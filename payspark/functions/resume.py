@@ -33,6 +33,14 @@ def summary_text(lower: Column) -> Column:
     return F.substring(lower, 1, rules.SUMMARY_WINDOW)
 
 
+def any_pattern(patterns) -> str:
+    """One regex that hits where any of the word-bounded patterns does; the shared boundary is tested first.
+
+    Used as a gate: most texts hold none of the patterns, and then one scan replaces one per pattern.
+    """
+    return r"\b(?:" + "|".join(p.removeprefix(r"\b") for p in patterns) + ")"
+
+
 def title_scores(lower: Column) -> Column:
     """Array of (score, order, title) for the title patterns found in the text."""
     n = len(rules.TITLE_PATTERNS)
@@ -50,7 +58,8 @@ def title_scores(lower: Column) -> Column:
                 ),
             )
         )
-    return F.array_compact(F.array(*rows))
+    found = F.array_compact(F.array(*rows))
+    return F.when(lower.rlike(any_pattern(p for p, _ in rules.TITLE_PATTERNS)), found)
 
 
 def best_title(lower: Column) -> Column:
@@ -60,18 +69,20 @@ def best_title(lower: Column) -> Column:
 
 def resume_skills(lower: Column) -> Column:
     hits = [F.when(lower.rlike(p), F.lit(name)) for name, p in rules.SKILL_PATTERNS.items()]
-    return F.array_sort(F.array_compact(F.array(*hits)))
+    found = F.array_sort(F.array_compact(F.array(*hits)))
+    gate = lower.rlike(any_pattern(rules.SKILL_PATTERNS.values()))
+    return F.when(gate, found).otherwise(F.array().cast("array<string>"))
 
 
 def resume_location(lower: Column) -> Column:
     """Struct (state, confidence) of the first state pattern found, in table order."""
-    out = None
+    none = F.struct(F.lit(None).cast("string").alias("state"), F.lit(0.0).alias("confidence"))
+    out = F.when(~lower.rlike(any_pattern(rules.STATE_PATTERNS.values())), none)
     for state, pattern in rules.STATE_PATTERNS.items():
         at = F.regexp_instr(lower, F.lit(pattern)) - 1
         boost = F.when(at <= rules.MID_WINDOW, 1.5).otherwise(1.0)
-        hit = F.struct(F.lit(state).alias("state"), boost.alias("confidence"))
-        out = F.when(at >= 0, hit) if out is None else out.when(at >= 0, hit)
-    return out.otherwise(F.struct(F.lit(None).cast("string").alias("state"), F.lit(0.0).alias("confidence")))
+        out = out.when(at >= 0, F.struct(F.lit(state).alias("state"), boost.alias("confidence")))
+    return out.otherwise(none)
 
 
 def resume_years(lower: Column, title: Column) -> Column:
@@ -99,49 +110,45 @@ def resume_years(lower: Column, title: Column) -> Column:
     return out.when(text_hit, found(F.lit(rules.TEXT_YEARS), 0.4)).otherwise(default)
 
 
-def match_title(text: Column) -> Column:
-    """First title pattern found in the text."""
-    low = F.lower(text)
-    out = None
+def match_title(lower: Column) -> Column:
+    """First title pattern found in lower-case text."""
+    out = F
     for p, title in rules.TITLE_PATTERNS:
-        out = F.when(low.rlike(p), F.lit(title)) if out is None else out.when(low.rlike(p), F.lit(title))
+        out = out.when(lower.rlike(p), F.lit(title))
     return out
 
 
 def section_title(lines: Column) -> Column:
-    """Struct (title, confidence) from the lines that follow an experience heading, else from any short line."""
+    """Struct (title, confidence) from the lines that follow an experience heading, else from any short line.
+
+    The part of a line before a splitter such as " at " needs no test of its own: it ends at a word boundary, so
+    where it matches a pattern the whole line does too.
+    """
+    heading = alternation(rules.SECTION_MARKERS)
     window = F.slice(lines, 1, rules.SECTION_WINDOW_LINES)
-    near = any_title_line(window)
-    loose = F.array_compact(
-        F.transform(window, lambda x: F.when(F.length(x) <= rules.LOOSE_LINE_MAX, match_title(x)))
+    sized = F.transform(window, lambda x: F.struct(F.lower(x).alias("low"), F.length(x).alias("n")))
+    rows = F.transform(
+        sized,
+        lambda x: F.struct(
+            match_title(x["low"]).alias("title"), x["n"].alias("n"), x["low"].rlike(heading).alias("heading")
+        ),
     )
-    near_title, loose_title = F.get(near, F.lit(0)), F.get(loose, F.lit(0))
-    title = F.coalesce(near_title, loose_title)
-    conf = F.when(near_title.isNotNull(), 0.7).when(loose_title.isNotNull(), 0.5).otherwise(0.0)
-    return F.struct(title.alias("title"), conf.alias("confidence"))
 
+    def first(candidates, longest):
+        return F.get(F.filter(candidates, lambda x: x["title"].isNotNull() & (x["n"] <= longest)), F.lit(0))["title"]
 
-def any_title_line(window: Column) -> Column:
-    """Titles of the candidate lines below each heading line, in heading then line order."""
-    heading = alternation(rules.SECTION_MARKERS)
+    def pick(r):
+        below = F.transform(
+            r, lambda x, i: F.slice(r, i + 2, F.when(x["heading"], rules.SECTION_LOOKAHEAD).otherwise(0))
+        )
+        near, loose = first(F.flatten(below), rules.SECTION_LINE_MAX), first(r, rules.LOOSE_LINE_MAX)
+        return F.struct(
+            F.coalesce(near, loose).alias("title"),
+            F.when(near.isNotNull(), 0.7).when(loose.isNotNull(), 0.5).otherwise(0.0).alias("confidence"),
+        )
 
-    def candidate(line):
-        title = match_title(line)
-        parts = [
-            F.when(F.contains(line, F.lit(t)), match_title(F.substring_index(line, t, 1)))
-            for t in rules.TITLE_SPLITTERS
-        ]
-        return F.when(F.length(line) <= rules.SECTION_LINE_MAX, F.coalesce(title, *parts))
-
-    # titles per line once, then look them up per heading
-    titles = F.transform(window, candidate)
-    below = F.transform(
-        window,
-        lambda line, i: F.when(
-            F.lower(line).rlike(heading), F.slice(titles, i + 2, F.lit(rules.SECTION_LOOKAHEAD))
-        ).otherwise(F.array().cast("array<string>")),
-    )
-    return F.array_compact(F.flatten(below))
+    # one-element array: binds the per-line matches to a name, so they are computed once
+    return F.get(F.transform(F.array(rows), pick), F.lit(0))
 
 
 def skills_title(skills: Column) -> Column:
@@ -163,17 +170,18 @@ def parse_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add the parsed resume fields to a table of texts.
 
     A projection per dependency level keeps each regex set evaluated once and each generated method small.
+    Section titles (``section_title``) are not consulted: a line that matches a title pattern matches in the whole
+    text as well, where it scores at least 1 against the 0.7 of a section title.
     """
     text = F.col(text_col)
     keep = df.columns
-    step = df.select(*keep, clean_text(text).alias("_clean"), text_lines(text).alias("_lines"))
+    step = df.select(*keep, clean_text(text).alias("_clean"))
     step = step.withColumn("_lower", F.lower("_clean"))
     step = step.select(
         *keep, "_clean", "_lower",
         best_title(F.col("_lower")).alias("_scored"),
         resume_skills(F.col("_lower")).alias("skills"),
         resume_location(F.col("_lower")).alias("_loc"),
-        section_title(F.col("_lines")).alias("_section"),
     )
     step = step.withColumn("_hint", skills_title(F.col("skills")))
     step = step.withColumn("_title", _pick_title())
@@ -201,14 +209,13 @@ def parse_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _pick_title() -> Column:
-    """Pattern title, replaced by a section or skill title only when that one is more certain."""
-
-    def better(new, old):
-        take = new["title"].isNotNull() & (old["title"].isNull() | (new["confidence"] > old["confidence"]))
-        return F.when(take, new).otherwise(old)
-
+    """Pattern title, replaced by the title the skills suggest only when that one is more certain."""
+    hint = F.col("_hint")
     scored = F.struct(
         F.col("_scored.title").alias("title"),
         F.coalesce(F.col("_scored.score"), F.lit(0.0)).alias("confidence"),
     )
-    return better(F.col("_hint"), better(F.col("_section"), scored))
+    take = hint["title"].isNotNull() & (
+        scored["title"].isNull() | (hint["confidence"] > scored["confidence"])
+    )
+    return F.when(take, hint).otherwise(scored)

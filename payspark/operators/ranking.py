@@ -21,8 +21,12 @@ MAX_LOCAL_GROUPS = 10_000
 
 
 def bucket(v: Column) -> Column:
-    """Non-decreasing bucket number of a value."""
-    return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * BUCKETS_PER_E)).cast("bigint")
+    """Non-decreasing, roughly logarithmic bucket number of a value, never null.
+
+    A nullable bucket would make the planner test the whole value expression again before the join on it.
+    """
+    size = F.floor(F.log1p(F.abs(v)) * BUCKETS_PER_E)
+    return F.coalesce(F.when(v < 0, -size).otherwise(size), F.lit(0))
 
 
 def distribution(

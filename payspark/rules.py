@@ -338,7 +338,6 @@ TITLE_YEARS_HINTS = (
 TEXT_YEARS_WORDS = ("principal", "staff", "director", "vp")
 TEXT_YEARS = 8
 SECTION_MARKERS = ("experience", "work history", "professional experience", "employment")
-TITLE_SPLITTERS = (" - ", " – ", " — ", " | ", " @ ", " at ")
 SECTION_WINDOW_LINES = 80
 SECTION_LOOKAHEAD = 5
 SECTION_LINE_MAX = 120

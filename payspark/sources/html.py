@@ -37,7 +37,7 @@ def _open_tag(css_class: str, tag: str = r"[a-z][a-z0-9]*") -> str:
 def class_text(html: Column, css_class: str) -> Column:
     """Joined text of the elements with a class; such elements must not nest their own tag."""
     parts = F.regexp_extract_all(html, F.lit(_open_tag(css_class) + r"(.*?)</\1\s*>"), F.lit(2))
-    return plain(F.array_join(F.transform(parts, lambda p: F.regexp_replace(p, r"(?s)<[^>]*>", "")), ""))
+    return F.when(html.contains(css_class), plain(F.array_join(parts, ""))).otherwise("")
 
 
 def tag_attribute(html: Column, css_class: str, name: str) -> Column:

@@ -164,8 +164,8 @@ def _skill_sql():
     f"{PAID}, a AS (SELECT {K}, lower({DESCRIPTION}) AS d FROM paid) SELECT {K}, array_to_string({_skill_sql()}, ',') AS skills FROM a",
 )
 def _(spark, sf):
-    found = text.description_skills(F.expr(DESCRIPTION))
-    return postings(spark, sf).select(*KEYS, F.array_join(found, ",").alias("skills"))
+    df = postings(spark, sf).select(*KEYS, F.lower(F.expr(DESCRIPTION)).alias("d"))
+    return df.select(*KEYS, F.array_join(text.description_skills(F.col("d")), ",").alias("skills"))
 
 
 @check(
@@ -307,7 +307,8 @@ def _(spark, sf):
 @check("resume_skills", RESUME_SQL + f" SELECT {K}, array_to_string({_resume_skills_sql()}, ',') AS skills FROM b")
 def _(spark, sf):
     low = F.lower(resume.clean_text(F.col("text")))
-    return resumes(spark, sf).select(*KEYS, F.array_join(resume.resume_skills(low), ",").alias("skills"))
+    df = resumes(spark, sf).select(*KEYS, low.alias("low"))
+    return df.select(*KEYS, F.array_join(resume.resume_skills(F.col("low")), ",").alias("skills"))
 
 
 @check(
@@ -362,7 +363,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     low = F.lower(resume.clean_text(F.col("text")))
-    df = resumes(spark, sf).select(*KEYS, resume.resume_skills(low).alias("skills"))
+    df = resumes(spark, sf).select(*KEYS, low.alias("low"))
+    df = df.select(*KEYS, resume.resume_skills(F.col("low")).alias("skills"))
     return df.select(*KEYS, resume.skills_title(F.col("skills")).alias("h")).select(
         *KEYS, F.col("h.title").alias("title"), F.round("h.confidence", 4).alias("confidence")
     )
