@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
-from .words import blank
+from .words import bind, blank
 
 HOURS_PER_YEAR = 2080
 
@@ -51,11 +51,19 @@ def parse_salary_text(text: Column) -> Column:
         ),
         lambda x: x["n"].cast("double") * F.when(x["k"] == "k", 1000.0).otherwise(1.0),
     )
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-    yearly = mean * HOURS_PER_YEAR
-    usable = ~(blank(low) | low.isin("not specified", "none")) & (F.size(values) > 0)
-    unmarked = (mean < 300) & yearly.between(30000, 700000)
-    return F.when(usable, F.when(hourly | unmarked, yearly).otherwise(mean))
+    usable = ~(blank(low) | low.isin("not specified", "none"))
+
+    def yearly(x):
+        mean = F.try_divide(F.aggregate(x["v"], F.lit(0.0), lambda a, n: a + n), F.size(x["v"]))
+        return bind(
+            F.struct(mean.alias("m"), x["hourly"].alias("hourly")),
+            lambda y: F.when(
+                y["hourly"] | ((y["m"] < 300) & (y["m"] * HOURS_PER_YEAR).between(30000, 700000)),
+                y["m"] * HOURS_PER_YEAR,
+            ).otherwise(y["m"]),
+        )
+
+    return F.when(usable, bind(F.struct(values.alias("v"), hourly.alias("hourly")), yearly))
 
 
 def parse_experience_years(text: Column) -> Column:

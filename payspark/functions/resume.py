@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from .words import alternation
+from .words import alternation, bind
 
 # every whitespace character, also the non-ASCII ones
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
@@ -147,8 +147,7 @@ def section_title(lines: Column) -> Column:
             F.when(near.isNotNull(), 0.7).when(loose.isNotNull(), 0.5).otherwise(0.0).alias("confidence"),
         )
 
-    # one-element array: binds the per-line matches to a name, so they are computed once
-    return F.get(F.transform(F.array(rows), pick), F.lit(0))
+    return bind(rows, pick)
 
 
 def skills_title(skills: Column) -> Column:

@@ -41,3 +41,8 @@ def lookup(key: Column, mapping: dict, default=None) -> Column:
 def blank(text: Column) -> Column:
     """Null or empty string."""
     return F.coalesce(text == "", F.lit(True))
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
