@@ -14,9 +14,13 @@ def alternation(words: Iterable[str]) -> str:
     return "|".join(re.sub(r"([.+*?^$()\[\]{}|\\/-])", r"\\\1", w) for w in words)
 
 
+def hits(lower: Column, words: Iterable[str]) -> Column:
+    """True when the lower-case text contains one of the words, false for null text."""
+    return F.coalesce(lower.rlike(alternation(words)), F.lit(False))
+
+
 def has_any(text: Column, words: Iterable[str]) -> Column:
-    """True when lower(text) contains one of the words, false for null text."""
-    return F.coalesce(F.lower(text).rlike(alternation(words)), F.lit(False))
+    return hits(F.lower(text), words)
 
 
 def flag(cond: Column) -> Column:

@@ -8,14 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.words import first_label, flag, has_any, lookup
+from ..functions.words import first_label, flag, hits, lookup
 
 SKILL_FLAGS = [f"skill_{c}" for c in rules.SKILL_CATEGORIES]
 
 
+SKILL_WORDS = {f"skill_{c}": words for c, words in rules.SKILL_CATEGORIES.items()}
+
+
+def word_flags(lower: Column, table: dict) -> dict[str, Column]:
+    """0/1 per entry of a word table from lower-case text."""
+    return {name: flag(hits(lower, words)) for name, words in table.items()}
+
+
 def skill_flags(text: Column) -> dict[str, Column]:
     """0/1 per skill category from a text column."""
-    return {f"skill_{c}": flag(has_any(text, words)) for c, words in rules.SKILL_CATEGORIES.items()}
+    return word_flags(F.lower(text), SKILL_WORDS)
 
 
 def skills_text(skills: Column) -> Column:
@@ -24,11 +32,11 @@ def skills_text(skills: Column) -> Column:
 
 
 def skill_flags_from_array(skills: Column) -> dict[str, Column]:
-    return skill_flags(skills_text(skills))
+    return word_flags(skills_text(skills), SKILL_WORDS)
 
 
 def title_flags(title: Column) -> dict[str, Column]:
-    return {name: flag(has_any(title, words)) for name, words in rules.TITLE_FLAGS.items()}
+    return word_flags(F.lower(title), rules.TITLE_FLAGS)
 
 
 def title_years(flags: dict[str, Column]) -> Column:
@@ -40,7 +48,7 @@ def title_years(flags: dict[str, Column]) -> Column:
 
 
 def role_flags(title: Column) -> dict[str, Column]:
-    return {name: flag(has_any(title, words)) for name, words in rules.ROLE_FLAGS.items()}
+    return word_flags(F.lower(title), rules.ROLE_FLAGS)
 
 
 def company_tier(company: Column) -> Column:
@@ -113,16 +121,20 @@ def engineer_features(
     if date_col == "auto":
         date_col = first_dated_column(df)
 
+    # lower-case texts first: the many keyword tests below then share one copy of each
+    title, skill_text = F.col("__title"), F.col("__skill_text")
+    texts: dict[str, Column] = {}
     new: dict[str, Column] = {}
+    if title_col in have:
+        texts["__title"] = F.lower(title_col)
+        new.update(word_flags(title, rules.TITLE_FLAGS))
+        new.update(word_flags(title, rules.ROLE_FLAGS))
     if "skills" in have:
         is_array = dict(df.dtypes)["skills"].startswith("array")
-        text = skills_text(F.col("skills")) if is_array else F.lit(None).cast("string")
-        new.update(skill_flags(text))
+        texts["__skill_text"] = skills_text(F.col("skills")) if is_array else F.lit(None).cast("string")
+        new.update(word_flags(skill_text, SKILL_WORDS))
     elif title_col in have:
-        new.update(skill_flags(F.col(title_col)))
-    if title_col in have:
-        new.update(title_flags(F.col(title_col)))
-        new.update(role_flags(F.col(title_col)))
+        new.update(word_flags(title, SKILL_WORDS))
     if company_col in have:
         new["company_tier"] = company_tier(F.col(company_col))
     if state_col in have:
@@ -132,7 +144,9 @@ def engineer_features(
     dated = time_features(F.try_to_timestamp(F.col(date_col).cast("string"))) if date_col else {}
     keep = [c for c in df.columns if c not in dated]
     level1 = {k: v for k, v in new.items() if k not in have}
-    df = df.select(*keep, *[v.alias(k) for k, v in level1.items()], *[v.alias(k) for k, v in dated.items()])
+    df = df.withColumns(texts).select(
+        *keep, *[v.alias(k) for k, v in level1.items()], *[v.alias(k) for k, v in dated.items()]
+    )
 
     # second level: reads the flags of the first, so each keyword scan runs once
     level2: dict[str, Column] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.words import flag, has_any
+from ..functions.words import flag, hits
 from .broadcasts import one_row, small_side
 from .features import skills_text
 from .ranking import distribution
@@ -273,22 +273,23 @@ def percentile_table(df: DataFrame, low: float = EDA_LOW, high: float = EDA_HIGH
 # --- skills -----------------------------------------------------------------------------------------------
 
 
-def category_flags(df: DataFrame) -> dict[str, Column]:
-    """Per row and category: skills text matches, else the title does."""
-    out = {}
-    for name, words in rules.SKILL_CATEGORIES.items():
-        hit = has_any(F.col("job_title"), words)
-        if "skills" in df.columns:
-            hit = has_any(skills_text(F.col("skills")), words) | hit
-        out[name] = flag(hit)
-    return out
+def category_text(df: DataFrame) -> Column:
+    """Lower-case skills and title as one text; the line break keeps a keyword from spanning both."""
+    title = F.lower("job_title")
+    return F.concat_ws("\n", skills_text(F.col("skills")), title) if "skills" in df.columns else title
+
+
+def category_flags(text: Column) -> dict[str, Column]:
+    """Per category: the skills match, else the title does."""
+    return {name: flag(hits(text, words)) for name, words in rules.SKILL_CATEGORIES.items()}
 
 
 def skill_category_coverage(df: DataFrame) -> DataFrame:
     """Rows, share and median salary per skill category, and whether that beats the overall median."""
-    flags = category_flags(df)
-    cols = [SALARY]
-    flagged = df.select(*cols, *[v.alias(k) for k, v in flags.items()])
+    flags = category_flags(F.col("__text"))
+    flagged = df.select(SALARY, category_text(df).alias("__text")).select(
+        SALARY, *[v.alias(k) for k, v in flags.items()]
+    )
     counts = flagged.agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(k).alias(k) for k in flags])
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in flags])
     coverage = counts.select("__rows", F.explode(pairs).alias("p")).select(
@@ -309,8 +310,8 @@ def skill_category_coverage(df: DataFrame) -> DataFrame:
 
 def category_overlap(df: DataFrame) -> DataFrame:
     """Rows by number of matched skill categories."""
-    total = sum((v for v in category_flags(df).values()), F.lit(0))
-    return df.groupBy(total.alias("categories")).agg(F.count(F.lit(1)).alias("jobs"))
+    total = sum((v for v in category_flags(F.col("__text")).values()), F.lit(0))
+    return df.select(category_text(df).alias("__text")).groupBy(total.alias("categories")).agg(F.count(F.lit(1)).alias("jobs"))
 
 
 def skill_items(skills: Column) -> Column:

@@ -44,11 +44,10 @@ def distribution(
     """
     g = by or [ONE]
     keys = [F.col(c) for c in by] or [F.lit(1).alias(ONE)]
-    base = (
-        df.select(*keys, value.cast("double").alias("__v"))
-        .dropna(subset=[*by, "__v"])
-        .withColumn("__b", bucket(F.col("__v")))
-    )
+    base = df.select(*keys, value.cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    for c in by:
+        base = base.where(F.col(c).isNotNull())
+    base = base.withColumn("__b", bucket(F.col("__v")))
     groups = _locate(base, g, percentiles, moments)
     local = local_copy(groups, MAX_LOCAL_GROUPS)
     if local is not None:

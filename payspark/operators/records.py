@@ -97,7 +97,10 @@ def project_scrape_record(df: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def require_fields(df: DataFrame, fields=rules.REQUIRED_FIELDS) -> DataFrame:
-    return df.dropna(subset=[f for f in fields if f in df.columns])
+    for f in fields:
+        if f in df.columns:
+            df = df.where(F.col(f).isNotNull())  # plain tests reach the scan, ``dropna`` does not
+    return df
 
 
 def filter_salary_range(df, low=rules.SALARY_MIN, high=rules.SALARY_MAX, column="annual_salary") -> DataFrame:
