@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,23 +16,28 @@ def alternation(words: Iterable[str]) -> str:
 
 
 def hits(lower: Column, words: Iterable[str]) -> Column:
-    """True when the lower-case text contains one of the words, false for null text."""
-    return F.coalesce(lower.rlike(alternation(words)), F.lit(False))
+    """True when an already lower-case text column contains one of the words, false for null text.
+
+    Plain substring tests are several times cheaper than one regex, as long as the text is a stored column.
+    """
+    return F.coalesce(reduce(lambda a, b: a | b, [lower.contains(w) for w in words]), F.lit(False))
 
 
 def has_any(text: Column, words: Iterable[str]) -> Column:
-    return hits(F.lower(text), words)
+    """The same for any text expression: lower-cased once, then one regex."""
+    return F.coalesce(F.lower(text).rlike(alternation(words)), F.lit(False))
 
 
 def flag(cond: Column) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-def first_label(text: Column, rules, default: str, missing: str | None) -> Column:
-    """Label of the first rule whose words occur in text."""
+def first_label(text: Column, rules, default: str, missing: str | None, lower: bool = False) -> Column:
+    """Label of the first rule whose words occur in text; ``lower`` says the text is a lower-case column."""
+    test = hits if lower else has_any
     out = F.when(text.isNull(), F.lit(missing))
     for label, words in rules:
-        out = out.when(has_any(text, words), F.lit(label))
+        out = out.when(test(text, words), F.lit(label))
     return out.otherwise(F.lit(default))
 
 

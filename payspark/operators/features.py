@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.words import first_label, flag, hits, lookup
+from ..functions.words import first_label, flag, has_any, hits, lookup
 
 SKILL_FLAGS = [f"skill_{c}" for c in rules.SKILL_CATEGORIES]
 
@@ -16,14 +16,15 @@ SKILL_FLAGS = [f"skill_{c}" for c in rules.SKILL_CATEGORIES]
 SKILL_WORDS = {f"skill_{c}": words for c, words in rules.SKILL_CATEGORIES.items()}
 
 
-def word_flags(lower: Column, table: dict) -> dict[str, Column]:
-    """0/1 per entry of a word table from lower-case text."""
-    return {name: flag(hits(lower, words)) for name, words in table.items()}
+def word_flags(text: Column, table: dict, lower: bool = False) -> dict[str, Column]:
+    """0/1 per entry of a word table; ``lower`` says the text is a lower-case column."""
+    test = hits if lower else has_any
+    return {name: flag(test(text, words)) for name, words in table.items()}
 
 
 def skill_flags(text: Column) -> dict[str, Column]:
     """0/1 per skill category from a text column."""
-    return word_flags(F.lower(text), SKILL_WORDS)
+    return word_flags(text, SKILL_WORDS)
 
 
 def skills_text(skills: Column) -> Column:
@@ -36,7 +37,7 @@ def skill_flags_from_array(skills: Column) -> dict[str, Column]:
 
 
 def title_flags(title: Column) -> dict[str, Column]:
-    return word_flags(F.lower(title), rules.TITLE_FLAGS)
+    return word_flags(title, rules.TITLE_FLAGS)
 
 
 def title_years(flags: dict[str, Column]) -> Column:
@@ -48,11 +49,12 @@ def title_years(flags: dict[str, Column]) -> Column:
 
 
 def role_flags(title: Column) -> dict[str, Column]:
-    return word_flags(F.lower(title), rules.ROLE_FLAGS)
+    return word_flags(title, rules.ROLE_FLAGS)
 
 
-def company_tier(company: Column) -> Column:
-    return first_label(company, rules.COMPANY_TIERS.items(), "other", "unknown")
+def company_tier(company: Column, lower: bool = False) -> Column:
+    """Tier of the first word list that names the company."""
+    return first_label(company, rules.COMPANY_TIERS.items(), "other", "unknown", lower)
 
 
 def state_code(state: Column) -> Column:
@@ -127,16 +129,17 @@ def engineer_features(
     new: dict[str, Column] = {}
     if title_col in have:
         texts["__title"] = F.lower(title_col)
-        new.update(word_flags(title, rules.TITLE_FLAGS))
-        new.update(word_flags(title, rules.ROLE_FLAGS))
+        new.update(word_flags(title, rules.TITLE_FLAGS, lower=True))
+        new.update(word_flags(title, rules.ROLE_FLAGS, lower=True))
     if "skills" in have:
         is_array = dict(df.dtypes)["skills"].startswith("array")
         texts["__skill_text"] = skills_text(F.col("skills")) if is_array else F.lit(None).cast("string")
-        new.update(word_flags(skill_text, SKILL_WORDS))
+        new.update(word_flags(skill_text, SKILL_WORDS, lower=True))
     elif title_col in have:
-        new.update(word_flags(title, SKILL_WORDS))
+        new.update(word_flags(title, SKILL_WORDS, lower=True))
     if company_col in have:
-        new["company_tier"] = company_tier(F.col(company_col))
+        texts["__company"] = F.lower(company_col)
+        new["company_tier"] = company_tier(F.col("__company"), lower=True)
     if state_col in have:
         new["state_clean"] = state_code(F.col(state_col))
 

@@ -15,6 +15,8 @@ def build_session(app: str = "payspark", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide feature projections make methods the JVM refuses to compile; run those stage by operator instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
     )
     if master:
