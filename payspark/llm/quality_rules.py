@@ -222,7 +222,7 @@ def apply_cascade(
     picked = df.select(*[F.col(f"`{c}`") for c in columns], text_of(text).alias("__text"))
     schema = picked.drop("__text").schema
     for m in measures:
-        schema = schema.add(m, "bigint")
+        schema = schema.add(m, "long")
     for f in flags:
         schema = schema.add(f"{f}_failed", "boolean")
     schema = schema.add("kept", "boolean").add("failed_rule", "string")

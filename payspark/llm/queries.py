@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_groups
+from .packing import pack_documents
+from .quality_rules import BASE_MEASURES, apply_cascade
+from .sharding import shuffle_into_shards
+from .token_counts import saved_histogram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +35,51 @@ ORACLES["op6_exact_dedup"] = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
   sha256(t) AS text_sha256 FROM n WINDOW w AS (PARTITION BY t)"""
+
+
+@query
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    placed = shuffle_into_shards(documents(spark, sf), shards=8)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return saved_histogram(documents(spark, sf))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return apply_cascade(documents(spark, sf), measures=BASE_MEASURES, flags=("base",)).drop("failed_rule")
+
+
+ORACLES["op5_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT doc_id, i, list_slice(words, i, i + 7) AS g FROM w, unnest(range(1, greatest(len(words) - 6, 1))) t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest(range(0, 8)) t(k) GROUP BY doc_id),
+m AS (SELECT w.doc_id, text, lines, len(words) AS n_words, words,
+  coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered c USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed
+  OR 10 * n_symbols > n_words OR NOT (2 * n_words <= word_chars AND word_chars <= 20 * n_words)
+  OR 10 * n_dup_lines > 3 * len(lines)
+  OR length(regexp_replace(text, '[^A-Z]', '', 'g')) > length(regexp_replace(text, '[^a-z]', '', 'g'))
+  OR 5 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words
+  OR 5 * (len(string_split(text, '...')) - 1 + len(string_split(text, '…')) - 1) > n_words
+  OR 5 * (SELECT count(*) FROM unnest(range(2, len(words) + 1)) t(i) WHERE words[i] = words[i - 1]) > n_words
+  OR 5 * len(list_filter(words, x -> NOT regexp_matches(x, '[0-9A-Za-z]|[^\x00-\x7F]'))) > n_words) AS kept FROM b"""
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(documents(spark, sf))

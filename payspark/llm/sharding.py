@@ -68,7 +68,7 @@ def shuffle_into_shards(
     bucket = F.pmod(F.shiftright(key, 8), F.lit(buckets)).alias("__bucket")
     starts = running_start(df.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n")), "__bucket", "__n", "__start").drop("__n")
     schema = T.StructType([T.StructField(n, df.schema[n].dataType) for n in names])
-    schema = schema.add("shard", "int").add("slot", "bigint")
+    schema = schema.add("shard", "integer").add("slot", "long")
     run = _shuffle_bucket(shards, totals["n"], seed, arrow_schema(spark, schema))
     placed = (
         df.select(bucket, key.alias("__hash"), *[F.col(f"`{n}`").alias(f"__c{i}") for i, n in enumerate(names)])

@@ -10,7 +10,6 @@ table gives an empty histogram, and its quantiles are null; other columns are ig
 
 from __future__ import annotations
 
-import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,13 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage, text_of
-from .tokens import ChunkEncoder, vocabulary_path
+from .tokens import shared_encoder, vocabulary_path
 
 
 def _count_lengths(path: str, extra: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, found = ChunkEncoder(path, len), Counter()
+        encoder, found = shared_encoder(path, len), Counter()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 texts = batch.column(0).slice(i, 500).to_pylist()
