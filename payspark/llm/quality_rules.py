@@ -119,7 +119,7 @@ RULES = (
     Rule("base", base_failed),
     Rule("symbols", lambda d: 10 * d.n_symbols > d.n_words),
     Rule("word_length", lambda d: not 2 * d.n_words <= d.word_chars <= 20 * d.n_words),
-    Rule("duplicate_lines", lambda d: 10 * d.n_dup_lines > 3 * len(d.lines)),
+    Rule("duplicate_lines", lambda d: 2 * d.n_dup_lines > len(d.lines)),
     Rule("capitals", lambda d: d.n_capitals > d.n_small),
     Rule("exclamations", lambda d: 5 * d.text.count(b"!") > d.n_words),
     Rule("ellipses", lambda d: 5 * (d.text.count(b"...") + d.text.count("…".encode())) > d.n_words),

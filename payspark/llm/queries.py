@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality_classifier, secrets, toxicity
+from .common import UID, numbered
 from .exact_dedup import exact_groups
+from .near_dedup import near_groups
 from .packing import pack_documents
 from .quality_rules import BASE_MEASURES, apply_cascade
 from .sharding import shuffle_into_shards
@@ -60,26 +63,60 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["op5_quality_rules"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 g AS (SELECT doc_id, i, list_slice(words, i, i + 7) AS g FROM w, unnest(range(1, greatest(len(words) - 6, 1))) t(i)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest(range(0, 8)) t(k) GROUP BY doc_id),
 m AS (SELECT w.doc_id, text, lines, len(words) AS n_words, words,
-  coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS word_chars,
+  coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
   FROM w LEFT JOIN covered c USING (doc_id)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed
   OR 10 * n_symbols > n_words OR NOT (2 * n_words <= word_chars AND word_chars <= 20 * n_words)
-  OR 10 * n_dup_lines > 3 * len(lines)
+  OR 2 * n_dup_lines > len(lines)
   OR length(regexp_replace(text, '[^A-Z]', '', 'g')) > length(regexp_replace(text, '[^a-z]', '', 'g'))
   OR 5 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words
   OR 5 * (len(string_split(text, '...')) - 1 + len(string_split(text, '…')) - 1) > n_words
   OR 5 * (SELECT count(*) FROM unnest(range(2, len(words) + 1)) t(i) WHERE words[i] = words[i - 1]) > n_words
-  OR 5 * len(list_filter(words, x -> NOT regexp_matches(x, '[0-9A-Za-z]|[^\x00-\x7F]'))) > n_words) AS kept FROM b"""
+  OR 5 * len(list_filter(words, lambda x: NOT regexp_matches(x, '[0-9A-Za-z]|[^\x00-\x7F]'))) > n_words) AS kept FROM b"""
 
 
 @query
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(documents(spark, sf))
+
+
+def labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    shapes = quality_classifier.measured(documents(spark, sf), extra={"held_out": F.coalesce(held_out, F.lit(False))})
+    trusted = labels(spark, sf).where((F.col("quality") == 1) & ~held_out)
+    model = quality_classifier.fit(shapes.where(~F.col("held_out")), trusted)
+    return quality_classifier.score(shapes, model).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels(spark, sf)))
+    return scored.withColumns({"toxic": (F.col("grade") > 0).cast("int"), "kept": F.col("grade") == 0})
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_groups(documents(spark, sf)).select("doc_id", "class_id", "class_size", "kept")
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    rows = numbered(documents(spark, sf).select("doc_id", "text"), "secret-rows")
+    found = secrets.scan(rows).select(
+        UID, "start", F.length("token").cast("bigint").alias("length"), F.sha2("token", 256).alias("token_sha256"), "score", "is_secret"
+    )
+    return rows.select(UID, "doc_id").join(found, UID).drop(UID)
