@@ -2,12 +2,12 @@
 
 One weight vector is shared by all grades; ordered thresholds cut its score into severity grades:
 P(grade <= k) = sigmoid(threshold_k - w.x) with threshold_0 < threshold_1 < ...  The features of a text are the words it
-holds (lower case, present or not), so a few words count as much in a long text as in a short one.  ``fit`` learns from a bounded sample of labelled
+holds and the letter sequences in them (lower case, present or not), so a few words count as much in a long text as in a short one.  ``fit`` learns from a bounded sample of labelled
 rows (``max_rows`` per class, drawn by a hash of the id; class sizes are counted over all labels and undo the drawing
 in the loss); every document is scored whole.
 
 ``labels`` with a ``grade`` column (0 = harmless) are used as they are.  Labels that only say toxic or not are graded by how many
-different words typical of toxic rows a toxic row holds: one, two, three or more are grades 1, 2, 3.
+different words with a feature typical of toxic rows a toxic row holds: one, two, three or more are grades 1, 2, 3.
 
 Defined cases: null and empty texts hold no word and get the severity of the bare thresholds; rows with a null label or id teach nothing;
 labels of one kind only give a model without words that finds nothing toxic; repeated rows are scored each; an
@@ -28,16 +28,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_of
+from .common import stage, text_of
 from .exact_dedup import arrow_schema
+from .near_dedup import shingles
 
 MAX_ROWS = 4000
-MAX_WORDS = 4096
+MAX_FEATURES = 4096
 LETTERS = re.compile(r"[^\W\d_]+")
+GRAMS = (4, 5)
+CACHED_WORDS = 300_000
 
 
-def words_of(text: str) -> set[str]:
-    return set(LETTERS.findall(text.lower()))
+def features_of(word: str) -> set[str]:
+    """A word as ``<word>`` and its letter sequences of GRAMS lengths: invented forms of a stem share those."""
+    return {f"<{word}>", *(word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1))}
+
+
+class WordFeatures(dict):
+    """Word -> numbers of the known features it holds, found when first asked for."""
+
+    def __init__(self, number: dict[str, int]):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        found = self[word] = tuple(self.number[f] for f in features_of(word) & self.number.keys())
+        return found
+
+    def of_text(self, text: str) -> tuple[set[int], int]:
+        """The features of a text and how many of its different words hold one."""
+        held = [f for f in map(self.__getitem__, set(LETTERS.findall(text.lower()))) if f]
+        return set().union(*held), len(held)
 
 
 @dataclass
@@ -45,8 +68,10 @@ class OrdinalModel:
     weights: dict[str, float] = field(default_factory=dict)
     thresholds: tuple[float, ...] = (10.0, 11.0, 12.0)
 
-    def score(self, words: set[str]) -> float:
-        return sum(self.weights[w] for w in words & self.weights.keys())
+    def scorer(self):
+        """text -> w.x, with a cache of words."""
+        words, w = WordFeatures({f: i for i, f in enumerate(self.weights)}), list(self.weights.values())
+        return lambda text: sum(w[i] for i in words.of_text(text)[0])
 
     def at_least(self, score: float) -> list[float]:
         """P(grade >= 1), P(grade >= 2), ..."""
@@ -72,27 +97,52 @@ def draw_labelled(df: DataFrame, labels: DataFrame, label: str, text: str, id_co
     return texts.join(F.broadcast(drawn), "__id").select("__id", "__label", "__text"), sizes
 
 
-def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Label, text and the least shingle hash, which near copies mostly share."""
     for b in batches:
-        words = [sorted(words_of(t)) for t in b.column(1).to_pylist()]
-        yield pa.record_batch([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
-
-
-def typical_words(rows: list[tuple[int, list[str]]], max_words: int) -> dict[str, float]:
-    """z-score of each word's log odds between toxic (label > 0) and harmless rows, for words that tell them apart."""
-    n = Counter(label > 0 for label, _ in rows)
-    found = {True: Counter(), False: Counter()}
-    for label, words in rows:
-        found[label > 0].update(words)
-    scores = {}
-    for w in found[True].keys() | found[False].keys():
-        a, b = found[True][w], found[False][w]
-        if a + b >= 5 and n[True] and n[False]:
-            odds = math.log((a + 0.5) / (n[True] - a + 0.5)) - math.log((b + 0.5) / (n[False] - b + 0.5))
-            z = odds / math.sqrt(1 / (a + 0.5) + 1 / (n[True] - a + 0.5) + 1 / (b + 0.5) + 1 / (n[False] - b + 0.5))
-            if abs(z) >= 3.5:
-                scores[w] = z
-    return dict(sorted(scores.items(), key=lambda x: (-abs(x[1]), x[0]))[:max_words])
+        keys = [int(s[0][0]) - (1 << 63) if len((s := shingles(t))[0]) else 0 for t in b.column(1).to_pylist()]
+        yield pa.record_batch([b.column(0), b.column(1), pa.array(keys, pa.int64())], names=["label", "text", "key"])
+
+
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = {True: Counter(), False: Counter()}
+    for b in batches:
+        for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            counts[label > 0].update(set().union(*map(features_of, set(LETTERS.findall(text.lower())))))
+    for toxic, found in counts.items():
+        names, n = list(found), list(found.values())
+        for i in range(0, len(names), 50_000):
+            part = n[i : i + 50_000]
+            yield pa.record_batch([pa.array(names[i : i + 50_000]), pa.array(part if toxic else [0] * len(part), pa.int64()),
+                                   pa.array([0] * len(part) if toxic else part, pa.int64())], names=["feature", "a", "b"])
+
+
+def typical_features(sample: DataFrame, max_features: int) -> dict[str, float]:
+    """z-score of each feature's log odds between toxic and harmless rows, for the features that tell them apart best."""
+    n = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        return {}
+    found = sample.select("label", "text").mapInArrow(_count_features, "feature string, a bigint, b bigint")
+    found = found.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where("a + b >= 4")
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    c, d = n[True] + 1 - a, n[False] + 1 - b
+    z = (F.log(a / c) - F.log(b / d)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    rows = found.select("feature", z.alias("z")).where(F.abs("z") >= 3.0).orderBy(F.desc(F.abs("z")), "feature").limit(max_features).collect()
+    return {r["feature"]: r["z"] for r in rows}
+
+
+def _as_features(names: list[str], positive: set[int]):
+    """Per sample row its label, its features and how many of its words hold one typical of toxic rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordFeatures({f: i for i, f in enumerate(names)})
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            held = [sorted(words.of_text(t)[0]) for t in texts]
+            marked = [sum(not positive.isdisjoint(words[w]) for w in set(LETTERS.findall(t.lower()))) for t in texts]
+            yield pa.record_batch([b.column(0), pa.array(held, pa.list_(pa.int32())), pa.array(marked, pa.int64())], names=["label", "held", "marked"])
+
+    return run
 
 
 def fit_thresholds(
@@ -132,37 +182,37 @@ def fit_thresholds(
 
 def fit(
     df: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic",
-    max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS, seed: int = 5,
+    max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, seed: int = 5,
 ) -> OrdinalModel:
-    """The model; at most ``max_rows`` rows per class come to the driver, as sets of words."""
+    """The model; the feature numbers of at most ``max_rows`` rows per class come to the driver, near copies once."""
     graded = "grade" in labels.columns
     drawn, sizes = draw_labelled(df, labels, "grade" if graded else label, text, id_col, max_rows, seed)
-    made = drawn.select(F.col("__label").cast("bigint"), "__text").mapInArrow(_as_words, "label bigint, words array<string>").toArrow()
-    rows = list(zip(made.column("label").to_pylist(), made.column("words").to_pylist()))
-    z = typical_words(rows, max_words)
+    keyed = drawn.select(F.col("__label").cast("bigint"), "__text").mapInArrow(_with_key, "label bigint, text string, key bigint")
+    sample = stage(keyed.dropDuplicates(["label", "key"]), "labelled")
+    z = typical_features(sample, max_features)
     if not z:
         return OrdinalModel()
-    marks = {w for w, score in z.items() if score > 0}
-    if graded:
-        grades = np.array([g for g, _ in rows])
-    else:
-        grades = np.array([min(3, max(1, len(marks.intersection(words)))) if g else 0 for g, words in rows])
-    number = {w: i for i, w in enumerate(z)}
-    at = [(r, number[w]) for r, (_, words) in enumerate(rows) for w in words if w in number]
-    drawn_n = Counter(g for g, _ in rows)
-    weight = np.array([sizes[g] / drawn_n[g] for g, _ in rows])
-    r, c = (np.array(x, dtype=np.int64) for x in zip(*at))
-    levels = max(2, int(grades.max()) + 1)
-    w, theta = fit_thresholds(r, c, grades, weight, len(z), levels)
+    positive = {i for i, score in enumerate(z.values()) if score > 0}
+    made = sample.select("label", "text").mapInArrow(_as_features(list(z), positive), "label bigint, held array<int>, marked bigint").toArrow()
+    label_of, marked = made.column("label").to_numpy(), made.column("marked").to_numpy()
+    held = made.column("held").combine_chunks()
+    rows = np.repeat(np.arange(len(label_of)), np.diff(held.offsets.to_numpy()))
+    cols = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    grades = label_of if graded else np.where(label_of > 0, np.clip(marked, 1, 3), 0)
+    weight = np.ones(len(grades))
+    for g, n in sizes.items():
+        weight[label_of == g] = n / max(1, (label_of == g).sum())
+    w, theta = fit_thresholds(rows, cols, grades, weight, len(z), max(2, int(grades.max()) + 1))
     return OrdinalModel(dict(zip(z, w.tolist())), tuple(theta.tolist()))
 
 
 def _score(model: OrdinalModel, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_of = model.scorer()
         for b in batches:
             severity, grade, toxic = [], [], []
             for text in b.column(b.num_columns - 1).to_pylist():
-                p = model.at_least(model.score(words_of(text)))
+                p = model.at_least(score_of(text))
                 severity.append(sum(p))
                 grade.append(sum(x >= 0.5 for x in p))
                 toxic.append(p[0])
@@ -181,8 +231,9 @@ def score(df: DataFrame, model: OrdinalModel, text: str = "text", columns: tuple
 
 def _harmless(model: OrdinalModel, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_of = model.scorer()
         for b in batches:
-            keep = [model.at_least(model.score(words_of(t or "")))[0] < 0.5 for t in b.column(text_at).to_pylist()]
+            keep = [model.at_least(score_of(t or ""))[0] < 0.5 for t in b.column(text_at).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return run
