@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, secrets, toxicity
+from . import quality_classifier, secrets, sentencepieces, toxicity
 from .common import UID, numbered
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .quality_rules import BASE_MEASURES, apply_cascade
 from .sharding import shuffle_into_shards
 from .token_counts import saved_histogram
+from .tokens import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +121,9 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         UID, "start", F.length("token").cast("bigint").alias("length"), F.sha2("token", 256).alias("token_sha256"), "score", "is_secret"
     )
     return rows.select(UID, "doc_id").join(found, UID).drop(UID)
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    model = sentencepieces.load_model(vocabulary_path("piece_bpe_32k.model"))
+    return sentencepieces.encode(documents(spark, sf), model).withColumn("n_ids", F.size("ids").cast("bigint"))
