@@ -8,9 +8,10 @@ a chance of 1 - 3e-6.
 
 Documents of equal words are one node, so copies are never compared.  Candidates are checked exactly (probability Jaccard of the
 shingle counts) against hubs: in each band bucket every member meets the member with the least hash, not every other.
-Members that no hub has joined meet new hubs in further rounds, and as soon as the pairs left between different
-components are few against the rows, all of them are checked; so no link is lost, and no bucket is expanded into its pairs
-while hubs still join it up.
+As long as the pairs left between different components are few against the rows (eight per node), all of them that the
+signatures do not rule out are checked, and no link is lost.  Where they are more, members meet the hubs of finer buckets (two
+bands shared) in up to ``rounds`` further rounds first, so that no bucket is expanded into its pairs; a group that still has more
+pairs open after them keeps the components found (README, near-duplicates).
 
 Defined cases: null and empty texts are equal to each other and to nothing else; a text of fewer than five words is one
 shingle; words are what lies between white space, in lower case; of a group the row with the smallest id stays, null ids last,
@@ -36,6 +37,7 @@ from .exact_dedup import arrow_schema
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
+ROUNDS = 4
 CACHED_WORDS = 400_000
 MIX, STEP, ODD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
 
@@ -141,11 +143,14 @@ def _sign(bands: int, rows: int, schema: pa.Schema):
                     np.repeat(np.arange(len(made)), sizes), len(made), bands * rows,
                 )
                 keys = band_keys(signature, bands, rows).ravel()
+                marks = signature.ravel().astype(np.uint8).view(np.int8)
+                slots = pa.array(np.arange(0, len(marks) + 1, bands * rows), pa.int32())
                 offsets = pa.array(np.arange(0, len(keys) + 1, bands), pa.int32())
                 content = [xxhash.xxh3_128_digest(" ".join(t.lower().split())) for t in texts]
                 yield pa.record_batch(
                     [part.column(0), part.column(1), pa.array(content, pa.binary()),
-                     pa.ListArray.from_arrays(offsets, pa.array(keys), type=schema.field(3).type), pa.array(sizes, pa.int64())],
+                     pa.ListArray.from_arrays(offsets, pa.array(keys), type=schema.field(3).type), pa.array(sizes, pa.int64()),
+                     pa.ListArray.from_arrays(slots, pa.array(marks), type=schema.field(5).type)],
                     schema=schema)
 
     return run
@@ -167,7 +172,8 @@ def _verify(similarity: float):
 
 
 def near_groups(
-    df: DataFrame, text: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+    df: DataFrame, text: str = "text", id_col: str = "doc_id", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per row of ``df``: ``__uid``, the id, class_id (id of the row that stays), class_size, kept."""
     if UID not in df.columns:
@@ -177,6 +183,7 @@ def near_groups(
     schema = T.StructType([
         T.StructField(UID, T.LongType()), T.StructField("__id", id_type), T.StructField("__content", T.BinaryType()),
         T.StructField("__bands", T.ArrayType(T.LongType())), T.StructField("__size", T.LongType()),
+        T.StructField("__marks", T.ArrayType(T.ByteType())),
     ])
     signed = stage(docs.mapInArrow(_sign(bands, rows, arrow_schema(spark, schema)), schema), "signatures")
     best = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col(UID).alias("uid")))
@@ -185,11 +192,11 @@ def near_groups(
     found = signed.where("__size > 0").join(singles, UID, "left_semi").select(F.col(UID).alias("node"), F.explode("__bands").alias("band"))
     found = stage(found, "bands")
     shared = found.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    buckets = stage(found.join(shared, "band"), "buckets")
+    buckets = stage(found.join(shared, "band").withColumn("comp", F.col("node")), "buckets")
     texts = stage(
         docs.join(buckets.select(F.col("node").alias(UID)).distinct(), UID, "left_semi").select(F.col(UID).alias("node"), "__text"), "texts"
     )
-    comps = _join_buckets(buckets, texts, similarity, max(100_000, 4 * nodes.count()))
+    comps = _join_buckets(buckets, signed, texts, similarity, max(100_000, 8 * nodes.count()), bands, rounds)
     node = F.col("__best.uid")
     comp = comps.select(F.col("node").alias("__node"), "comp")
     placed = nodes.join(comp, node == F.col("__node"), "left").select(
@@ -202,18 +209,22 @@ def near_groups(
     )
 
 
-def _join_buckets(buckets: DataFrame, texts: DataFrame, similarity: float, few: int) -> DataFrame:
+def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int) -> DataFrame:
     """Components of the nodes that share a band and are similar: ``node``, ``comp``."""
-    edges, tested, current, salt = None, None, buckets, 0
-    while True:
-        if salt == 0 or not last:
-            # four hubs take turns over the bands, so that members whom one hub misses mostly meet another at once
-            turn = F.xxhash64(F.lit(salt), F.pmod("band", F.lit(4)), "node")
-            hubs = current.groupBy("band").agg(F.min(F.struct(turn.alias("h"), F.col("node").alias("hub"))).alias("__h"))
-            met = current.join(hubs.select("band", F.col("__h.hub").alias("hub")), "band").where("node != hub")
+    edges, tested, comps = None, None, None
+    for turn in range(rounds + 2):
+        if turn == 0:
+            met = _with_hubs(buckets, turn)
         else:
-            other = current.select("band", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-            met = current.join(other, "band").where("comp < hub_comp")
+            left, opened = _open_buckets(buckets, comps)
+            if not left:
+                break
+            if left <= few:
+                met = _shortlist(_across(opened), signed, similarity)
+            elif turn <= rounds:
+                met = _with_hubs(_refined(opened, signed, bands, turn), turn)
+            else:
+                break
         pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -222,18 +233,56 @@ def _join_buckets(buckets: DataFrame, texts: DataFrame, similarity: float, few:
         linked = stage(verified(pairs, texts, similarity), "links")
         edges = linked if edges is None else edges.unionByName(linked)
         comps = components(edges)
-        if salt and last:
-            return comps
-        named = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        sizes = named.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
-            F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("parts")
-        )
-        open_bands = sizes.where("parts > 1")
-        current = stage(named.join(open_bands.select("band"), "band"), "open")
-        left = open_bands.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
-        if not left:
-            return comps
-        last, salt = left <= few, salt + 1
+        if turn and left <= few:
+            break
+    return comps
+
+
+def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
+    """Each member of a bucket with the bucket's hub, where they are not joined yet.
+
+    Four hubs take turns over the bands, so that members whom one misses mostly meet another at once.
+    """
+    order = F.xxhash64(F.lit(turn), F.pmod("band", F.lit(4)), "node")
+    hubs = buckets.groupBy("band").agg(F.min(F.struct(order.alias("h"), "node", "comp")).alias("__h"))
+    hubs = hubs.select("band", F.col("__h.node").alias("hub"), F.col("__h.comp").alias("hub_comp"))
+    return buckets.join(hubs, "band").where("node != hub AND comp != hub_comp")
+
+
+def _open_buckets(buckets: DataFrame, comps: DataFrame) -> tuple[int, DataFrame]:
+    """How many pairs between different components share a band, and the buckets that hold them."""
+    named = buckets.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sizes = named.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("parts")
+    )
+    sizes = stage(sizes.where("parts > 1"), "open-bands")
+    left = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
+    return int(left), stage(named.join(sizes.select("band"), "band"), "open")
+
+
+def _refined(opened: DataFrame, signed: DataFrame, bands: int, turn: int) -> DataFrame:
+    """The nodes of open buckets in finer buckets: those that share two bands, ``turn`` apart."""
+    nodes = opened.select("node", "comp").distinct().join(signed.select(F.col(UID).alias("node"), "__bands"), "node")
+    keys = F.transform(
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda i: F.xxhash64(F.element_at("__bands", i + 1), F.element_at("__bands", (i + turn) % bands + 1)),
+    )
+    fine = stage(nodes.select("node", "comp", F.explode(keys).alias("band")), "refined")
+    return fine.join(fine.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "band")
+
+
+def _across(opened: DataFrame) -> DataFrame:
+    other = opened.select("band", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+    return opened.join(other, "band").where("comp < hub_comp").select("node", "hub").distinct()
+
+
+def _shortlist(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose signatures agree in as many slots as five standard deviations below the asked-for similarity."""
+    marks = signed.select(F.col(UID).alias("node"), F.col("__marks").alias("m"))
+    other = marks.select(F.col("node").alias("hub"), F.col("m").alias("n"))
+    agree = F.size(F.filter(F.zip_with("m", "n", lambda x, y: x == y), lambda same: same))
+    low = F.lit(similarity) - 5 * F.sqrt(F.lit(similarity * (1 - similarity)) / F.size("m"))
+    return pairs.join(marks, "node").join(other, "hub").where(agree >= low * F.size("m"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
