@@ -6,18 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from .words import alternation, bind
+from .words import SPACE, alternation, bind, strip
 
-# every whitespace character, also the non-ASCII ones
-SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
 
-
-def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}|{SPACE}$", "")
-
-
 def clean_text(text: Column) -> Column:
     """Whitespace runs collapsed to one space, ends trimmed; null becomes empty."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))

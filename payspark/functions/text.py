@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import rules
-from .words import alternation, blank, first_label, has_any, lookup
-
-# the Arrow function travels with the job, so executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from .words import alternation, blank, first_label, has_any, lookup, strip
 
 
 def state_from_city(location: Column) -> Column:
     """Two-letter state after the last comma of "City, ST"."""
     parts = F.split(location, ",")
-    last = F.trim(F.element_at(parts, -1))
+    last = strip(F.element_at(parts, -1))
     return F.when((F.size(parts) >= 2) & (F.length(last) == 2), F.upper(last))
 
 
@@ -47,7 +39,7 @@ def is_remote(title: Column, location: Column) -> Column:
 
 def clean_state(state: Column) -> Column:
     """Upper-case, trim, and shorten the full names that have a code."""
-    s = F.trim(F.upper(state))
+    s = strip(F.upper(state))
     return F.coalesce(lookup(s, rules.STATE_NAMES), s)
 
 
@@ -59,19 +51,6 @@ def similarity_levenshtein(a: Column, b: Column) -> Column:
     return F.coalesce(score, F.lit(0.0))
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Case-insensitive matching-blocks ratio, 0 for nulls (no built-in computes it; Arrow batches)."""
-    from difflib import SequenceMatcher
-
-    return pd.Series(
-        [
-            0.0 if x is None or y is None else SequenceMatcher(None, x.lower(), y.lower()).ratio()
-            for x, y in zip(a, b)
-        ]
-    )
-
-
 def description_skills(text: Column) -> Column:
     """Listed skills found as whole words, in list order; "c++" needs no word after it."""
     low = F.lower(text)

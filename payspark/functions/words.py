@@ -9,6 +9,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# every whitespace character, also the non-ASCII ones
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+
+
+def strip(text: Column) -> Column:
+    """``text`` without white space of any kind at either end."""
+    return F.regexp_replace(text, rf"^{SPACE}|{SPACE}$", "")
+
+
 
 def alternation(words: Iterable[str]) -> str:
     """One regex that matches any of the literal words; one scan of the text instead of one per word."""

@@ -1,4 +1,4 @@
-"""Broadcast only what has been looked at."""
+"""A one-row table as a value."""
 
 from __future__ import annotations
 
@@ -6,25 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def local_copy(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
-
-    One bounded look: never more than ``max_rows + 1`` rows reach the driver.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    return None if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A broadcast copy of ``df`` when it has at most ``max_rows`` rows, else ``df`` itself.
-
-    Beyond the bound the caller's join is an ordinary shuffle join, whose skewed partitions adaptive execution
-    splits.
-    """
-    local = local_copy(df, max_rows)
-    return df if local is None else F.broadcast(local)
-
-
 def one_row(df: DataFrame) -> Column:
     """The single row of ``df`` as a struct scalar subquery; null when ``df`` is empty."""
     return df.select(F.struct(*df.columns).alias("row")).scalar()

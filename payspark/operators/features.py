@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.words import first_label, flag, has_any, hits, lookup
+from ..functions.words import first_label, flag, has_any, hits, lookup, strip
 
 SKILL_FLAGS = [f"skill_{c}" for c in rules.SKILL_CATEGORIES]
 
@@ -58,7 +58,7 @@ def company_tier(company: Column, lower: bool = False) -> Column:
 
 
 def state_code(state: Column) -> Column:
-    return F.substring(F.trim(F.upper(state)), 1, 2)
+    return F.substring(strip(F.upper(state)), 1, 2)
 
 
 def location_features(state: Column) -> dict[str, Column]:
@@ -176,26 +176,29 @@ def encode_features(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def label_encoder(columns: list[str]):
-    """Alphabetical codes for other categorical columns; null and unseen values share the "unknown" label.
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """``label``, ``code``: alphabetical numbers of the distinct labels of ``column``, null counting as "unknown".
 
-    Returns an unfitted ``Pipeline``; the fitted one keeps only the distinct labels.
+    Labels are numbered inside groups of equal first letters and the groups follow one another, so that no window holds all
+    labels and none of them comes to the driver.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import SQLTransformer, StringIndexer
-
-    filled = ", ".join(f"coalesce(cast({c} as string), 'unknown') AS {c}_label" for c in columns)
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-            StringIndexer(
-                inputCols=[f"{c}_label" for c in columns],
-                outputCols=[f"{c}_encoded" for c in columns],
-                stringOrderType="alphabetAsc",
-                handleInvalid="keep",
-            ),
-        ]
-    )
+    labels = df.select(_label(column).alias("label")).distinct().withColumn("__head", F.substring("label", 1, 2))
+    before = Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = labels.groupBy("__head").agg(F.count(F.lit(1)).alias("__n"))
+    heads = heads.select("__head", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy("__head").orderBy("label"))
+    return labels.join(heads, "__head").select("label", (F.col("__start") + inside - 1).cast("double").alias("code"))
+
+
+def encode_labels(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``<column>_encoded``; a label that ``codes`` does not hold gets the code of "unknown", or -1 without one."""
+    unknown = codes.where(F.col("label") == "unknown").select("code").scalar()
+    met = df.withColumn("__label", _label(column)).join(codes.withColumnRenamed("label", "__label"), "__label", "left")
+    return met.select(*df.columns, F.coalesce("code", unknown, F.lit(-1.0)).alias(f"{column}_encoded"))
+
+
+def _label(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("unknown"))
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -241,7 +244,7 @@ def _number(df: DataFrame, name: str) -> Column:
 
 def apply_user_skills(df: DataFrame, skills_col: str) -> DataFrame:
     """Set a skill flag to 1 where a given skill contains the category name or the name contains the skill."""
-    low = F.transform(F.col(skills_col), lambda s: F.trim(F.lower(s)))
+    low = F.transform(F.col(skills_col), lambda s: strip(F.lower(s)))
     updates = {}
     for c in [c for c in df.columns if c.startswith("skill_")]:
         name = F.lit(c.removeprefix("skill_").replace("_", " "))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.words import flag, hits
-from .broadcasts import one_row, small_side
+from ..functions.words import flag, hits, strip
+from .broadcasts import one_row
 from .features import skills_text
 from .ranking import distribution
 
@@ -99,7 +99,7 @@ def salary_by_wage_level(df: DataFrame, level: str = "wage_level") -> DataFrame:
 def salary_by_title(df: DataFrame, min_rows: int = 20, top: int = 15, normalise: bool = False) -> DataFrame:
     """Best-paid titles; ``normalise`` lower-cases and trims titles first."""
     if normalise:
-        df = df.withColumn("job_title", F.trim(F.lower("job_title")))
+        df = df.withColumn("job_title", strip(F.lower("job_title")))
     return group_medians(df, "job_title", min_rows, top, ("mean",))
 
 
@@ -107,7 +107,6 @@ def salary_by_seniority(df: DataFrame, level: str = "seniority_level", min_rows:
     """Box-plot numbers per level: quartiles and the extreme values inside the 1.5 IQR fences."""
     valid = valid_salaries(df, EDA_LOW, EDA_HIGH)
     boxes = distribution(valid, [level], F.col(SALARY), QUARTILES).where(F.col("n") >= min_rows)
-    boxes = small_side(boxes)
     spread = (F.col("q75") - F.col("q25")) * 1.5
     whiskers = (
         valid.select(level, SALARY)
@@ -316,7 +315,7 @@ def category_overlap(df: DataFrame) -> DataFrame:
 
 def skill_items(skills: Column) -> Column:
     """Lower-case trimmed non-empty items, repeats kept."""
-    items = F.transform(skills, lambda s: F.trim(F.lower(s)))
+    items = F.transform(skills, lambda s: strip(F.lower(s)))
     return F.filter(items, lambda s: s != "")
 
 

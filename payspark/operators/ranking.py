@@ -1,23 +1,21 @@
-"""Exact order statistics without collecting a group into one task.
+"""Exact order statistics without collecting a group into one task, as one lazy plan.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here a first pass counts rows per value
-bucket, map side, and finds the buckets that hold the wanted ranks; a second pass keeps only the rows of those
-buckets and ranks their distinct values.  Neither pass moves more than bucket counts and a sliver of the rows.
-
-Buckets are logarithmic: their number depends on the spread of the values (8,192 per factor of e), not on the
-number of rows, so the running sum over a group's buckets stays small whatever the table size.
+Values are counted first, map side.  The counts are summed per logarithmic bucket, the buckets that hold the wanted ranks
+are cut into 4,096 equal parts between the least and greatest value they hold, and only the values of the wanted parts are
+ranked.  So neither a wide range nor values that lie close together bring many rows into one window: a window holds the
+buckets of a group, the parts of a bucket or the distinct values of a part.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .broadcasts import local_copy, small_side
-
 ONE = "__all"
 BUCKETS_PER_E = 8192
-MAX_LOCAL_GROUPS = 10_000
+PARTS = 4096
 
 
 def bucket(v: Column) -> Column:
@@ -29,47 +27,48 @@ def bucket(v: Column) -> Column:
     return F.coalesce(F.when(v < 0, -size).otherwise(size), F.lit(0))
 
 
+def join_groups(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which null keys match; the columns of ``on`` come once, from the left."""
+    other = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+    met = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
+    return left.join(other, met, how).drop(*[f"__r_{c}" for c in on])
+
+
 def distribution(
     df: DataFrame,
     by: list[str],
     value: Column,
     percentiles: dict[str, float],
     moments: tuple[str, ...] = (),
+    null_group: bool = False,
 ) -> DataFrame:
     """One row per group: ``n``, exact linearly interpolated percentiles and the asked-for moments.
 
-    ``moments`` may name mean, std (sample), min, max.  The first pass runs here; its result, one row per group,
-    comes back when there are at most 10,000 groups and is broadcast to the second pass.  With more groups both
-    passes stay lazy and meet in a shuffle join over pre-counted values.
+    ``moments`` may name mean, std (sample), min, max.  NaN counts as missing.  Rows with a null key are left out
+    unless ``null_group`` makes them groups of their own.  No job runs before the result is used.
     """
     g = by or [ONE]
+    v = value.cast("double")
     keys = [F.col(c) for c in by] or [F.lit(1).alias(ONE)]
-    base = df.select(*keys, value.cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    for c in by:
-        base = base.where(F.col(c).isNotNull())
-    base = base.withColumn("__b", bucket(F.col("__v")))
-    groups = _locate(base, g, percentiles, moments)
-    local = local_copy(groups, MAX_LOCAL_GROUPS)
-    if local is not None:
-        groups = F.broadcast(local)
-        wanted = F.broadcast(_wanted_buckets(groups, g, percentiles))  # at most 2 per group and percentile
-        counted = base.join(wanted, [*g, "__b"]).groupBy(*g, "__b", "__off", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    else:
-        wanted = _wanted_buckets(groups, g, percentiles)
-        counted = base.groupBy(*g, "__b", "__v").agg(F.count(F.lit(1)).alias("__c")).join(wanted, [*g, "__b"])
-
-    inside = Window.partitionBy(*g, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("__hi", F.col("__off") + F.sum("__c").over(inside)).withColumn(
-        "__lo", F.col("__hi") - F.col("__c")
-    )
-    kept = [c for c in groups.columns if not c.startswith("__at_")]
-    picked = ranked.join(groups.select(*kept), g).groupBy(*kept).agg(*_values_at(percentiles))
-    out = [F.col(c) for c in by] + [F.col(c) for c in ("n", *moments)]
+    base = df.select(*keys, F.when(~F.isnan(v), v).alias("__v")).where(F.col("__v").isNotNull())
+    if not by:  # a key that the planner cannot fold away, so that joins on it stay joins on a key
+        base = base.withColumn(ONE, F.col("__v").isNull().cast("int"))
+    if not null_group:
+        for c in by:
+            base = base.where(F.col(c).isNotNull())
+    counted = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", bucket(F.col("__v")))
+    groups = _locate(counted, g, percentiles)
+    out = groups.select(*g, "n", "min", "max")
+    if {"mean", "std"} & {*moments}:  # Spark's deviation keeps the mean and the squares around it, so a large offset costs no digits
+        out = join_groups(out, base.groupBy(*g).agg(F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("std")), g)
+    if percentiles:
+        out = join_groups(out, _percentile_values(counted, groups, g, percentiles), g)
+    columns = [F.col(c) for c in by] + [F.col(c) for c in ("n", *moments)]
     for name, p in percentiles.items():
         pos = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return picked.select(*out)
+        columns.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return out.select(*columns)
 
 
 def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
@@ -81,48 +80,44 @@ def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
     return out
 
 
-def _locate(base: DataFrame, g: list[str], percentiles: dict[str, float], moments: tuple[str, ...]) -> DataFrame:
-    """Per group: size, moments and, per wanted rank, its bucket and the number of rows before that bucket."""
-    v = F.col("__v")
-    sums = {"__bc": F.count(F.lit(1)), "__s1": F.sum(v), "__s2": F.sum(v * v), "min": F.min(v), "max": F.max(v)}
-    need = {"__bc"}
-    for m in moments:
-        need |= {"mean": {"__s1"}, "std": {"__s1", "__s2"}}.get(m, {m})
+def _locate(counted: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
+    """Per group: size, ends and, per wanted rank, its bucket with its ends and the number of rows before it."""
     before = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    heads = base.groupBy(*g, "__b").agg(*[a.alias(k) for k, a in sums.items() if k in need])
+    heads = counted.groupBy(*g, "__b").agg(F.sum("__c").alias("__bc"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     heads = heads.withColumns(
         {
             "__off": F.coalesce(F.sum("__bc").over(before), F.lit(0)),
             "n": F.sum("__bc").over(Window.partitionBy(*g)),
         }
     )
-    n = F.max("n").cast("bigint")
-    s1, s2 = F.sum("__s1"), F.sum("__s2")
-    spread = F.greatest(s2 - s1 * s1 / n, F.lit(0.0))
-    made = {
-        "mean": s1 / n,
-        "std": F.when(n > 1, F.sqrt(spread / F.greatest(n - 1, F.lit(1)))),
-        "min": F.min("min"),
-        "max": F.max("max"),
-    }
-    place = F.struct(F.col("__b").alias("b"), F.col("__off").alias("off"))
+    place = F.struct(*[F.col(f"__{c}").alias(c) for c in ("b", "off", "lo", "hi")])
     at = [
         F.max(F.when((F.col("__off") <= r) & (r < F.col("__off") + F.col("__bc")), place)).alias(f"__at_{k}")
         for k, r in _ranks(percentiles).items()
     ]
-    return heads.groupBy(*g).agg(n.alias("n"), *[made[m].alias(m) for m in moments], *at)
+    ends = [F.max("n").cast("bigint").alias("n"), F.min("__lo").alias("min"), F.max("__hi").alias("max")]
+    return heads.groupBy(*g).agg(*ends, *at)
 
 
-def _wanted_buckets(groups: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
-    places = F.array_distinct(F.array(*[F.col(f"__at_{k}") for k in _ranks(percentiles)]))
-    return groups.select(*g, F.explode(places).alias("__p")).select(
-        *g, F.col("__p.b").alias("__b"), F.col("__p.off").alias("__off")
+def _percentile_values(counted: DataFrame, groups: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
+    """Per group the values at the wanted ranks."""
+    ranks = _ranks(percentiles)
+    places = F.array_distinct(F.array(*[F.col(f"__at_{k}") for k in ranks]))
+    wanted = groups.select(*g, "n", F.explode(places).alias("__p")).select(
+        *g, "n", *[F.col(f"__p.{c}").alias(f"__{c}") for c in ("b", "off", "lo", "hi")]
     )
-
-
-def _values_at(percentiles: dict[str, float]) -> list[Column]:
-    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
-    return [F.max(F.when((lo <= r) & (r < hi), v)).alias(f"__{k}") for k, r in _ranks(percentiles).items()]
+    width = F.col("__hi") - F.col("__lo")
+    part = F.when(width > 0, F.least(F.lit(PARTS - 1), F.floor((F.col("__v") - F.col("__lo")) / width * PARTS)))
+    fine = join_groups(counted, wanted, [*g, "__b"]).withColumn("__part", F.coalesce(part, F.lit(0)))
+    before = Window.partitionBy(*g, "__b").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = fine.groupBy(*g, "__b", "n", "__off", "__part").agg(F.sum("__c").alias("__pc"))
+    parts = parts.withColumn("__from", F.col("__off") + F.coalesce(F.sum("__pc").over(before), F.lit(0)))
+    holds = reduce(lambda x, y: x | y, [(F.col("__from") <= r) & (r < F.col("__from") + F.col("__pc")) for r in ranks.values()])
+    chosen = parts.where(holds).select(*g, "__b", "__part", "__from")
+    inside = Window.partitionBy(*g, "__b", "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_groups(fine, chosen, [*g, "__b", "__part"]).withColumn("__end", F.col("__from") + F.sum("__c").over(inside))
+    start, end, v = F.col("__end") - F.col("__c"), F.col("__end"), F.col("__v")
+    return ranked.groupBy(*g).agg(*[F.max(F.when((start <= r) & (r < end), v)).alias(f"__{k}") for k, r in ranks.items()])
 
 
 def rank_thresholds(
@@ -160,7 +155,7 @@ def rank_thresholds(
     )
     inside = Window.partitionBy(*g, "__b", "__name").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        base.join(small_side(targets), [*g, "__b"])
+        base.join(targets, [*g, "__b"])
         .groupBy(*g, "__b", "__name", "__r", "__k")
         .agg(F.count(F.lit(1)).alias("__kc"))
         .withColumn("__kcum", F.sum("__kc").over(inside))

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import pay, text
-from ..functions.words import blank
-from .broadcasts import small_side
-from .ranking import distribution
+from ..functions.words import blank, strip
+from .ranking import distribution, join_groups
 
 # --- projection and standardisation -------------------------------------------------------------------
 
@@ -72,7 +71,7 @@ def clean_scrape_records(df: DataFrame, now: Column | None = None) -> DataFrame:
     }
     for c in ("position", "company", "location", "description"):
         if c in df.columns:
-            updates[c] = F.trim(c)
+            updates[c] = strip(F.col(c))
     return df.where(reduce(lambda a, b: a & b, needed)).withColumns(updates)
 
 
@@ -112,7 +111,7 @@ def iqr_bounds(
     df: DataFrame, by: str, low: float, high: float, multiplier: float, column: str = "annual_salary"
 ) -> DataFrame:
     """Per group: the fences [max(Q1-k*IQR, low), min(Q3+k*IQR, high)], open where there are too few rows."""
-    d = distribution(df, [by], F.col(column), {"q1": 0.25, "q3": 0.75})
+    d = distribution(df, [by], F.col(column), {"q1": 0.25, "q3": 0.75}, null_group=True)
     spread = (F.col("q3") - F.col("q1")) * F.lit(float(multiplier))
     many = F.col("n") > rules.IQR_MIN_ROWS
     return d.select(
@@ -133,8 +132,8 @@ def filter_iqr(
 ) -> DataFrame:
     """Range filter, then the per-group interquartile fences."""
     ranged = filter_salary_range(df, low, high, column)
-    fences = small_side(iqr_bounds(ranged, by, low, high, multiplier, column).drop("n"))
-    kept = ranged.join(fences, by).where(F.col(column).between(F.col("low_fence"), F.col("high_fence")))
+    fences = iqr_bounds(ranged, by, low, high, multiplier, column).drop("n")
+    kept = join_groups(ranged, fences, [by]).where(F.col(column).between(F.col("low_fence"), F.col("high_fence")))
     return kept.select(*df.columns)
 
 
@@ -147,12 +146,12 @@ def validation_report(
     """Rows lost per group at each validation step and whether too few remain."""
     low, high = rules.SALARY_MIN, rules.SALARY_MAX
     ranged = filter_salary_range(require_fields(df), low, high)
-    fences = small_side(iqr_bounds(ranged, by, low, high, multiplier).drop("n"))
+    fences = iqr_bounds(ranged, by, low, high, multiplier).drop("n")
     has_fields = F.col("job_title").isNotNull() & F.col("annual_salary").isNotNull()
     in_range = has_fields & F.col("annual_salary").between(low, high)
     in_fence = in_range & F.col("annual_salary").between(F.col("low_fence"), F.col("high_fence"))
     counts = (
-        df.join(fences, by, "left")
+        join_groups(df, fences, [by], "left")
         .groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("total"),
@@ -245,8 +244,9 @@ def _tie_columns(df: DataFrame, keys: list[str], tie_break: list[str] | None) ->
 
 
 def dedup_best_record(df: DataFrame, seen: list[Column]) -> DataFrame:
-    """Per url: a salary-bearing record, then the latest collected, then the first seen."""
-    order = [F.col("salary").isNotNull().desc(), F.col("collected_at").desc_nulls_last(), *seen]
+    """Per url: a salary-bearing record, then the latest collected (as time, whatever its offset), then the first seen."""
+    at = F.col("collected_at").cast("string").try_cast("timestamp")
+    order = [F.col("salary").isNotNull().desc(), at.desc_nulls_last(), *seen]
     return first_per_key(df, ["job_url"], order)
 
 
@@ -279,4 +279,4 @@ def clean_merged(df: DataFrame) -> DataFrame:
 
 def add_benchmark(df: DataFrame, wages: DataFrame, key: str = "soc_code") -> DataFrame:
     """Benchmark wage of the occupation, null where there is none; ``wages`` holds one row per occupation."""
-    return df.join(small_side(wages.select(key, F.col("mean_annual_wage").alias("benchmark_wage"))), key, "left")
+    return df.join(wages.select(key, F.col("mean_annual_wage").alias("benchmark_wage")), key, "left")

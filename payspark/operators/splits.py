@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .broadcasts import one_row, small_side
+from .broadcasts import one_row
 from .ranking import rank_thresholds
 
 HASH_BITS = 60
@@ -70,7 +70,7 @@ def temporal_split(
 def _label(hashed: DataFrame, cuts: DataFrame, by: list[str], first: str, second: str, columns: list[str]):
     low, mid = F.coalesce("__test", F.lit(-1)), F.coalesce("__val", F.lit(-1))
     if by:
-        joined = hashed.join(small_side(cuts), by, "left")
+        joined = hashed.join(cuts, by, "left")
     else:
         joined = hashed.withColumn("__cut", one_row(cuts)).select("*", "__cut.__test", "__cut.__val")
     k = F.col("__k")

@@ -18,6 +18,7 @@ from ..operators.records import (
     standardize_source,
     union_sources,
 )
+from ..session import written_once
 from ..sources.files import load_source
 from ..sources.sinks import to_report, write_report, write_table
 
@@ -25,9 +26,10 @@ from ..sources.sinks import to_report, write_report, write_table
 def merge_standardized(df: DataFrame, group_by_source: bool = True, tie_break: list[str] | None = None) -> DataFrame:
     """Validate, score, deduplicate and clean a union of standardised sources.
 
-    Fences are per source, so validating the union equals validating each source.
+    Fences are per source, so validating the union equals validating each source.  The union's rows with all required
+    fields are written to the shared folder once: the fences and the result both read that table.
     """
-    valid = filter_iqr(require_fields(df))
+    valid = filter_iqr(written_once(require_fields(df), "standardized"))
     return clean_merged(dedup_by_quality(add_quality_score(valid), group_by_source, tie_break))
 
 
@@ -44,15 +46,32 @@ def run_merge(spark, root: str, out: str, profile: str | None = None) -> DataFra
         s: load_source(spark, s, f"{root}/{s}/processed/{entry['filename']}", enabled)
         for s, entry in rules.SOURCES.items()
     }
-    write_table(merge_sources(tables, profile), f"{out}/merged_salary_data", ("data_source",))
+    names = [s for s in tables if profile is None or s in profile_sources(profile)]
+    union = written_once(union_sources([standardize_source(tables[s], s) for s in names]), "sources")
+    write_table(merge_standardized(union), f"{out}/merged_salary_data", ("data_source",))
     merged = spark.read.parquet(f"{out}/merged_salary_data")
-    write_report(merge_report(merged), f"{out}/merge_report")
+    write_report(merge_report(merged, merge_counters(union, merged)), f"{out}/merge_report")
     return merged
 
 
-def merge_report(merged: DataFrame) -> DataFrame:
-    """Summary, rows per source and quality statistics as one JSON row."""
+def merge_counters(union: DataFrame, merged: DataFrame) -> DataFrame:
+    """One row: sources loaded, rows before and after, records dropped as invalid, duplicates removed, their shares and the time."""
+    before = union.agg(F.count_distinct("data_source").alias("sources_loaded"), F.count(F.lit(1)).alias("rows_before"))
+    valid = filter_iqr(require_fields(union)).agg(F.count(F.lit(1)).alias("n")).scalar()
+    after = merged.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = before.withColumns({"rows_valid": valid, "rows_after": after})
+    share = lambda n, of: F.when(F.col(of) > 0, F.col(n) / F.col(of)).otherwise(0.0)
+    return counted.withColumns(
+        {"invalid_records": F.col("rows_before") - F.col("rows_valid"), "duplicates_removed": F.col("rows_valid") - F.col("rows_after")}
+    ).withColumns(
+        {"filter_rate": share("invalid_records", "rows_before"), "duplicate_rate": share("duplicates_removed", "rows_valid"), "merged_at": F.current_timestamp()}
+    )
+
+
+def merge_report(merged: DataFrame, counters: DataFrame | None = None) -> DataFrame:
+    """Summary, rows per source, quality statistics and, where given, the merge counters as one JSON row."""
     row = merge_summary(merged)
+    counted = [] if counters is None else [one_row(counters).alias("merge_counters")]
     sources = source_counts(merged).agg(  # one entry per registered source
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("data_source", "records"))))
     )
@@ -62,5 +81,6 @@ def merge_report(merged: DataFrame) -> DataFrame:
             F.struct(*row.columns).alias("summary_statistics"),
             sources.scalar().alias("source_distribution"),
             one_row(quality).alias("quality_score_stats"),
+            *counted,
         )
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "payspark", master: str | None = None, shuffle_partitions: int | None = None):
@@ -40,3 +42,23 @@ def use_checkpoints(spark: SparkSession, fallback: str | None = None) -> str:
     d = shared_dir(spark, fallback)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def work_path(spark: SparkSession, tag: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves local sessions and the warehouse serves clusters.
+    """
+    try:
+        base = shared_dir(spark)
+    except ValueError:
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        base = tempfile.mkdtemp(prefix="payspark-") if local else spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/payspark-{tag}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: work that several readers share, and a cut of its lineage."""
+    path = work_path(df.sparkSession, tag)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import pay
 from ..operators.features import company_tier
 from ..plans.merge import merge_sources
+from ..session import written_once
 from ..sources.files import stamp_source
 
 # --- fixed values: the derived postings table ---------------------------------------------------------------
@@ -117,7 +118,8 @@ def stamped_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_sources(stamped_sources(spark, sf))
+    """The merged table as its readers see it: written once."""
+    return written_once(merge_sources(stamped_sources(spark, sf)), "merged")
 
 
 def tiered(spark: SparkSession, sf: str) -> DataFrame:

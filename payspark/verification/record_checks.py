@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..functions import text
 from ..functions.text import html_payload
 from ..operators import features as fe
 from ..operators import records as r
@@ -849,7 +850,48 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = postings(spark, sf).select(*KEYS, "seniority_level")
-    return fe.label_encoder(["seniority_level"]).fit(df).transform(df).select(*KEYS, "seniority_level_encoded")
+    return fe.encode_labels(df, fe.label_codes(df, "seniority_level"), "seniority_level").select(*KEYS, "seniority_level_encoded")
+
+
+@check(
+    "label_encoded_unseen",
+    PAID + f""", fitted AS (SELECT DISTINCT coalesce(seniority_level, 'unknown') AS s FROM paid WHERE year < 2018),
+    l AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS code FROM fitted),
+    given AS (SELECT *, CASE WHEN k2 = 7 THEN 'Fellow' ELSE seniority_level END AS given_level FROM paid)
+    SELECT {K}, CAST(coalesce(l.code, u.code, -1) AS DOUBLE) AS seniority_level_encoded
+    FROM given LEFT JOIN l ON l.s = coalesce(given_level, 'unknown') LEFT JOIN l u ON u.s = 'unknown'""",
+)
+def _(spark, sf):
+    df = postings(spark, sf)
+    codes = fe.label_codes(df.where("year < 2018"), "seniority_level")
+    given = df.withColumn("seniority_level", F.when(F.col("k2") == 7, "Fellow").otherwise(F.col("seniority_level")))
+    return fe.encode_labels(given.select(*KEYS, "seniority_level"), codes, "seniority_level").select(*KEYS, "seniority_level_encoded")
+
+
+@check(
+    "latest_by_time_offset",
+    PAID + """, c AS (SELECT job_url, k1, k2, k1 % 24 AS h, k2 % 2 AS odd FROM paid),
+    r AS (SELECT job_url, k1, k2, row_number() OVER (PARTITION BY job_url ORDER BY h + CASE WHEN odd = 1 THEN 5 ELSE 0 END DESC, k1, k2) AS rn FROM c)
+    SELECT job_url, k1, k2 FROM r WHERE rn = 1""",
+)
+def _(spark, sf):
+    # half of the times are local, five hours behind the others: text order and time order differ
+    hour = F.lpad((F.col("k1") % 24).cast("string"), 2, "0")
+    zone = F.when(F.col("k2") % 2 == 1, "-05:00").otherwise("Z")
+    df = postings(spark, sf).select(
+        "job_url", "k1", "k2", F.lit("x").alias("salary"), F.concat(F.lit("2025-01-01T"), hour, F.lit(":00:00"), zone).alias("collected_at")
+    )
+    return r.dedup_best_record(df, [F.col("k1"), F.col("k2")]).select("job_url", "k1", "k2")
+
+
+@check(
+    "any_white_space_stripped",
+    PAID + f"SELECT {K}, location_state AS given, upper(left(trim(location_state), 1)) AS first FROM paid WHERE location_state IS NOT NULL",
+)
+def _(spark, sf):
+    df = postings(spark, sf).where(F.col("location_state").isNotNull())
+    padded = F.concat(F.lit("\t\u00a0"), F.trim("location_state"), F.lit(" \r\n"))
+    return df.select(*KEYS, F.col("location_state").alias("given"), F.substring(text.clean_state(padded), 1, 1).alias("first"))
 
 
 @check(

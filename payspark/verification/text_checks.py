@@ -138,13 +138,6 @@ def _(spark, sf):
     return postings(spark, sf).select(*KEYS, F.round(score, 6).alias("similarity"))
 
 
-@check("string_similarity_ratio")
-def _(spark, sf):
-    # the score depends on the two texts alone, so each distinct pair is scored once
-    pairs = postings(spark, sf).groupBy("employer_name", "job_title").agg(F.count(F.lit(1)).alias("rows"))
-    return pairs.withColumn("similarity", text.similarity_ratio("employer_name", "job_title"))
-
-
 DESCRIPTION = (
     "'We want ' || experience_text || ' and a ' || coalesce(education, 'B.S. degree') || '. Tools: ' || "
     "coalesce(skills_csv, 'C++ and R') || '. At least ' || CAST(k2 AS STRING) || ' years of Java, Go.'"

@@ -201,49 +201,22 @@ def test_band_and_curve(spark):
     assert not rows[0].in_range and rows[50].in_range
 
 
-def reference_factors(row, weights):
-    """Plain loop over the described rules, for one request."""
-    place, title = row["location"].upper(), row["job_title"].lower()
-    high, low = place in rules.HIGH_PAY_STATES, place in rules.LOW_PAY_STATES
-    active = [(abs(row[f] * w) * (1.2 if f == "state_clean_encoded" and (high or low) else 1), i, f) for i, (f, w) in enumerate(weights.items()) if row[f]]
-    out, seen, skills = [], set(), 0
-    for _, _, f in sorted(active, key=lambda t: (-t[0], t[1])):
-        if f == "estimated_yoe":
-            out.append("Experience"); seen.add("experience")
-        elif f == "state_clean_encoded":
-            out.append("Location"); seen.add("location")
-        elif f == "company_tier_encoded":
-            if row["company"]:
-                out.append("Company")
-        elif f in s.SENIORITY_FACTORS:
-            if "seniority" not in seen:
-                out.append("Seniority"); seen.add("seniority")
-        elif f.startswith("skill_") and skills < 2:
-            skills += 1
-            out.append("Skill: " + f[6:].replace("_", " ").title())
-        if len(out) >= 4:
-            break
-    if "location" not in seen and (high or low):
-        out = [*out[:3], "Location"]
-    if len(out) < 4 and "seniority" not in seen and not any(w in title for w in s.SENIOR_TITLE_WORDS):
-        out.append("Seniority")
-    return out[:4]
-
-
-def test_top_factors_match_loop(spark):
-    rng = random.Random(11)
-    weights = {"skill_nlp": 0.3, "estimated_yoe": 0.02, "is_senior": 0.2, "state_clean_encoded": 0.03, "skill_mlops": 0.1,
-               "company_tier_encoded": 0.05, "is_director": 0.15, "skill_count": 0.08, "year": 0.0001}
-    rows = []
-    for _ in range(300):
-        row = {f: rng.choice([0, 0, 1, 2]) for f in weights}
-        row |= {"location": rng.choice(["CA", "tx", "OH", "NY"]), "company": rng.choice(["Acme", "", None]),
-                "job_title": rng.choice(["Senior Dev", "Dev", "Team Lead"])}
-        rows.append(row)
-    df = spark.createDataFrame(pd.DataFrame(rows).reset_index())
-    got = s.top_factors(df, weights).orderBy("index").collect()
-    for row, out in zip(rows, got):
-        assert [f.name for f in out.top_factors] == reference_factors(row, weights)
+FACTOR_WEIGHTS = {"skill_nlp": 0.3, "estimated_yoe": 0.02, "is_senior": 0.2, "state_clean_encoded": 0.03, "skill_mlops": 0.1, "company_tier_encoded": 0.05}
+# skill_nlp, estimated_yoe, is_senior, state_clean_encoded, skill_mlops, company_tier_encoded; place, company, title; worked out by hand
+FACTOR_CASES = [
+    ((1, 10, 1, 1, 1, 1), ("OH", "Acme", "Senior Dev"), ["Skill: Nlp", "Seniority", "Experience", "Skill: Mlops"]),
+    ((0, 10, 0, 1, 0, 1), ("OH", "Acme", "Dev"), ["Experience", "Company", "Location", "Seniority"]),
+    ((0, 0, 0, 0, 0, 1), ("OH", "", "Team Lead"), []),
+    ((0, 0, 0, 0, 0, 0), ("CA", None, "Dev"), ["Location", "Seniority"]),
+    ((1, 20, 1, 0, 1, 1), ("NY", "Acme", "Senior Dev"), ["Experience", "Skill: Nlp", "Seniority", "Location"]),
+]
+
+
+def test_top_factors(spark):
+    names = [*FACTOR_WEIGHTS, "location", "company", "job_title", "index"]
+    df = spark.createDataFrame([(*f, *p, i) for i, (f, p, _) in enumerate(FACTOR_CASES)], names)
+    got = s.top_factors(df, FACTOR_WEIGHTS).orderBy("index").collect()
+    assert [[f.name for f in row.top_factors] for row in got] == [want for _, _, want in FACTOR_CASES]
 
 
 def test_user_skills(spark):
@@ -256,3 +229,30 @@ def test_rank_importance(spark):
     rows = s.rank_importance(df, 2).collect()
     assert [(x.display_name, x.importance_pct) for x in rows] == [("Years of Experience", 50.0), ("Skill: Deep Learning", 25.0)]
     assert rows[0].share == pytest.approx(2 / 3)
+
+
+def test_distribution_offsets_near_values_and_gaps(spark):
+    rows = [("far", 1e9 + i % 2) for i in range(1000)] + [("near", i * 1e-9) for i in range(1000)]
+    rows += [("nan", float("nan")), ("nan", 1.0), ("nan", 2.0), (None, 5.0), (None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    out = ranking.distribution(df, ["g"], F.col("v"), {"median": 0.5, "q9": 0.9}, ("mean", "std", "min", "max"), null_group=True)
+    got = {r.g: r for r in out.collect()}
+    assert got["far"].std == pytest.approx(np.std([0, 1] * 500, ddof=1), rel=1e-12) and got["far"].median == 1e9 + 0.5
+    assert got["near"].q9 == pytest.approx(np.quantile([i * 1e-9 for i in range(1000)], 0.9), abs=1e-18)
+    assert (got["nan"].n, got["nan"].median) == (2, 1.5)
+    assert (got[None].n, got[None].median) == (2, 6.0)
+
+
+def test_building_a_distribution_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    ranking.distribution(spark.range(100).selectExpr("id % 3 AS g", "id AS v"), ["g"], F.col("v"), {"median": 0.5}, ("std",))
+    assert not tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext.setJobGroup("other", "other")
+
+
+def test_labels_unseen_are_unknown(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "c string")
+    codes = fe.label_codes(df, "c")
+    got = fe.encode_labels(spark.createDataFrame([("a",), ("z",), (None,), ("b",)], "c string"), codes, "c").collect()
+    assert {r.c: r.c_encoded for r in got} == {"a": 0.0, "b": 1.0, None: 2.0, "z": 2.0}
