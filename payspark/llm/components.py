@@ -7,22 +7,28 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
+ROWS_PER_FILE = 250_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``a``, ``b`` (bigint) -> ``node``, ``comp``: the least node of each component.
 
     A round takes the least label among a node and its neighbours and then that label's own label, so the distance
     covered doubles; only the count of changed labels comes to the driver.  Minima are summed map side; labels reach the edges of
-    a node with very many neighbours by a sort-merge join, whose large partitions adaptive execution splits.
+    a node with very many neighbours by a sort-merge join, whose large partitions adaptive execution splits.  The tables are written in
+    files of ROWS_PER_FILE rows, as rounds over many tiny files cost more than their rows.
     """
     both = stage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "labels")
+    parts = max(1, -(-both.count() // ROWS_PER_FILE))
+    labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node")
+    labels = stage(labels.coalesce(parts), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("__near"))
         met = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", "comp", F.least("comp", "__near").alias("__next"))
         jump = labels.select(F.col("node").alias("__next"), F.col("comp").alias("__jump"))
         moved = stage(
-            met.join(jump, "__next").select("node", F.least("__next", "__jump").alias("comp"), (F.least("__next", "__jump") < F.col("comp")).alias("moved")),
+            met.join(jump, "__next").select("node", F.least("__next", "__jump").alias("comp"), (F.least("__next", "__jump") < F.col("comp")).alias("moved"))
+            .coalesce(parts),
             "labels",
         )
         labels = moved.select("node", "comp")

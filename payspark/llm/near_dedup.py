@@ -37,7 +37,8 @@ from .exact_dedup import arrow_schema
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
-ROUNDS = 4
+ROUNDS = 2
+NODES_PER_FILE = 50_000
 CACHED_WORDS = 400_000
 MIX, STEP, ODD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
 
@@ -196,7 +197,8 @@ def near_groups(
     texts = stage(
         docs.join(buckets.select(F.col("node").alias(UID)).distinct(), UID, "left_semi").select(F.col(UID).alias("node"), "__text"), "texts"
     )
-    comps = _join_buckets(buckets, signed, texts, similarity, max(100_000, 8 * nodes.count()), bands, rounds)
+    size = nodes.count()
+    comps = _join_buckets(buckets, signed, texts, similarity, max(100_000, 8 * size), bands, rounds, max(1, size // NODES_PER_FILE))
     node = F.col("__best.uid")
     comp = comps.select(F.col("node").alias("__node"), "comp")
     placed = nodes.join(comp, node == F.col("__node"), "left").select(
@@ -209,26 +211,26 @@ def near_groups(
     )
 
 
-def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int) -> DataFrame:
-    """Components of the nodes that share a band and are similar: ``node``, ``comp``."""
+def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int, files: int) -> DataFrame:
+    """Components of the nodes that share a band and are similar: ``node``, ``comp``.  Thin tables are written in ``files`` files."""
     edges, tested, comps = None, None, None
     for turn in range(rounds + 2):
         if turn == 0:
             met = _with_hubs(buckets, turn)
         else:
-            left, opened = _open_buckets(buckets, comps)
+            left, opened = _open_buckets(buckets, comps, files)
             if not left:
                 break
             if left <= few:
-                met = _shortlist(_across(opened), signed, similarity)
+                met = _shortlist(_across(opened, signed), signed, similarity)
             elif turn <= rounds:
-                met = _with_hubs(_refined(opened, signed, bands, turn), turn)
+                met = _with_hubs(_refined(opened, signed, bands, turn, files), turn)
             else:
                 break
         pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
+        pairs = stage(pairs.coalesce(files), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         linked = stage(verified(pairs, texts, similarity), "links")
         edges = linked if edges is None else edges.unionByName(linked)
@@ -239,41 +241,41 @@ def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, simil
 
 
 def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, where they are not joined yet.
-
-    Four hubs take turns over the bands, so that members whom one misses mostly meet another at once.
-    """
-    order = F.xxhash64(F.lit(turn), F.pmod("band", F.lit(4)), "node")
+    """Each member of a bucket with the bucket's hub, its least node by a hash, where they are not joined yet."""
+    order = F.xxhash64(F.lit(turn), "node")
     hubs = buckets.groupBy("band").agg(F.min(F.struct(order.alias("h"), "node", "comp")).alias("__h"))
     hubs = hubs.select("band", F.col("__h.node").alias("hub"), F.col("__h.comp").alias("hub_comp"))
     return buckets.join(hubs, "band").where("node != hub AND comp != hub_comp")
 
 
-def _open_buckets(buckets: DataFrame, comps: DataFrame) -> tuple[int, DataFrame]:
+def _open_buckets(buckets: DataFrame, comps: DataFrame, files: int) -> tuple[int, DataFrame]:
     """How many pairs between different components share a band, and the buckets that hold them."""
     named = buckets.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = named.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("parts")
     )
-    sizes = stage(sizes.where("parts > 1"), "open-bands")
+    sizes = stage(sizes.where("parts > 1").coalesce(files), "open-bands")
     left = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0] or 0
-    return int(left), stage(named.join(sizes.select("band"), "band"), "open")
+    return int(left), stage(named.join(sizes.select("band"), "band").coalesce(files), "open")
 
 
-def _refined(opened: DataFrame, signed: DataFrame, bands: int, turn: int) -> DataFrame:
+def _refined(opened: DataFrame, signed: DataFrame, bands: int, turn: int, files: int) -> DataFrame:
     """The nodes of open buckets in finer buckets: those that share two bands, ``turn`` apart."""
     nodes = opened.select("node", "comp").distinct().join(signed.select(F.col(UID).alias("node"), "__bands"), "node")
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(F.element_at("__bands", i + 1), F.element_at("__bands", (i + turn) % bands + 1)),
     )
-    fine = stage(nodes.select("node", "comp", F.explode(keys).alias("band")), "refined")
+    fine = stage(nodes.select("node", "comp", F.explode(keys).alias("band")).coalesce(files), "refined")
     return fine.join(fine.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "band")
 
 
-def _across(opened: DataFrame) -> DataFrame:
-    other = opened.select("band", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-    return opened.join(other, "band").where("comp < hub_comp").select("node", "hub").distinct()
+def _across(opened: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs of different components in open buckets, each in the first band that the two share."""
+    held = opened.join(signed.select(F.col(UID).alias("node"), F.col("__bands").alias("held")), "node")
+    other = held.select("band", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"), F.col("held").alias("hub_held"))
+    first = F.element_at(F.array_intersect("held", "hub_held"), 1) == F.col("band")
+    return held.join(other, "band").where((F.col("comp") < F.col("hub_comp")) & first).select("node", "hub")
 
 
 def _shortlist(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
