@@ -26,10 +26,7 @@ def values(n=3000):
     return rows + [(n, "one", 5.0), (n + 1, None, 1.0), (n + 2, "a", None)]
 
 
-@pytest.mark.parametrize("bound", [10_000, 0])
-def test_percentiles_match_pandas(spark, monkeypatch, bound):
-    """Both the broadcast and the shuffled second pass are exact."""
-    monkeypatch.setattr(ranking, "MAX_LOCAL_GROUPS", bound)
+def test_percentiles_match_pandas(spark):
     rows = values()
     df = spark.createDataFrame(rows, "i int, g string, v double")
     pct = {"p10": 0.1, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
