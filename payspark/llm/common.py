@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import work_path
 
 UID = "__uid"
-
-
-def work_path(spark: SparkSession, tag: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Where that is unset, a temporary folder serves local sessions and the warehouse serves clusters.
-    """
-    try:
-        base = shared_dir(spark)
-    except ValueError:
-        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            base = tempfile.mkdtemp(prefix="payspark-")
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/payspark-{tag}-{uuid.uuid4().hex}"
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors once per application, so that they need no copy of it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="payspark-code-"), "payspark"), "zip", os.path.dirname(package), os.path.basename(package)
+        )
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:

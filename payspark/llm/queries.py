@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality_classifier, secrets, sentencepieces, toxicity
-from .common import UID, numbered
+from .common import UID, numbered, ship
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
 from .packing import pack_documents
@@ -22,8 +23,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

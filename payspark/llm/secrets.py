@@ -203,7 +203,8 @@ def redact(df: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
         if c == text:
             out.append(fresh.alias(c))
         elif c == "n_chars":
-            length = F.length(fresh).cast(df.schema[c].dataType)
+            gained = F.aggregate("__spans", F.lit(0), lambda n, x: n + len(mark) - x["n"])
+            length = (F.length(body) + gained).cast(df.schema[c].dataType)
             out.append(F.when(F.col("__spans").isNotNull(), length).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
