@@ -90,8 +90,11 @@ def paid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return tables_of(paid(spark, sf))
+
+
+def tables_of(df: DataFrame) -> dict[str, DataFrame]:
     """One table per registered source, in that source's own column names."""
-    df = paid(spark, sf)
 
     def part(source):
         return df.where(F.col("data_source") == source)
