@@ -192,7 +192,7 @@ def near_groups(
     singles = nodes.select(F.col("__best.uid").alias(UID))
     found = signed.where("__size > 0").join(singles, UID, "left_semi").select(F.col(UID).alias("node"), F.explode("__bands").alias("band"))
     found = stage(found, "bands")
-    shared = found.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = found.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").drop("n")
     buckets = stage(found.join(shared, "band").withColumn("comp", F.col("node")), "buckets")
     texts = stage(
         docs.join(buckets.select(F.col("node").alias(UID)).distinct(), UID, "left_semi").select(F.col(UID).alias("node"), "__text"), "texts"
@@ -216,7 +216,7 @@ def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, simil
     edges, tested, comps = None, None, None
     for turn in range(rounds + 2):
         if turn == 0:
-            met = _with_hubs(buckets, turn)
+            met = buckets.where("node != hub")
         else:
             left, opened = _open_buckets(buckets, comps, files)
             if not left:
@@ -250,7 +250,7 @@ def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
 
 def _open_buckets(buckets: DataFrame, comps: DataFrame, files: int) -> tuple[int, DataFrame]:
     """How many pairs between different components share a band, and the buckets that hold them."""
-    named = buckets.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = buckets.select("band", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = named.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("parts")
     )
@@ -266,8 +266,7 @@ def _refined(opened: DataFrame, signed: DataFrame, bands: int, turn: int, files:
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda i: F.xxhash64(F.element_at("__bands", i + 1), F.element_at("__bands", (i + turn) % bands + 1)),
     )
-    fine = stage(nodes.select("node", "comp", F.explode(keys).alias("band")).coalesce(files), "refined")
-    return fine.join(fine.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "band")
+    return stage(nodes.select("node", "comp", F.explode(keys).alias("band")).coalesce(files), "refined")
 
 
 def _across(opened: DataFrame, signed: DataFrame) -> DataFrame:
