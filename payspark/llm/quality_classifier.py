@@ -4,8 +4,8 @@ Trusted positives and unlabelled web text are all it learns from.  With class pr
 risks R_p- and R_u- of calling a row negative, it minimises the non-negative risk
 ``pi * R_p+ + max(0, R_u- - pi * R_p-)``: when the bracket falls below zero the step goes back up that part, which keeps
 a flexible model from calling every unlabelled row negative.  The prior is estimated first: a plain positive-against-
-unlabelled classifier is fitted on one half of the rows, and on the other half the smallest ratio of unlabelled to positive tails, at
-the cut with the tightest confidence bound, is the share of positives among the unlabelled.
+unlabelled classifier is fitted on either half of the rows, and on the other half the ratio of unlabelled to positive tails, at
+the cut with the least upper confidence bound, is the share of positives among the unlabelled.
 
 Features are shapes of the text (lengths, repetition, symbols, capitals, variety), cut at their quantiles over the
 unlabelled sample, so the model is additive with free steps per feature.  They are measured once per document over the whole text and
@@ -145,23 +145,33 @@ def _pull(columns: np.ndarray, slope: np.ndarray, n: int) -> np.ndarray:
     return np.append(g, slope.sum()) / max(1, len(slope))
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, n: int, delta: float = 0.1, slack: float = 0.01) -> float:
-    """Share of positives among the unlabelled, from tails of a classifier that tells the two samples apart."""
-    half_p, half_u = positive[::2], unlabelled[::2]
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, n: int, sure: float = 1.0) -> float:
+    """Share of positives among the unlabelled, from tails of a classifier that tells the two samples apart.
 
-    def gradient(p):
-        g = _pull(half_p, _sigmoid(p[half_p].sum(axis=1) + p[-1]) - 1, n) + _pull(half_u, _sigmoid(p[half_u].sum(axis=1) + p[-1]), n)
-        return g + 1e-3 * np.append(p[:-1], 0)
-
-    p = _descend(gradient, n + 1, 150, 0.05)
-    tail_p, tail_u = (np.sort(p[x].sum(axis=1)) for x in (positive[1::2], unlabelled[1::2]))
-    if not len(tail_p) or not len(tail_u):
-        return 0.5
+    Each half of the rows is scored by the classifier of the other half.
+    """
+    tails: tuple[list, list] = ([], [])
+    for k in (0, 1):
+        half_p, half_u = positive[k::2], unlabelled[k::2]
+
+        def gradient(p, half_p=half_p, half_u=half_u):
+            up = _pull(half_p, _sigmoid(p[half_p].sum(axis=1) + p[-1]) - 1, n)
+            down = _pull(half_u, _sigmoid(p[half_u].sum(axis=1) + p[-1]), n)
+            return up + down + 1e-2 * np.append(p[:-1], 0)
+
+        p = _descend(gradient, n + 1, 150, 0.05)
+        for tail, rows in zip(tails, (positive[1 - k :: 2], unlabelled[1 - k :: 2])):
+            tail.append(p[rows].sum(axis=1) + p[-1])
+    tail_p, tail_u = (np.sort(np.concatenate(t)) for t in tails)
     cuts = np.unique(tail_p)
     q_p = 1 - np.searchsorted(tail_p, cuts, side="left") / len(tail_p)
     q_u = 1 - np.searchsorted(tail_u, cuts, side="left") / len(tail_u)
-    doubt = math.sqrt(math.log(4 / delta) / (2 * len(tail_u))) + math.sqrt(math.log(4 / delta) / (2 * len(tail_p)))
-    best = np.argmin(q_u / q_p + (1 + slack) * doubt / q_p)
+    keep = (q_p >= 0.3) & (q_u > 0)
+    if not keep.any():
+        return 0.5
+    q_p, q_u = q_p[keep], q_u[keep]
+    doubt = q_u / q_p * np.sqrt((1 - q_u) / (q_u * len(tail_u)) + (1 - q_p) / (q_p * len(tail_p)))
+    best = np.argmin(q_u / q_p + sure * doubt)
     return float(min(0.98, max(0.02, q_u[best] / q_p[best])))
 
 
@@ -169,7 +179,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
     """Non-negative PU learning with the logistic loss on rows of features."""
     if not len(positive) or not len(unlabelled):
         return PuModel([], np.zeros(1), 0.0, 0.5)
-    edges = quantile_edges(unlabelled)
+    edges = quantile_edges(unlabelled, max(6, min(BINS, len(unlabelled) // 80)))
     p_bins, n = binned(positive, edges)
     u_bins, _ = binned(unlabelled, edges)
     pi = estimate_prior(p_bins, u_bins, n) if prior is None else prior
