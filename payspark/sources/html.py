@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,57 +19,22 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CRITERIA = rules.DETAIL_CRITERIA
 DETAIL_FIELDS = ["salary", "applicants", "description", *CRITERIA]
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&"))
-
-
-def plain(markup: Column) -> Column:
-    """Markup to text: tags dropped, common entities decoded, ends trimmed."""
-    out = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.regexp_replace(out, r"^[\s ]+|[\s ]+$", "")
-
-
-def _open_tag(css_class: str, tag: str = r"[a-z][a-z0-9]*") -> str:
-    return rf'(?is)<({tag})\b[^>]*?\bclass\s*=\s*"(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>'
-
-
-def class_text(html: Column, css_class: str) -> Column:
-    """Joined text of the elements with a class; such elements must not nest their own tag."""
-    parts = F.regexp_extract_all(html, F.lit(_open_tag(css_class) + r"(.*?)</\1\s*>"), F.lit(2))
-    return F.when(html.contains(css_class), plain(F.array_join(parts, ""))).otherwise("")
-
-
-def tag_attribute(html: Column, css_class: str, name: str) -> Column:
-    """Attribute of the first tag with a class, null when the tag or attribute is absent."""
-    tag = F.regexp_extract(html, _open_tag(css_class), 0)
-    return _attribute(tag, name)
-
-
-def _attribute(tag: Column, name: str) -> Column:
-    p = rf'(?is)\s{name}\s*=\s*"([^"]*)"'
-    return F.when(tag.rlike(p), F.replace(F.regexp_extract(tag, p, 1), F.lit("&amp;"), F.lit("&")))
+CARD_FIELDS = [*rules.CARD_CLASSES, "date", "job_url", "company_logo"]
 
 
 def extract_job_cards(df: DataFrame, html_col: str = "html", require_salary: bool = False) -> DataFrame:
-    """One row per list item that has a position and a company."""
+    """One row per list item that has a position and a company; only pages that name both classes are parsed."""
     keep = [c for c in df.columns if c != html_col]
-    items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?is)<li\b[^>]*>(.*?)</li\s*>"), F.lit(1))
-    cards = df.select(*keep, F.posexplode(items).alias("card_index", "__li"))
-    li = F.col("__li")
-    fields = {k: class_text(li, c) for k, c in rules.CARD_CLASSES.items()}
-    salary = F.regexp_replace(fields["salary"], r"\s+", " ")
+    page = F.col(html_col)
+    pages = df.where(page.contains(rules.CARD_CLASSES["position"]) & page.contains(rules.CARD_CLASSES["company"]))
+    cards = pages.select(*keep, F.posexplode(card_fields(page)).alias("card_index", "__c"))
+    salary = F.col("__c.salary")
     out = cards.select(
         *keep,
         "card_index",
-        fields["position"].alias("position"),
-        fields["company"].alias("company"),
-        fields["location"].alias("location"),
-        _attribute(F.regexp_extract(li, r"(?is)<time\b[^>]*>", 0), "datetime").alias("date"),
+        *[F.col(f"__c.{c}").alias(c) for c in ("position", "company", "location", "date")],
         F.when(salary == "", rules.NOT_SPECIFIED).otherwise(salary).alias("salary"),
-        F.coalesce(tag_attribute(li, rules.CARD_LINK_CLASS, "href"), F.lit("")).alias("job_url"),
-        F.coalesce(tag_attribute(li, rules.CARD_LOGO_CLASS, "data-delayed-url"), F.lit("")).alias("company_logo"),
-        fields["ago_time"].alias("ago_time"),
+        *[F.col(f"__c.{c}").alias(c) for c in ("job_url", "company_logo", "ago_time")],
     ).where((F.col("position") != "") & (F.col("company") != ""))
     return out.where(F.col("salary") != rules.NOT_SPECIFIED) if require_salary else out
 
@@ -111,6 +76,76 @@ class _ClassText(HTMLParser):
         return ["".join(t) for classes, t, _ in self.found if classes & set(names)]
 
 
+class _ListItems(HTMLParser):
+    """The elements inside each list item, an inner list's items included, with their attributes and texts."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open: list[str] = []
+        self.items: list[list[tuple[str, dict, list[str]]]] = []
+        self.inside: list[tuple[int, list]] = []
+        self.live: list[tuple[int, list[str]]] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "li" and "li" in self.open:  # an item ends where its next sibling starts
+            last = len(self.open) - 1 - self.open[::-1].index("li")
+            if not {"ul", "ol"} & {*self.open[last:]}:
+                self._close(last)
+        element = (tag, dict(attrs), [])
+        for _, item in self.inside:
+            item.append(element)
+        if tag in _ClassText.VOID:
+            return
+        self.open.append(tag)
+        self.live.append((len(self.open), element[2]))
+        if tag == "li":
+            self.items.append([])
+            self.inside.append((len(self.open), self.items[-1]))
+
+    def handle_startendtag(self, tag, attrs):
+        for _, item in self.inside:
+            item.append((tag, dict(attrs), []))
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            self._close(len(self.open) - 1 - self.open[::-1].index(tag))
+
+    def _close(self, depth):
+        del self.open[depth:]
+        self.live = [x for x in self.live if x[0] <= depth]
+        self.inside = [x for x in self.inside if x[0] <= depth]
+
+    def handle_data(self, data):
+        for _, texts in self.live:
+            texts.append(data)
+
+
+def _card(item: list[tuple[str, dict, list[str]]]) -> dict:
+    def having(name):
+        return [e for e in item if name in (e[1].get("class") or "").split()]
+
+    def attribute(elements, name):
+        return next((e[1].get(name) for e in elements[:1]), None)
+
+    out = {field: "".join("".join(e[2]) for e in having(name)).strip() for field, name in rules.CARD_CLASSES.items()}
+    out["salary"] = " ".join(out["salary"].split())
+    out["date"] = attribute([e for e in item if e[0] == "time"], "datetime")
+    out["job_url"] = attribute(having(rules.CARD_LINK_CLASS), "href") or ""
+    out["company_logo"] = attribute(having(rules.CARD_LOGO_CLASS), "data-delayed-url") or ""
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in CARD_FIELDS])))
+def card_fields(html: pd.Series) -> pd.Series:
+    def cards(page):
+        parser = _ListItems()
+        parser.feed(page or "")
+        parser.close()
+        return [_card(item) for item in parser.items]
+
+    return html.map(cards)
+
+
 def _detail(html: str | None) -> dict:
     page = _ClassText()
     page.feed(html or "")

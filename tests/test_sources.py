@@ -205,3 +205,13 @@ def test_contract(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_job_cards_quotes_entities_and_nested_lists(spark):
+    page = """<ul><li class='card'><a class='base-card__full-link' href='https://x/1?a=1&amp;b=2'></a>
+      <h3 class='base-search-card__title'>Caf&eacute; &#8211; Analyst</h3><h4 class=base-search-card__subtitle>Acme</h4>
+      <ul><li>one</li><li>two</li></ul><span class='job-search-card__location'>Austin, TX</span><br/></li>
+      <li><h3 class="base-search-card__title">Open item</h3><h4 class="base-search-card__subtitle">B<li>last</ul>"""
+    rows = html.extract_job_cards(spark.createDataFrame([(1, page), (2, None)], "page_id int, html string")).collect()
+    assert [(r.position, r.company, r.location, r.job_url) for r in rows] == [
+        ("Caf\u00e9 \u2013 Analyst", "Acme", "Austin, TX", "https://x/1?a=1&b=2"), ("Open item", "B", "", "")]
