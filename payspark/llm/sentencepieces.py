@@ -4,7 +4,7 @@ Encoding.  Texts are cut into words where no piece can cross; every distinct wor
 the longest piece are exploded and met with the piece table by an equi-join; the edges found are grouped by word and folded into the word's
 pieces with Spark's ``aggregate``: a unigram model's best path by Viterbi, a BPE model's merges from the best-scored joinable pair on (for a
 BPE model the best path differs from what the model defines, so the fold is chosen by the model's own type).  Characters without a piece
-become the model's byte pieces.  Words come back to their documents in two ways: the ``hot`` most frequent ones, a table of
+become the model's byte pieces.  Words over LONG_WORD characters are encoded by a plain loop over the same pieces.  Words come back to their documents in two ways: the ``hot`` most frequent ones, a table of
 bounded size, as a dictionary sent to the tasks; all others by shuffle joins on the word and then on the document.
 
 Decoding joins nothing: each id's bytes are looked up in one array of pieces and the bytes of a document are decoded together.
@@ -15,6 +15,7 @@ blank, as the library does; repeated rows are encoded each; an empty table gives
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from .exact_dedup import arrow_schema
 
 BLANK = "▁"
 HOT_WORDS = 100_000
+LONG_WORD = 200
 NORMAL, BYTE, UNIGRAM, BPE = 1, 6, 1, 2
 
 
@@ -155,10 +157,72 @@ def viterbi_fold(model: PieceModel) -> Column:
     return F.aggregate(ordered, start, relax, path)
 
 
+def merged_ids(word: str, table: dict[str, tuple[float, int]], longest: int, first_byte: int) -> list[int]:
+    """The merges of one very long word: joinable neighbours wait in a heap, best score first, then leftmost."""
+    n = len(word)
+    end, before, alive, heap = [i + 1 for i in range(n)], [i - 1 for i in range(n)], [True] * n, []
+
+    def offer(i: int) -> None:
+        j = end[i]
+        if j < n and end[j] - i <= longest and (found := table.get(word[i : end[j]])):
+            heapq.heappush(heap, (-found[0], i, j, end[j]))
+
+    for i in range(n):
+        offer(i)
+    while heap:
+        _, i, j, e = heapq.heappop(heap)
+        if alive[i] and alive[j] and end[i] == j and end[j] == e:
+            alive[j], end[i] = False, e
+            if e < n:
+                before[e] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+    ids, i = [], 0
+    while i < n:
+        found = table.get(word[i : end[i]])
+        ids += [found[1]] if found else [b + first_byte for b in word[i : end[i]].encode()]
+        i = end[i]
+    return ids
+
+
+def best_path_ids(word: str, table: dict[str, tuple[float, int]], longest: int, first_byte: int, unknown: float) -> list[int]:
+    """The best path of one very long word."""
+    n = len(word)
+    best: list = [(0.0, -1, None)] + [None] * n
+    for s in range(n):
+        for e in range(s + 1, min(n, s + longest) + 1):
+            found = table.get(word[s:e]) or ((unknown, None) if e == s + 1 else None)
+            if found and (best[e] is None or best[s][0] + found[0] > best[e][0]):
+                best[e] = (best[s][0] + found[0], s, found[1])
+    parts, at = [], n
+    while at:
+        _, s, found = best[at]
+        parts.append([found] if found is not None else [b + first_byte for b in word[s:at].encode()])
+        at = s
+    return [i for part in reversed(parts) for i in part]
+
+
+def _long_words(model: PieceModel):
+    table = {p: (score, i) for i, p, score in model.pieces}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if model.kind == UNIGRAM:
+                ids = [best_path_ids(w, table, model.longest, model.first_byte, model.unknown_score) for w in b.column(0).to_pylist()]
+            else:
+                ids = [merged_ids(w, table, model.longest, model.first_byte) for w in b.column(0).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    return run
+
+
 def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
-    """``word`` (distinct) -> ``ids``."""
+    """``word`` (distinct) -> ``ids``; words over LONG_WORD characters, whose fold would take the square of their length, by a loop."""
     fold = viterbi_fold(model) if model.kind == UNIGRAM else merge_fold(model)
-    return lattice(words, model.table(words.sparkSession), model.longest).select("word", fold.alias("ids"))
+    short = lattice(words.where(F.length("word") <= LONG_WORD), model.table(words.sparkSession), model.longest).select("word", fold.alias("ids"))
+    long = words.where(F.length("word") > LONG_WORD).select("word").mapInArrow(_long_words(model), "word string, ids array<int>")
+    return short.unionByName(long)
 
 
 def _stitch(pattern: str, hot: dict[str, list[int]], schema: pa.Schema):

@@ -122,7 +122,7 @@ def test_running_start(spark):
 
 
 PIECES = tokens.vocabulary_path("piece_bpe_32k.model")
-SENTENCES = [None, "", " ", "  Two  blanks\n\nlines\t", "été ＡＢ 你好 ☃", "Hello, hello world's (end).", "x" * 40, "1234 a1b2 ▁marked", "A B A B", "A B A B"]
+SENTENCES = [None, "", " ", "  Two  blanks\n\nlines\t", "été ＡＢ 你好 ☃", "Hello, hello world's (end).", "x" * 40, "1234 a1b2 ▁marked", "A B A B", "A B A B", "x" * 3000 + "Qu9" * 300 + "été☃" * 90]
 
 
 def test_pieces_equal_the_library_and_decode_back(docs):
@@ -168,6 +168,8 @@ def test_unigram_viterbi_equals_brute_force_and_the_library(spark, tmp_path):
     words = ["▁Hello", "▁wonderful", "world", "▁été☃", "▁", "\n", "▁internationalisation"]
     got = {r.word: r.ids for r in sentencepieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
     assert got == {w: brute_viterbi(w, model) for w in words}
+    table = {p: (s, i) for i, p, s in model.pieces}
+    assert all(sentencepieces.best_path_ids(w, table, model.longest, model.first_byte, model.unknown_score) == ids for w, ids in got.items())
     assert got["▁Hello"] == library.encode("Hello") and got["▁internationalisation"] == library.encode("internationalisation")
 
 
