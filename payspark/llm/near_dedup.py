@@ -213,12 +213,12 @@ def near_groups(
 
 def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int, files: int) -> DataFrame:
     """Components of the nodes that share a band and are similar: ``node``, ``comp``.  Thin tables are written in ``files`` files."""
-    edges, tested, comps = None, None, None
+    edges, tested, comps, opened = None, None, None, buckets
     for turn in range(rounds + 2):
         if turn == 0:
             met = buckets.where("node != hub")
         else:
-            left, opened = _open_buckets(buckets, comps, files)
+            left, opened = _open_buckets(opened, comps, files)  # a bucket of one component stays so
             if not left:
                 break
             if left <= few:
@@ -250,7 +250,8 @@ def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
 
 def _open_buckets(buckets: DataFrame, comps: DataFrame, files: int) -> tuple[int, DataFrame]:
     """How many pairs between different components share a band, and the buckets that hold them."""
-    named = buckets.select("band", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = buckets.select("band", "node").join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    named = stage(named.coalesce(files), "named")
     sizes = named.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(
         F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.count(F.lit(1)).alias("parts")
     )
