@@ -8,10 +8,10 @@ a chance of 1 - 3e-6.
 
 Documents of equal words are one node, so copies are never compared.  Candidates are checked exactly (probability Jaccard of the
 shingle counts) against hubs: in each band bucket every member meets the member with the least hash, not every other.
-As long as the pairs left between different components are few against the rows (eight per node), all of them that the
-signatures do not rule out are checked, and no link is lost.  Where they are more, members meet the hubs of finer buckets (two
-bands shared) in up to ``rounds`` further rounds first, so that no bucket is expanded into its pairs; a group that still has more
-pairs open after them keeps the components found (README, near-duplicates).
+Then all pairs of different components that share a band and that the signatures do not rule out are checked, so that no such link
+is lost.  Where these pairs, counted once for each shared band, are few (``few``), they are joined.  Where they are more, members
+first meet the hubs of finer buckets (two bands shared), in ``rounds`` rounds and on as long as a round closes a tenth of what
+is open; what is left is checked inside tasks, in blocks of a bucket that a task can hold, and only links leave the task.
 
 Defined cases: null and empty texts are equal to each other and to nothing else; a text of fewer than five words is one
 shingle; words are what lies between white space, in lower case; of a group the row with the smallest id stays, null ids last,
@@ -22,6 +22,7 @@ then the row read first; repeated rows are copies; an empty table gives an empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ BANDS, ROWS = 32, 5
 ROUNDS = 2
 NODES_PER_FILE = 50_000
 CACHED_WORDS = 400_000
+FEW_PAIRS = 100_000
+BLOCK_NODES, BLOCK_BYTES = 2000, 16 << 20
 MIX, STEP, ODD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15), np.uint64(0x94D049BB133111EB)
 
 
@@ -197,8 +200,8 @@ def near_groups(
     texts = stage(
         docs.join(buckets.select(F.col("node").alias(UID)).distinct(), UID, "left_semi").select(F.col(UID).alias("node"), "__text"), "texts"
     )
-    size = nodes.count()
-    comps = _join_buckets(buckets, signed, texts, similarity, max(100_000, 8 * size), bands, rounds, max(1, size // NODES_PER_FILE))
+    size = nodes.count()  # above FEW_PAIRS or eight a node the open pairs are not joined but met in blocks; both ways check all
+    comps = _join_buckets(buckets, signed, texts, similarity, max(FEW_PAIRS, 8 * size), bands, rounds, max(1, size // NODES_PER_FILE))
     node = F.col("__best.uid")
     comp = comps.select(F.col("node").alias("__node"), "comp")
     placed = nodes.join(comp, node == F.col("__node"), "left").select(
@@ -213,8 +216,8 @@ def near_groups(
 
 def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int, files: int) -> DataFrame:
     """Components of the nodes that share a band and are similar: ``node``, ``comp``.  Thin tables are written in ``files`` files."""
-    edges, tested, comps, opened = None, None, None, buckets
-    for turn in range(rounds + 2):
+    edges, tested, comps, opened, before = None, None, None, buckets, 0
+    for turn in count():
         if turn == 0:
             met = buckets.where("node != hub")
         else:
@@ -223,10 +226,12 @@ def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, simil
                 break
             if left <= few:
                 met = _shortlist(_across(opened, signed), signed, similarity)
-            elif turn <= rounds:
+            elif turn <= rounds or left <= 0.9 * before:
                 met = _with_hubs(_refined(opened, signed, bands, turn, files), turn)
             else:
-                break
+                linked = stage(_checked_in_blocks(opened, signed, texts, similarity), "links")
+                return components(edges.unionByName(linked))
+            before = left
         pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -287,6 +292,56 @@ def _shortlist(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFr
     return pairs.join(marks, "node").join(other, "hub").where(agree >= low * F.size("m"))
 
 
+def _links_of_block(similarity: float):
+    """Links between different components in a block of a bucket: all pairs of one part, or those across two parts."""
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by("part")
+        part, node, root = (block.column(c).to_numpy() for c in ("part", "node", "comp"))
+        root = root.copy()
+        marks, held = (block.column(c).combine_chunks().flatten().to_numpy().reshape(len(node), -1) for c in ("m", "held"))
+        texts, made = block.column("__text"), {}
+        least = len(marks[0]) * (similarity - 5 * np.sqrt(similarity * (1 - similarity) / len(marks[0])))
+        at = int(np.flatnonzero(held[0] == block.column("band")[0].as_py())[0])
+        i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        split = int(np.searchsorted(part, i, side="right"))
+
+        def bag(n: int) -> tuple[np.ndarray, np.ndarray]:
+            if n not in made:
+                made[n] = shingles(texts[n].as_py())
+            return made[n]
+
+        links: list[tuple[int, int]] = []
+        for a in range(split):
+            others = np.arange(a + 1 if i == j else split, len(node))
+            others = others[root[others] != root[a]]
+            others = others[np.count_nonzero(marks[others] == marks[a], axis=1) >= least]
+            others = others[~(held[others, :at] == held[a, :at]).any(axis=1)]  # a pair belongs to the first band it shares
+            for b in others.tolist():
+                if root[b] != root[a] and probability_jaccard(bag(a), bag(b)) >= similarity:
+                    links.append((node[a], node[b]))
+                    root[root == root[b]] = root[a]  # what is joined needs no further link
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
+
+    return run
+
+
+def _checked_in_blocks(opened: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all similar nodes of different components in open buckets.
+
+    A bucket's members are salted into parts of at most about BLOCK_NODES nodes and BLOCK_BYTES of text, and every two parts meet.
+    """
+    sized = opened.join(texts.select("node", F.octet_length("__text").alias("__b")), "node")
+    parts = sized.groupBy("band").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("__b") / BLOCK_BYTES)).cast("int").alias("parts")
+    )
+    salted = opened.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    met = salted.select("band", "node", "comp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    met = met.select("band", "node", "comp", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    own = signed.select(F.col(UID).alias("node"), F.col("__bands").alias("held"), F.col("__marks").alias("m"))
+    return met.join(own, "node").join(texts, "node").groupBy("band", "i", "j").applyInArrow(_links_of_block(similarity), "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are as similar as asked."""
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("__text").alias("ta")), "a")

@@ -115,6 +115,32 @@ def test_many_near_copies_take_the_hub_rounds(docs, monkeypatch):
     assert [full[i] for i in range(140)] == brute_classes(texts)
 
 
+def test_pairs_inside_a_dense_group_are_found(docs, monkeypatch):
+    """A thousand copies of one text around the threshold: most are similar to a few others only, which need not be hubs."""
+    rng = random.Random(8)
+    words, texts = ["v%d" % i for i in range(100)], []
+    for i in range(500):
+        own = list(words)
+        for at in rng.sample(range(5, 95), 2):
+            own[at] = "e%d" % rng.randrange(10**9)
+        texts.append(" ".join(own))
+        own[rng.randrange(100)] = "f%d" % i
+        texts.append(" ".join(own))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    of = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if of[i] != of[j] and 10 * len(a & sets[j]) >= 8 * len(a | sets[j]):
+                low, high = sorted((of[i], of[j]))
+                of = [low if c == high else c for c in of]
+    assert 20 < len(set(of)) < 900
+    real = nd._join_buckets
+    monkeypatch.setattr(nd, "_join_buckets", lambda b, s, t, sim, few, *rest: real(b, s, t, sim, 0, *rest))
+    monkeypatch.setattr(nd, "BLOCK_NODES", 300, raising=False)
+    got = {r.doc_id: r.class_id for r in nd.near_groups(docs(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == of
+
+
 def naive_probability_jaccard(x, y):
     total = 0.0
     for i in x.keys() & y.keys():
