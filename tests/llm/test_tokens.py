@@ -109,6 +109,17 @@ def test_shards(docs, odd_texts):
     assert sharding.shuffle_into_shards(docs(["x"] * 5, [None] * 5), shards=2).count() == 5
 
 
+def test_no_id_overfills_a_bucket(docs, monkeypatch):
+    texts = ["text %d" % i for i in range(300)] + ["own %d" % i for i in range(150)] + ["same"] * 150
+    df = docs(texts, list(range(300)) + [None] * 150 + [7] * 150)
+    sizes, real = [], sharding.running_start
+    monkeypatch.setattr(sharding, "running_start", lambda c, *rest: sizes.append([r["__n"] for r in c.collect()]) or real(c, *rest))
+    placed = [sharding.shuffle_into_shards(d, bucket_bytes=2000).collect() for d in (df, df.repartition(7))]
+    assert all(sum(s) == 600 and max(s) < 75 for s in sizes)
+    first, again = (sorted((r.shard, r.slot, r.doc_id is None, r.doc_id, r.text) for r in rows) for rows in placed)
+    assert first == again and Counter(x[4] for x in first) == Counter(texts)
+
+
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(sharding.fisher_yates(3, [1, s])) for s in range(3000))
     assert len(seen) == 6 and min(seen.values()) > 400
