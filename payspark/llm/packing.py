@@ -4,8 +4,8 @@ Documents are encoded once, whole; those longer than a sequence are cut into ful
 by hash into blocks that a task can hold; a block starts from best fit by decreasing length and then empties bins: from
 the least filled bin, pieces are moved, exchanged one for one, or two for one, with other underfull bins whenever that makes the
 fuller bin fuller, which raises the sum of squared fills at each step and so must end.  Bins that a block leaves
-underfull are opened again in the next round, in blocks over all of them, until one block holds the rest; the number of
-rounds is the logarithm of the number of blocks.
+underfull, the emptiest first and at most half of its pieces, are opened again in the next round, in blocks over all of
+them, until one block holds the rest; the number of rounds is the logarithm of the number of blocks.
 
 Defined cases: null and empty texts are a piece of the end token alone; repeated rows and null ids are pieces of their
 own; a text of any length is cut, never shortened; an empty table gives an empty result; other columns are ignored.
@@ -170,20 +170,27 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
     return empty_bins(best_fit(lengths, capacity), lengths, capacity)
 
 
-def _pack_block(capacity: int, round_no: int, schema: pa.Schema):
+def _pack_block(capacity: int, round_no: int, full: int, schema: pa.Schema):
     def run(block: pa.Table) -> pa.Table:
         n, lengths = block.num_rows, block.column("length").to_pylist()
-        sequence, offset, filled = [0] * n, [0] * n, [0] * n
+        sequence, offset, opened = [0] * n, [0] * n, [0] * n
         first = (round_no << 56) | (block.column("__block")[0].as_py() << 24)
+        fills = []
         for number, members in enumerate(pack_lengths(lengths, capacity)):
             at = 0
             for i in members:
                 sequence[i], offset[i] = first | number, at
                 at += lengths[i]
+            fills.append((at, number, members))
+        room = (n + 1) // 2
+        for fill, _, members in sorted(fills):
+            room -= len(members)
+            if fill >= full or room < 0:
+                break
             for i in members:
-                filled[i] = at
+                opened[i] = 1
         columns = [block.column(f.name) for f in list(schema)[:-3]]
-        return pa.table([*columns, *(pa.array(c, pa.int64()) for c in (sequence, offset, filled))], schema=schema)
+        return pa.table([*columns, *(pa.array(c, pa.int64()) for c in (sequence, offset, opened))], schema=schema)
 
     return run
 
@@ -195,26 +202,24 @@ def pack(
 
     Each round is written to the shared folder, so a lost executor costs one round's rows at most.
     """
-    spark, done, round_no = pieces.sparkSession, None, 0
+    spark, done, round_no, block_pieces = pieces.sparkSession, None, 0, max(2, block_pieces)
     own = [c for c in pieces.columns if c != "ids"]
     left, count = pieces.select(*own), pieces.count()
     while True:
         blocks = max(1, -(-count // block_pieces))
         block = F.pmod(F.xxhash64(F.lit(round_no), UID, "piece"), F.lit(blocks)).alias("__block")
-        schema = T.StructType(list(left.schema)).add("sequence_id", "long").add("offset", "long").add("__fill", "long")
+        schema = T.StructType(list(left.schema)).add("sequence_id", "long").add("offset", "long").add("__open", "long")
         packed = left.select("*", block).groupBy("__block").applyInArrow(
-            _pack_block(capacity, round_no, arrow_schema(spark, schema)), schema
+            _pack_block(capacity, round_no, int(open_below * capacity), arrow_schema(spark, schema)), schema
         )
         packed = stage(packed, "packed")
         if blocks == 1:
-            final = packed.drop("__fill")
+            final = packed.drop("__open")
             return final if done is None else done.unionByName(final)
-        closed = packed.where(F.col("__fill") >= int(open_below * capacity)).drop("__fill")
+        closed = packed.where("__open = 0").drop("__open")
         done = closed if done is None else done.unionByName(closed)
-        left = packed.where(F.col("__fill") < int(open_below * capacity)).select(*own)
-        last, count, round_no = count, left.count(), round_no + 1
-        if count > last // 2:  # poorly fitting pieces: larger blocks no longer help much
-            return done.unionByName(packed.where(F.col("__fill") < int(open_below * capacity)).drop("__fill"))
+        left = packed.where("__open = 1").select(*own)
+        count, round_no = left.count(), round_no + 1
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:

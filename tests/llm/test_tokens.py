@@ -71,6 +71,13 @@ def test_packing_places_every_token_once(docs, odd_texts):
     assert packing.pack_documents(df.where("false")).count() == 0
 
 
+def test_underfull_bins_of_different_blocks_are_merged(spark):
+    pieces = spark.createDataFrame([(i, 0, 35) for i in range(81)], "__uid bigint, piece int, length bigint")
+    placed = packing.pack(pieces, capacity=100, block_pieces=10).collect()
+    assert len(placed) == 81 and len({r["__uid"] for r in placed}) == 81
+    assert len({r.sequence_id for r in placed}) == 41  # two to a sequence
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_local_search_reaches_the_bound_or_best_fit(seed):
     rng = random.Random(seed)
