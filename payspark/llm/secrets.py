@@ -28,7 +28,7 @@ MARK = "[SECRET]"
 
 # --- fixed values: what names a secret, and public key formats ---------------------------------------------------
 NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key"
-KEY = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,200}[0-9])[A-Za-z0-9_+/-]{12,}={0,2}"
+KEY = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}={0,2}"
 ASSIGNED = rf"(?<=(?i:{NAMES})['\"]?\s{{0,3}}[=:]\s{{0,3}}['\"]?)[^\s'\"<>]{{6,}}"
 ISSUED = r"^(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{24,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|your|placeholder|x{6,}|1234567"
@@ -87,16 +87,15 @@ def dictionary(df: DataFrame, text: str = "text", words: int = DICTIONARY_WORDS)
 
 def longest_words(found: DataFrame, words: DataFrame) -> DataFrame:
     """Length of the longest dictionary word inside each token: its substrings of 4 to 12 letters met with the word table."""
-    runs = F.regexp_extract_all(F.lower(F.substring("token", 1, 256)), F.lit(r"\p{L}{4,}"), F.lit(0))
-    starts = F.transform(F.col("__run"), lambda r: r)
-
+    # long runs in windows that overlap by 11 letters, so that a word is whole in one of them
+    runs = F.regexp_extract_all(F.lower("token"), F.lit(r"(?=(\p{L}{4,256}))\p{L}{1,245}"), F.lit(1))
 
     def cut(run: Column) -> Column:
         sizes = F.sequence(F.lit(4), F.least(F.lit(12), F.length(run)))
         return F.flatten(F.transform(sizes, lambda n: F.transform(F.sequence(F.lit(1), F.length(run) - n + 1), lambda i: run.substr(i, n))))
 
-    tokens = found.select("token", runs.alias("__run")).distinct().where(F.size("__run") > 0)
-    pieces = tokens.select("token", F.explode(F.array_distinct(F.flatten(F.transform("__run", cut)))).alias("word"))
+    tokens = found.select("token").distinct().select("token", F.explode(F.array_distinct(runs)).alias("__run"))
+    pieces = tokens.select("token", F.explode(F.array_distinct(cut(F.col("__run")))).alias("word"))
     return pieces.join(F.broadcast(words), "word").groupBy("token").agg(F.max(F.length("word")).alias("longest"))
 
 

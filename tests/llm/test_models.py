@@ -161,6 +161,15 @@ def test_secret_scan_spans_and_redaction(docs):
     assert len(clean) == len(SCANNED) * 3 and secrets.redact(df).columns == df.columns
 
 
+def test_long_key_runs_are_candidates_and_read_whole(spark, docs):
+    run = "Q" * 300 + "1" + "z" * 250 + "harbour" + "z" * 300
+    df = docs(["see %s there" % run]).withColumn("__uid", F.lit(0).cast("bigint"))
+    found = secrets.candidates(df)
+    assert [(r.start, r.token) for r in found.collect()] == [(4, run)]
+    words = spark.createDataFrame([("harbour",), ("other",)], "word string")
+    assert [r.longest for r in secrets.longest_words(found, words).collect()] == [7]
+
+
 def test_secret_edges(docs):
     empty = docs(["x"]).where("false")
     assert secrets.scan(numbered(empty, "t")).count() == 0 and secrets.redact(empty).count() == 0
