@@ -132,4 +132,7 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = sentencepieces.load_model(vocabulary_path("piece_bpe_32k.model"))
-    return sentencepieces.encode(documents(spark, sf), model).withColumn("n_ids", F.size("ids").cast("bigint"))
+    decoded = sentencepieces.decode(F.col("ids"), model)
+    return sentencepieces.encode(documents(spark, sf), model).withColumns(
+        {"n_ids": F.size("ids").cast("bigint"), "decoded_crc32": F.crc32(decoded.cast("binary"))}
+    )

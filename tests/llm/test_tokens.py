@@ -10,7 +10,7 @@ import sentencepiece as sp
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from payspark.llm import packing, sentencepieces, sharding, token_counts, tokens
+from payspark.llm import packing, queries, sentencepieces, sharding, token_counts, tokens
 from payspark.llm.common import UID, numbered, running_start
 
 PATH = tokens.vocabulary_path()
@@ -191,6 +191,13 @@ def test_unigram_viterbi_equals_brute_force_and_the_library(spark, tmp_path):
     assert got["▁Hello"] == library.encode("Hello") and got["▁internationalisation"] == library.encode("internationalisation")
 
 
+def test_piece_query_decodes_every_row(spark, docs, tmp_path):
+    texts = [None, "", "two  blanks and\na line", " ünï 漢字 \U0001f600", "x" * 300]
+    docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.decoded_crc32 for r in queries.op2_sentencepiece(spark, str(tmp_path)).collect()}
+    assert got == {i: zlib.crc32((t or "").encode()) for i, t in enumerate(texts)}
+
+
 def test_numbered_rows_stay_apart(docs):
     df = docs(["a", "a", "a"], [1, 1, None])
     assert numbered(df, "t").select(UID).distinct().count() == 3
