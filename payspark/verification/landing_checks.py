@@ -12,8 +12,9 @@ from .bridge import MERGED_SQL, PAID, PAID_SQL, check, paid, source_tables, tabl
 from .text_checks import K, KEYS
 
 DIRTY_SQL = """dirty0 AS (SELECT * REPLACE (CASE WHEN k1 % 50 = 7 THEN NULL ELSE job_title END AS job_title,
-    CASE WHEN k1 % 60 = 9 THEN NULL WHEN k1 % 97 = 0 THEN 590000.0 ELSE 90000.0 + k3 % 500 END AS annual_salary)
-  FROM paid WHERE data_source <> 'linkedin' OR k1 < 200),
+    CASE WHEN k1 % 60 = 9 THEN NULL WHEN k1 % 97 = 0 THEN 590000.0 ELSE 90000.0 + k3 % 500 END AS annual_salary,
+    CASE WHEN data_source = 'linkedin' AND k1 >= 200 THEN 'adzuna' ELSE data_source END AS data_source)
+  FROM paid AS p),
 dirty AS (SELECT * FROM dirty0 UNION ALL SELECT * FROM dirty0 WHERE k2 = 1)"""
 MERGED_DIRTY_SQL = MERGED_SQL.replace(PAID_SQL, f"{PAID_SQL}, {DIRTY_SQL}", 1).replace("FROM paid)", "FROM dirty)", 1)
 
@@ -21,8 +22,9 @@ MERGED_DIRTY_SQL = MERGED_SQL.replace(PAID_SQL, f"{PAID_SQL}, {DIRTY_SQL}", 1).r
 def dirty_union(spark, sf):
     """Postings with missing titles and pay, far outliers, exact copies and a source of a few rows, standardised."""
     pay = F.when(F.col("k1") % 60 == 9, None).when(F.col("k1") % 97 == 0, 590000.0).otherwise(90000.0 + F.col("k3") % 500)
-    rows = paid(spark, sf).where("data_source <> 'linkedin' OR k1 < 200").withColumns(
-        {"job_title": F.when(F.col("k1") % 50 != 7, F.col("job_title")), "annual_salary": pay}
+    source = F.when((F.col("data_source") == "linkedin") & (F.col("k1") >= 200), "adzuna").otherwise(F.col("data_source"))
+    rows = paid(spark, sf).withColumns(
+        {"job_title": F.when(F.col("k1") % 50 != 7, F.col("job_title")), "annual_salary": pay, "data_source": source}
     )
     tables = tables_of(rows.unionByName(rows.where("k2 = 1")))
     return union_sources([standardize_source(files.stamp_source(df, s), s) for s, df in tables.items()])

@@ -9,6 +9,7 @@ from ..functions import text
 from ..functions.text import html_payload
 from ..operators import features as fe
 from ..operators import records as r
+from ..operators.ordering import with_positions
 from ..operators.profile import skill_items
 from ..operators.splits import stratified_split, temporal_split
 from ..plans.collect import add_annual_salary, job_board_table, scrape_counters, scrape_dedup, wage_benchmarks
@@ -681,13 +682,13 @@ def _(spark, sf):
 
 @check(
     "quality_priority_sort",
-    PAID + f"""SELECT {K}, wage_from, CASE WHEN data_source = 'adzuna' THEN 2 ELSE 1 END AS source_priority FROM paid
-    ORDER BY wage_from DESC, source_priority, k1, k2, k3, k4, collected_at LIMIT 100""",
+    PAID + f"""SELECT {K}, wage_from, CASE WHEN data_source = 'adzuna' THEN 2 ELSE 1 END AS source_priority,
+      row_number() OVER (ORDER BY wage_from DESC, CASE WHEN data_source = 'adzuna' THEN 2 ELSE 1 END, {LINE_SQL}) AS position FROM paid""",
 )
 def _(spark, sf):
     priority = F.when(F.col("data_source") == "adzuna", 2).otherwise(1)
     df = postings(spark, sf).select(*KEYS, "wage_from", priority.alias("source_priority"))
-    return df.orderBy(F.desc("wage_from"), "source_priority", *KEYS).limit(100)
+    return with_positions(df, [F.desc("wage_from"), "source_priority", *in_order(*LINE)])
 
 
 @check(
@@ -855,7 +856,8 @@ def _(spark, sf):
 
 @check(
     "label_encoded_unseen",
-    PAID + f""", fitted AS (SELECT DISTINCT coalesce(seniority_level, 'unknown') AS s FROM paid WHERE year < 2018),
+    PAID + f""", fitted AS (SELECT DISTINCT coalesce(seniority_level, 'unknown') AS s FROM paid
+      WHERE year < 2022 AND coalesce(seniority_level, '') <> 'Entry level'),
     l AS (SELECT s, row_number() OVER (ORDER BY s) - 1 AS code FROM fitted),
     given AS (SELECT *, CASE WHEN k2 = 7 THEN 'Fellow' ELSE seniority_level END AS given_level FROM paid)
     SELECT {K}, CAST(coalesce(l.code, u.code, -1) AS DOUBLE) AS seniority_level_encoded
@@ -863,7 +865,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = postings(spark, sf)
-    codes = fe.label_codes(df.where("year < 2018"), "seniority_level")
+    known = (F.col("year") < 2022) & (F.coalesce("seniority_level", F.lit("")) != "Entry level")
+    codes = fe.label_codes(df.where(known), "seniority_level")
     given = df.withColumn("seniority_level", F.when(F.col("k2") == 7, "Fellow").otherwise(F.col("seniority_level")))
     return fe.encode_labels(given.select(*KEYS, "seniority_level"), codes, "seniority_level").select(*KEYS, "seniority_level_encoded")
 
