@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_classifier, secrets, sentencepieces, toxicity
+from . import importance, mixing, quality_classifier, secrets, sentencepieces, toxicity, vector_codes
 from .common import UID, numbered, ship
 from .exact_dedup import exact_groups
 from .near_dedup import near_groups
@@ -136,3 +136,67 @@ def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return sentencepieces.encode(documents(spark, sf), model).withColumns(
         {"n_ids": F.size("ids").cast("bigint"), "decoded_crc32": F.crc32(decoded.cast("binary"))}
     )
+
+
+@query
+def op13_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf))
+    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken_words().alias("taken"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    scored = importance.score(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"), max_run=1)
+    return importance.draw(scored).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op12_importance_resampling"] = r"""
+WITH steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+texts AS (SELECT 'd' AS kind, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+words AS (SELECT kind, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')) AS w FROM texts),
+met AS (SELECT w, hex(w) AS h, count(*) FILTER (kind = 'd') AS nd, count(*) FILTER (kind = 'b') AS nb FROM words GROUP BY w),
+sums AS (SELECT w, nd, nb, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2),
+    lambda k: ('0x' || substr(h, k, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket FROM met, steps),
+gains AS (SELECT bucket, floor(1000 * ln((sum(nb) + 1)::DOUBLE * (sum(sum(nd)) OVER () + 10000)
+    / ((sum(nd) + 1)::DOUBLE * (sum(sum(nb)) OVER () + 10000))))::BIGINT AS gain FROM sums GROUP BY bucket),
+weights AS (SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM words JOIN sums USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+    FROM documents LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= n * 10 // 100 THEN r END AS rank FROM ranked"""
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    codes, books = vector_codes.compress(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    found = vector_codes.with_label_errors(codes)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Plain k-means over (vector, part, position) rows, one step of assignment and one of renewal per round."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+far{t} AS (SELECT vec_id, x.part, e.entry, sum((x.v - e.v) * (x.v - e.v)) AS d FROM x JOIN book{t} e USING (part, pos) GROUP BY ALL),
+near{t} AS MATERIALIZED (SELECT vec_id, part, min(d) AS d, arg_min(entry, (d, entry)) AS entry FROM far{t} GROUP BY vec_id, part)""")
+        if t < rounds:
+            steps.append(f"""
+mean{t} AS (SELECT n.part, n.entry, pos, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM near{t} n JOIN x USING (vec_id, part) GROUP BY n.part, n.entry, pos),
+book{t + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce(m.v, b.v) AS v FROM book{t} b LEFT JOIN mean{t} m USING (part, entry, pos))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, label, embedding AS e, row_number() OVER (ORDER BY vec_id) - 1 AS nth FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS MATERIALIZED (SELECT vec_id, nth, (i * 4) // len(e) AS part, i % (len(e) // 4) AS pos, floor(1024 * e[i + 1]::DOUBLE)::BIGINT AS v
+  FROM (SELECT *, unnest(range(len(e))) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, nth AS entry, pos, v FROM x WHERE nth < 256),{",".join(steps)},
+code AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN code USING (vec_id), digest"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql()
