@@ -97,7 +97,9 @@ class Moves:
 
     def __init__(self, history: list[np.ndarray]):
         now = history[-1].astype(np.float64)
-        self.own = np.array([np.sqrt(((then - now) ** 2).sum(1)) for then in history])
+        self.own = self.others = np.array([np.sqrt(((then - now) ** 2).sum(1)) for then in history])
+        if not len(now):
+            return
         farthest = self.own.argmax(1)
         rest = self.own.copy()
         rest[np.arange(len(rest)), farthest] = 0
@@ -246,7 +248,8 @@ def compress(
     first = rows.orderBy(*ordered).limit(1).collect()
     width = len(first[0].x) if first else 0
     rows = rows.where(F.size("x") == width)
-    start = np.array([r.x for r in rows.orderBy(*ordered).limit(entries).collect()], np.int64).reshape(-1, width)
+    least = rows.orderBy(*ordered).limit(entries).collect()
+    start = np.array([r.x for r in least], np.int64).reshape(len(least), width)
     at = cuts(width, parts)
     history = [[start[:, s]] for s in at]
     sums = [np.zeros_like(h[0]) for h in history]
