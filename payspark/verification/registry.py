@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import landing_checks, model_checks, record_checks, report_checks, similar_checks, stream_checks, text_checks  # noqa: F401  (they register)
+from . import boosting_checks, landing_checks, model_checks, record_checks, report_checks, similar_checks, stream_checks, text_checks  # noqa: F401  (they register)
 from .bridge import ORACLES, REGISTRY
 
 
