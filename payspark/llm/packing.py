@@ -34,7 +34,7 @@ OPEN_BELOW = 0.98
 
 def _cut(path: str, capacity: int, end: bytes, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, width = shared_encoder(path, id_bytes), 4 * capacity
+        encoder, width, keep = shared_encoder(path, id_bytes), 4 * capacity, "ids" in schema.names
         for batch in batches:
             for i in range(0, batch.num_rows, 250):
                 part = batch.slice(i, 250)
@@ -45,7 +45,7 @@ def _cut(path: str, capacity: int, end: bytes, schema: pa.Schema):
                     ids = b"".join([*encoder.values(text), end])
                     for piece, at in enumerate(range(0, len(ids), width)):
                         own = ids[at : at + width]
-                        row = (uid, doc, piece, at // 4, len(own) // 4, zlib.crc32(own), own)
+                        row = (uid, doc, piece, at // 4, len(own) // 4, zlib.crc32(own), own) if keep else (uid, doc, piece, at // 4, len(own) // 4, zlib.crc32(own))
                         for c, v in zip(columns, row):
                             c.append(v)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -55,13 +55,15 @@ def _cut(path: str, capacity: int, end: bytes, schema: pa.Schema):
 
 def token_pieces(
     df: DataFrame, capacity: int = CAPACITY, text: str = "text", id_col: str = "doc_id", vocabulary: str | None = None,
-    end_token: int = END_TOKEN,
+    end_token: int = END_TOKEN, with_ids: bool = True,
 ) -> DataFrame:
-    """Encoded pieces, written once: __uid, id, piece, start, length, ids_crc32, ids (little-endian 32-bit)."""
+    """Encoded pieces, written once: __uid, id, piece, start, length, ids_crc32 and, where wanted, ids (little-endian 32-bit)."""
     schema = (
         T.StructType().add(UID, "long").add(id_col, df.schema[id_col].dataType).add("piece", "integer").add("start", "long")
-        .add("length", "long").add("ids_crc32", "long").add("ids", "binary")
+        .add("length", "long").add("ids_crc32", "long")
     )
+    if with_ids:
+        schema.add("ids", "binary")
     uid = F.col(UID) if UID in df.columns else F.monotonically_increasing_id()
     run = _cut(vocabulary or vocabulary_path(), capacity, id_bytes([end_token]), arrow_schema(df.sparkSession, schema))
     return stage(df.select(uid, F.col(id_col), text_of(text)).mapInArrow(run, schema), "pieces")
@@ -235,5 +237,5 @@ def pack_documents(
     df: DataFrame, capacity: int = CAPACITY, text: str = "text", id_col: str = "doc_id", vocabulary: str | None = None
 ) -> DataFrame:
     """Placement of every piece of every document: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    placed = pack(token_pieces(df, capacity, text, id_col, vocabulary), capacity)
+    placed = pack(token_pieces(df, capacity, text, id_col, vocabulary, with_ids=False), capacity)
     return placed.select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
