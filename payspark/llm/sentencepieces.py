@@ -1,11 +1,15 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 Encoding.  Texts are cut into words where no piece can cross; every distinct word of the corpus is encoded once.  Its substrings up to
-the longest piece are exploded and met with the piece table by an equi-join; the edges found are grouped by word and folded into the word's
-pieces with Spark's ``aggregate``: a unigram model's best path by Viterbi, a BPE model's merges from the best-scored joinable pair on (for a
-BPE model the best path differs from what the model defines, so the fold is chosen by the model's own type).  Characters without a piece
-become the model's byte pieces.  Words over LONG_WORD characters are encoded by a plain loop over the same pieces.  Words come back to their documents in two ways: the ``hot`` most frequent ones, a table of
-bounded size, as a dictionary sent to the tasks; all others by shuffle joins on the word and then on the document.
+the longest piece are exploded and met with the piece table by an equi-join; the edges found, packed into one long each, are grouped by word
+and folded with Spark's ``aggregate`` into the path of the best summed score: the edges come in the order of their ends, each is touched
+once, and the state holds the scores of the last positions that a piece can reach back to.  Characters without a piece become the model's byte
+pieces.  Words are spread over tasks by the size of their lattices, and a word of any length is exploded window by window and folded in
+time in proportion to its length.  ``fold="merges"`` gives instead the ids that a BPE model's own library gives, which the best path of its
+scores is not: the words go through the model's merges, best score first.
+
+Words come back to their documents in two ways: the frequent ones, at most ``hot``, as a dictionary sent to the tasks; all others by shuffle
+joins on the word and then on the document.
 
 Decoding joins nothing: each id's bytes are looked up in one array of pieces and the bytes of a document are decoded together.
 
@@ -16,6 +20,7 @@ blank, as the library does; repeated rows are encoded each; an empty table gives
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,12 +30,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import UID, numbered, stage, text_of
+from .common import UID, stage, text_of
 from .exact_dedup import arrow_schema
 
 BLANK = "▁"
 HOT_WORDS = 100_000
-LONG_WORD = 200
+COUNTED_WORDS = 300_000
+#: Starts of a word that are exploded together, positions whose choices are kept in one array, and substrings for one task.
+WINDOW = 256
+RUN = 64
+TASK_SUBSTRINGS = 2_000_000
+#: An edge in one long: its end above bit 32, its size above bit 24, and an id or, under the flag, a character without a piece.
+END_BIT, SIZE_BIT, UNKNOWN = 32, 24, 1 << 23
 NORMAL, BYTE, UNIGRAM, BPE = 1, 6, 1, 2
 
 
@@ -64,6 +75,8 @@ def load_model(path: str) -> PieceModel:
     spelled = [p.piece.replace(BLANK, " ").encode().hex() if p.type == NORMAL else "" for p in m.pieces]
     first = next(i for i, p in enumerate(m.pieces) if p.type == BYTE)
     spelled[first : first + 256] = [f"{b:02x}" for b in range(256)]
+    if any(len(p) > 255 for _, p, _ in pieces) or len(m.pieces) > UNKNOWN:
+        raise ValueError("pieces do not fit a packed edge")
     if any(BLANK in p.lstrip(BLANK) or "\n" in p for _, p, _ in pieces):
         raise ValueError("pieces cross the white space between words")
     latin = "A-Za-zÀ-ɏ"
@@ -74,91 +87,136 @@ def load_model(path: str) -> PieceModel:
     return PieceModel(pieces, m.trainer_spec.model_type, first, spelled, pattern, max(len(p) for _, p, _ in pieces), low - 10.0)
 
 
-def words_of(text: Column, model: PieceModel) -> Column:
-    """The words of a text, its blanks written as the marker, one marker in front."""
-    marked = F.concat(F.lit(BLANK), F.translate(text, " ", BLANK))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(model.word_pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def _find_words(pattern: str):
+    find = regex.compile(pattern).findall
+    return lambda text: find(BLANK + text.replace(" ", BLANK)) if text else []
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``word`` with its edges: struct(s, e, score, id) per substring [s, e) that is a piece."""
-    n = F.length("word")
+def _count_words(pattern: str):
+    """Words of a task's texts with their counts, given out whenever COUNTED_WORDS are held."""
 
-    def from_start(s: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), n - s + 1))
-        return F.transform(sizes, lambda size: F.struct((s - 1).alias("s"), (s - 1 + size).alias("e"), F.col("word").substr(s, size).alias("piece")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, counts = _find_words(pattern), Counter()
+
+        def told() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["word", "n"])
+            counts.clear()
+            return out
 
-    cut = words.select("word", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), n), from_start))).alias("c"))
-    met = cut.select("word", "c.s", "c.e", "c.piece").join(F.broadcast(pieces), "piece")
-    edges = met.groupBy("word").agg(F.collect_list(F.struct("s", "e", "score", "id")).alias("edges"))
-    # a word without any edge is spelled in bytes
-    return words.join(edges, "word", "left").select("word", F.coalesce("edges", F.array().cast("array<struct<s:int,e:int,score:double,id:int>>")).alias("edges"))
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(find(text))
+                if len(counts) > COUNTED_WORDS:
+                    yield told()
+        yield told()
 
+    return run
 
-def byte_ids(char: Column, first_byte: int) -> Column:
-    code = F.hex(F.encode(char, "UTF-8"))
-    places = F.sequence(F.lit(1), F.length(code), F.lit(2))
-    return F.transform(places, lambda i: F.conv(code.substr(i, F.lit(2)), 16, 10).cast("int") + first_byte)
 
+def lattice(words: DataFrame, model: PieceModel) -> DataFrame:
+    """``wid``, ``word`` and its edges, packed and in the order of their ends; ``words`` has wid and word, one row each.
 
-def merge_fold(model: PieceModel) -> Column:
-    """BPE: from single characters, join again and again the neighbours whose joint piece has the best score, leftmost first."""
-    edges, n, word = F.col("edges"), F.length("word"), F.col("word")
-    joint = F.filter(edges, lambda e: e["e"] - e["s"] > 1)
+    Every character has an edge, its own piece or, without one, its code point under the flag.
+    """
+    n, longest = F.length("word"), model.longest
+    size = words.agg(F.sum(n * F.least(n, F.lit(longest)))).first()[0] or 0
+    spread = words.repartition(max(1, -(-size // TASK_SUBSTRINGS)), "wid")
+    windows = F.transform(
+        F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int")),
+        lambda k: F.struct((k * WINDOW).alias("at"), F.substr("word", k * WINDOW + 1, F.lit(WINDOW + longest - 1)).alias("t")),
+    )
+    # the word itself goes along in one row of its own
+    cut = spread.select("wid", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.col("word").alias("t"))), windows)).alias("c"))
+    at, t = F.col("c.at"), F.col("c.t")
 
-    def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter(
-            joint,
-            lambda e: (F.array_position(cuts, e["s"]) > 0) & (F.array_position(cuts, e["e"]) == F.array_position(cuts, e["s"]) + 2),
+    def from_start(s: Column) -> Column:
+        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(t) - s + 1))
+        return F.transform(
+            sizes,
+            lambda k: F.struct(
+                (F.shiftleft((at + s - 1 + k).cast("bigint"), END_BIT) + F.shiftleft(k.cast("bigint"), SIZE_BIT)).alias("head"), F.substr(t, s, k).alias("piece")
+            ),
         )
-        best = F.array_max(F.transform(fits, lambda e: F.struct(e["score"].alias("score"), (-e["s"]).alias("left"), e["e"].alias("e"))))
-        return F.when(best.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= -best["left"]) | (c >= best["e"])))
 
-    merges = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+    inner = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.length(t))), from_start))
+    own = F.array(F.struct(F.lit(-1).cast("bigint").alias("head"), t.alias("piece")))
+    subs = cut.select("wid", F.explode(F.when(at < 0, own).otherwise(inner)).alias("x")).select("wid", "x.head", "x.piece")
+    known = subs.join(F.broadcast(model.table(words.sparkSession).select("piece", "id")), "piece", "left")
+    head, single = F.col("head"), F.shiftright("head", SIZE_BIT).bitwiseAND(255) == 1
+    edge = F.when(head < 0, F.lit(None)).when(F.col("id").isNotNull(), head + F.col("id")).when(single, head + UNKNOWN + F.ascii("piece"))
+    rows = known.select("wid", F.when(head < 0, F.col("piece")).alias("word"), edge.alias("edge")).where("word IS NOT NULL OR edge IS NOT NULL")
+    return rows.groupBy("wid").agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
+
+
+def _kept(state: Column, value: Column) -> list[Column]:
+    """``tail`` and ``full`` of a state with one more value: arrays of RUN, so that a long word's choices are not copied at every step."""
+    filled = F.size(state["tail"]) >= RUN
+    return [
+        F.when(filled, F.array(value)).otherwise(F.concat(state["tail"], F.array(value))).alias("tail"),
+        F.when(filled, F.concat(state["full"], F.array(state["tail"]))).otherwise(state["full"]).alias("full"),
+    ]
+
+
+def best_path(model: PieceModel) -> Column:
+    """Ids of the path with the best summed score over ``edges``; of equal paths the one reached from the leftmost start."""
+    scores = [0.0] * (1 + max((i for i, _, _ in model.pieces), default=0))
+    for i, _, score in model.pieces:
+        scores[i] = score
+    score_of = F.split(F.lit(",".join(map(repr, scores))), ",").cast("array<double>")
+    longs = F.array().cast("array<bigint>")
+    start = F.struct(
+        F.lit(1).cast("bigint").alias("at"), F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).cast("bigint").alias("choice")).alias("best"),
+        F.array(F.lit(0.0)).alias("back"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"),
+    )
 
-    def spelled(cuts: Column) -> Column:
-        def segment(i: Column) -> Column:
-            s, e = F.element_at(cuts, i), F.element_at(cuts, i + 1)
-            known = F.filter(edges, lambda x: (x["s"] == s) & (x["e"] == e))
-            return F.when(F.size(known) > 0, F.transform(known, lambda x: x["id"])).otherwise(byte_ids(word.substr(s + 1, e - s), model.first_byte))
+    def step(state: Column, edge: Column) -> Column:
+        end, choice = F.shiftright(edge, END_BIT), edge.bitwiseAND((1 << END_BIT) - 1)
+        size, piece = F.shiftright(choice, SIZE_BIT).cast("int"), choice.bitwiseAND((1 << SIZE_BIT) - 1)
+        own = F.when(piece >= UNKNOWN, F.lit(model.unknown_score)).otherwise(F.get(score_of, piece.cast("int")))
 
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), segment))
+        def reached(before: Column) -> Column:
+            return F.struct((before + own).alias("score"), choice.alias("choice"))
 
-    return F.aggregate(merges, F.sequence(F.lit(0), n), step, spelled)
+        best, back = state["best"], state["back"]
+        same = F.struct(
+            state["at"].alias("at"), F.greatest(best, reached(F.get(back, size - 1))).alias("best"), back.alias("back"), state["tail"].alias("tail"),
+            state["full"].alias("full"),
+        )
+        later = F.struct(
+            end.alias("at"), reached(F.when(size == 1, best["score"]).otherwise(F.get(back, F.greatest(size - 2, F.lit(0))))).alias("best"),
+            F.slice(F.concat(F.array(best["score"]), back), 1, model.longest).alias("back"), *_kept(state, best["choice"]),
+        )
+        return F.when(end == state["at"], same).otherwise(later)
 
+    def choices(state: Column) -> Column:
+        return F.concat(F.flatten(state["full"]), state["tail"], F.array(state["best"]["choice"]))
 
-def viterbi_fold(model: PieceModel) -> Column:
-    """Unigram: best path by summed score; of equal paths the one that was reached from the leftmost start."""
-    n, word = F.length("word"), F.col("word")
-    node = "struct<score:double,s:int,id:int>"
-    chars = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(i.alias("s"), (i + 1).alias("e"), F.lit(model.unknown_score).alias("score"), F.lit(None).cast("int").alias("id")),
-    )
-    own = F.filter(chars, lambda c: ~F.exists("edges", lambda x: (x["s"] == c["s"]) & (x["e"] == c["e"])))
-    ordered = F.array_sort(F.concat(F.col("edges"), own))  # by start, then end: every best start is final when it is used
-    start = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i == 0, F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("s"), F.lit(None).cast("int").alias("id"))).cast(node))
+    def back_step(state: Column, choice: Column) -> Column:
+        passed = F.struct((state["skip"] - 1).alias("skip"), state["tail"].alias("tail"), state["full"].alias("full"))
+        taken = F.struct((F.shiftright(choice, SIZE_BIT) - 1).alias("skip"), *_kept(state, choice.bitwiseAND((1 << SIZE_BIT) - 1)))
+        return F.when(state["skip"] > 0, passed).otherwise(taken)
 
-    def relax(best: Column, x: Column) -> Column:
-        before, now = F.element_at(best, x["s"] + 1), F.element_at(best, x["e"] + 1)
-        score = before["score"] + x["score"]
-        better = before.isNotNull() & (now.isNull() | (score > now["score"]))
-        fresh = F.struct(score.alias("score"), x["s"].alias("s"), x["id"].alias("id")).cast(node)
-        return F.when(better, F.transform(best, lambda b, i: F.when(i == x["e"], fresh).otherwise(b))).otherwise(best)
+    def taken(chosen: Column) -> Column:
+        none = F.struct(F.lit(0).cast("bigint").alias("skip"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"))
+        return F.aggregate(F.reverse(chosen), none, back_step, lambda s: F.reverse(F.concat(F.flatten(s["full"]), s["tail"])))
 
-    def path(best: Column) -> Column:
-        def back(p: Column, _: Column) -> Column:
-            b = F.element_at(best, p["at"] + 1)
-            own_ids = F.when(b["id"].isNotNull(), F.array(b["id"])).otherwise(byte_ids(word.substr(b["s"] + 1, p["at"] - b["s"]), model.first_byte))
-            return F.when(p["at"] <= 0, p).otherwise(F.struct(b["s"].alias("at"), F.concat(own_ids, p["ids"]).alias("ids")))
+    path = taken(F.aggregate("edges", start, step, choices))
+    ids = F.transform(path, lambda v: F.when(v < UNKNOWN, F.array(v)).otherwise(_byte_ids(v - UNKNOWN, model.first_byte)))
+    return F.flatten(ids).cast("array<int>")
 
-        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("ids")), back, lambda p: p["ids"])
 
-    return F.aggregate(ordered, start, relax, path)
+def _byte_ids(code: Column, first_byte: int) -> Column:
+    """Ids of a code point's UTF-8 bytes."""
+    low = lambda shift: F.shiftright(code, shift).bitwiseAND(63) + 128 + first_byte
+    high = lambda shift, mark: F.shiftright(code, shift) + mark + first_byte
+    return (
+        F.when(code < 0x80, F.array(code + first_byte)).when(code < 0x800, F.array(high(6, 192), low(0)))
+        .when(code < 0x10000, F.array(high(12, 224), low(6), low(0))).otherwise(F.array(high(18, 240), low(12), low(6), low(0)))
+    )
 
 
 def merged_ids(word: str, table: dict[str, tuple[float, int]], longest: int, first_byte: int) -> list[int]:
-    """The merges of one very long word: joinable neighbours wait in a heap, best score first, then leftmost."""
+    """A word's merges: joinable neighbours wait in a heap, best score first, then leftmost."""
     n = len(word)
     end, before, alive, heap = [i + 1 for i in range(n)], [i - 1 for i in range(n)], [True] * n, []
 
@@ -186,79 +244,90 @@ def merged_ids(word: str, table: dict[str, tuple[float, int]], longest: int, fir
     return ids
 
 
-def best_path_ids(word: str, table: dict[str, tuple[float, int]], longest: int, first_byte: int, unknown: float) -> list[int]:
-    """The best path of one very long word."""
-    n = len(word)
-    best: list = [(0.0, -1, None)] + [None] * n
-    for s in range(n):
-        for e in range(s + 1, min(n, s + longest) + 1):
-            found = table.get(word[s:e]) or ((unknown, None) if e == s + 1 else None)
-            if found and (best[e] is None or best[s][0] + found[0] > best[e][0]):
-                best[e] = (best[s][0] + found[0], s, found[1])
-    parts, at = [], n
-    while at:
-        _, s, found = best[at]
-        parts.append([found] if found is not None else [b + first_byte for b in word[s:at].encode()])
-        at = s
-    return [i for part in reversed(parts) for i in part]
-
-
-def _long_words(model: PieceModel):
+def _merged(model: PieceModel):
     table = {p: (score, i) for i, p, score in model.pieces}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if model.kind == UNIGRAM:
-                ids = [best_path_ids(w, table, model.longest, model.first_byte, model.unknown_score) for w in b.column(0).to_pylist()]
-            else:
-                ids = [merged_ids(w, table, model.longest, model.first_byte) for w in b.column(0).to_pylist()]
+            ids = [merged_ids(w, table, model.longest, model.first_byte) for w in b.column(0).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
 
     return run
 
 
-def encode_words(words: DataFrame, model: PieceModel) -> DataFrame:
-    """``word`` (distinct) -> ``ids``; words over LONG_WORD characters, whose fold would take the square of their length, by a loop."""
-    fold = viterbi_fold(model) if model.kind == UNIGRAM else merge_fold(model)
-    short = lattice(words.where(F.length("word") <= LONG_WORD), model.table(words.sparkSession), model.longest).select("word", fold.alias("ids"))
-    long = words.where(F.length("word") > LONG_WORD).select("word").mapInArrow(_long_words(model), "word string, ids array<int>")
-    return short.unionByName(long)
+def encode_words(words: DataFrame, model: PieceModel, fold: str = "best") -> DataFrame:
+    """``word`` (distinct) -> ``ids``: of the best path through its lattice, or of the model's merges."""
+    if fold == "merges":
+        return words.select("word").mapInArrow(_merged(model), "word string, ids array<int>")
+    if "wid" not in words.columns:
+        words = stage(words.select("word", F.monotonically_increasing_id().alias("wid")), "words")
+    return lattice(words.select("wid", "word"), model).select("word", best_path(model).alias("ids"))
+
 
+def _rare_words(pattern: str, hot):
+    """(row, word) for every different word of a text that is not in the dictionary."""
 
-def _stitch(pattern: str, hot: dict[str, list[int]], schema: pa.Schema):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, known = _find_words(pattern), hot.value
+        for batch in batches:
+            uids, words = [], []
+            for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = {w for w in find(text) if w not in known}
+                uids += [uid] * len(own)
+                words += own
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(words, pa.string())], [UID, "word"])
+
+    return run
+
+
+def _stitch(pattern: str, hot, schema: pa.Schema):
     """A document's words, from the dictionary or from its own rare words, one after the other."""
-    find = regex.compile(pattern).findall
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, known = _find_words(pattern), hot.value
         for b in batches:
             out = []
             for text, rare in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 ids: list[int] = []
                 own = {r["word"]: r["ids"] for r in rare or ()}
-                for w in find(BLANK + text.replace(" ", BLANK)) if text else ():
-                    ids += hot.get(w) or own[w]
+                for w in find(text):
+                    ids += known.get(w) or own[w]
                 out.append(ids)
             yield pa.record_batch([b.column(0), pa.array(out, pa.list_(pa.int32()))], schema=schema)
 
     return run
 
 
-def encode(df: DataFrame, model: PieceModel, text: str = "text", id_col: str = "doc_id", hot_words: int = HOT_WORDS) -> DataFrame:
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The words met at least 2^k times, for the least k that leaves at most ``most`` of them."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r.k: r.words for r in counted.groupBy(power.alias("k")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    k, held = 64, 0
+    while k > 0 and held + sizes.get(k - 1, 0) <= most:
+        k -= 1
+        held += sizes.get(k, 0)
+    return counted.where(power >= k)
+
+
+def encode(
+    df: DataFrame, model: PieceModel, text: str = "text", id_col: str = "doc_id", hot_words: int = HOT_WORDS, fold: str = "best"
+) -> DataFrame:
     """The id and ``ids`` of every row of ``df``; whole texts."""
-    rows = df if UID in df.columns else numbered(df.select(id_col, text), "piece-rows")
-    docs = rows.select(UID, F.col(id_col), text_of(text).alias("t"))
-    held = docs.select(UID, F.explode(words_of(F.col("t"), model)).alias("word"))
-    counted = stage(held.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    encoded = stage(encode_words(counted.select("word"), model), "encoded")
-    top = stage(counted.orderBy(F.desc("n"), "word").limit(hot_words).select("word"), "hot")
-    hot = encoded.join(F.broadcast(top), "word").toArrow()
-    known = dict(zip(hot.column("word").to_pylist(), hot.column("ids").to_pylist()))
+    spark = df.sparkSession
+    uid = F.col(UID) if UID in df.columns else F.monotonically_increasing_id().alias(UID)
+    docs = df.select(uid, F.col(id_col), text_of(text).alias("t"))
+    met = docs.select("t").mapInArrow(_count_words(model.word_pattern), "word string, n bigint")
+    counted = met.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = stage(counted.withColumn("wid", F.monotonically_increasing_id()), "words")
+    encoded = stage(encode_words(counted, model, fold), "encoded")
+    top = encoded.join(frequent(counted, hot_words).select("word"), "word").toArrow()
+    hot = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("ids").to_pylist())))
     # rare words of a document: no word here is frequent, so neither join meets a hot key
-    pairs = docs.select(UID, F.explode(F.array_distinct(words_of(F.col("t"), model))).alias("word")).join(F.broadcast(top), "word", "left_anti")
+    pairs = docs.select(UID, "t").mapInArrow(_rare_words(model.word_pattern, hot), f"{UID} bigint, word string")
     rare = pairs.join(encoded, "word").groupBy(UID).agg(F.collect_list(F.struct("word", "ids")).alias("rare"))
     schema = T.StructType().add(id_col, df.schema[id_col].dataType).add("ids", T.ArrayType(T.IntegerType()))
     return docs.join(rare, UID, "left").select(id_col, "t", "rare").mapInArrow(
-        _stitch(model.word_pattern, known, arrow_schema(df.sparkSession, schema)), schema
+        _stitch(model.word_pattern, hot, arrow_schema(spark, schema)), schema
     )
 
 

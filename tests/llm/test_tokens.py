@@ -145,7 +145,7 @@ SENTENCES = [None, "", " ", "  Two  blanks\n\nlines\t", "été ＡＢ 你好 ☃
 
 def test_pieces_equal_the_library_and_decode_back(docs):
     model, library = sentencepieces.load_model(PIECES), sp.SentencePieceProcessor(model_file=PIECES)
-    out = sentencepieces.encode(docs(SENTENCES), model, hot_words=3)
+    out = sentencepieces.encode(docs(SENTENCES), model, hot_words=3, fold="merges")
     rows = out.withColumn("back", sentencepieces.decode(F.col("ids"), model)).collect()
     assert len(rows) == len(SENTENCES)
     for r in rows:
@@ -155,11 +155,20 @@ def test_pieces_equal_the_library_and_decode_back(docs):
     assert sentencepieces.encode(docs(SENTENCES).where("false"), model).count() == 0
 
 
-def brute_viterbi(word, model):
+TABLES = {}
+
+
+def piece_table(key, model):
+    if key not in TABLES:
+        TABLES[key] = model, {p: (s, i) for i, p, s in model.pieces}
+    return TABLES[key][1]
+
+
+def brute_viterbi(word, model, longest=10**9):
     best = [(0.0, None, None)] + [None] * len(word)
-    table = {p: (s, i) for i, p, s in model.pieces}
+    table = piece_table(id(model), model)
     for s in range(len(word)):
-        for e in range(s + 1, len(word) + 1):
+        for e in range(s + 1, min(len(word), s + longest) + 1):
             piece = word[s:e]
             score, ident = table.get(piece, (model.unknown_score, None) if e == s + 1 else (None, None))
             if score is not None and (best[e] is None or best[s][0] + score > best[e][0]):
@@ -183,14 +192,40 @@ def test_unigram_viterbi_equals_brute_force_and_the_library(spark, tmp_path):
     path = tmp_path / "unigram.model"
     path.write_bytes(m.SerializeToString())
     model, library = sentencepieces.load_model(str(path)), sp.SentencePieceProcessor(model_file=str(path))
-    words = ["▁Hello", "▁wonderful", "world", "▁été☃", "▁", "\n", "▁internationalisation"]
+    words = ["▁Hello", "▁wonderful", "world", "▁été☃", "▁", "\n", "▁internationalisation", "x" * 1500 + "Qu9" * 300 + "été☃𝒳" * 90]
     got = {r.word: r.ids for r in sentencepieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
     assert got == {w: brute_viterbi(w, model) for w in words}
-    table = {p: (s, i) for i, p, s in model.pieces}
-    assert all(sentencepieces.best_path_ids(w, table, model.longest, model.first_byte, model.unknown_score) == ids for w, ids in got.items())
     assert got["▁Hello"] == library.encode("Hello") and got["▁internationalisation"] == library.encode("internationalisation")
 
 
+def test_best_path_of_every_word(spark, sf):
+    """The query's own fold against brute force on all different words of the smallest table."""
+    model = sentencepieces.load_model(PIECES)
+    find = sentencepieces._find_words(model.word_pattern)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    words = sorted({w for t in texts for w in find(t)})
+    got = {r.word: r.ids for r in sentencepieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
+    longest = model.longest
+    assert len(got) == len(words) and all(got[w] == brute_viterbi(w, model, longest) for w in words)
+
+
+def test_best_path_of_documents(docs):
+    model = sentencepieces.load_model(PIECES)
+    find = sentencepieces._find_words(model.word_pattern)
+    out = sentencepieces.encode(docs(SENTENCES, [None, *range(1, len(SENTENCES))]), model, hot_words=3)
+    rows = out.withColumn("back", sentencepieces.decode(F.col("ids"), model)).collect()
+    for r in rows:
+        text = (SENTENCES[r.doc_id] if r.doc_id else None) or ""
+        assert r.ids == [i for w in find(text) for i in brute_viterbi(w, model, model.longest)]
+        assert r.back == text.replace("▁", " ")
+    assert len(rows) == len(SENTENCES)
+
+
+def test_frequent_words_are_bounded(spark):
+    counted = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate([1, 1, 2, 3, 4, 9, 100])], "word string, n bigint")
+    assert {m: sentencepieces.frequent(counted, m).count() for m in (0, 1, 2, 3, 4, 5, 6, 7)} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7}
+
+
 def test_piece_query_decodes_every_row(spark, docs, tmp_path):
     texts = [None, "", "two  blanks and\na line", " ünï 漢字 \U0001f600", "x" * 300]
     docs(texts).write.parquet(str(tmp_path / "documents.parquet"))
