@@ -129,10 +129,16 @@ def _melt(row: DataFrame, names: dict[str, str], key: str, value: str) -> DataFr
     return row.select(F.explode(pairs).alias("p")).select(F.col("p.k").alias(key), F.col("p.v").alias(value))
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """The column's value, NaN as null."""
+    c = F.col(column)
+    return F.when(~F.isnan(c), c) if dict(df.dtypes).get(column) in ("float", "double") else c
+
+
 def missing_counts(df: DataFrame) -> DataFrame:
-    """Per column: rows, missing rows and missing percent; one pass over the table."""
+    """Per column: rows, missing rows (null or NaN) and missing percent; one pass over the table."""
     names = {f"m{i}": c for i, c in enumerate(df.columns)}
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(k) for k, c in names.items()])
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(present(df, c).isNull()).alias(k) for k, c in names.items()])
     pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(k).alias("v")) for k, c in names.items()])
     return row.select("rows", F.explode(pairs).alias("p")).select(
         F.col("p.k").alias("column_name"),
@@ -217,9 +223,9 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
-    """Equal-width bins between min and max: bin, lower and upper edge, count (empty bins included)."""
+    """Equal-width bins between min and max: bin, lower and upper edge, count (empty bins included); nulls and NaN count nowhere."""
     spark = df.sparkSession
-    x = df.select(value.cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = df.select(value.cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     edges = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     same = F.col("lo") == F.col("hi")
     edges = edges.select(
@@ -251,6 +257,11 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     )
 
 
+def histogram_lines(df: DataFrame, value: Column) -> DataFrame:
+    """The lines drawn into a histogram, in one row: mean and median of the present values."""
+    return distribution(df, [], value, {"median": 0.5}, ("mean",)).select("mean", "median")
+
+
 def outlier_report(df: DataFrame, low: float = EDA_LOW, high: float = EDA_HIGH, column: str = SALARY) -> DataFrame:
     """Quartiles, 1.5 IQR fences and the number and share of values outside them; one ranked pass."""
     valid = valid_salaries(df, low, high, column)
@@ -396,10 +407,10 @@ def skill_cooccurrence(df: DataFrame, top: int = 20) -> DataFrame:
 
 
 def correlation_with(df: DataFrame, target: str = SALARY, columns: list[str] | None = None, top: int = 20):
-    """Pearson correlation of each numeric column with the target, best first; one pass."""
+    """Pearson correlation of each numeric column with the target over the rows that have both, best first; one pass."""
     cols = columns or numeric_columns(df)
     names = {f"c{i}": c for i, c in enumerate(cols)}
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(k) for k, c in names.items()])
+    row = df.agg(*[F.corr(present(df, c).cast("double"), present(df, target).cast("double")).alias(k) for k, c in names.items()])
     return _melt(row, names, "column_name", "correlation").orderBy(
         F.desc_nulls_last("correlation"), "column_name"
     ).limit(top)
@@ -408,7 +419,7 @@ def correlation_with(df: DataFrame, target: str = SALARY, columns: list[str] | N
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """All pairwise correlations in long form; one pass."""
     cols = [(a, a) for a in columns] + list(combinations(columns, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(cols)])
+    row = df.agg(*[F.corr(present(df, a).cast("double"), present(df, b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(cols)])
     cells = []
     for i, (a, b) in enumerate(cols):
         cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")))

@@ -446,3 +446,42 @@ def _(spark, sf):
 def _(spark, sf):
     tables = {s: df.select(*AVAIL[s]) for s, df in stamped_sources(spark, sf).items()}
     return p.availability_matrix(p.feature_availability(tables), list(tables))
+
+
+# --- missing numbers: NaN counts as missing everywhere --------------------------------------------------------------------
+
+GAP = "CASE WHEN k2 = 3 THEN NULL WHEN k2 = 5 THEN 'NaN'::DOUBLE ELSE annual_salary END"
+GAPS = PAID + f", holed AS (SELECT * REPLACE ({GAP} AS annual_salary) FROM paid), held AS (SELECT * FROM holed WHERE NOT isnan(annual_salary))"
+
+
+def holed(spark, sf):
+    """Postings whose pay is null on one line and NaN on another."""
+    pay = F.when(F.col("k2") == 3, None).when(F.col("k2") == 5, float("nan")).otherwise(F.col(A))
+    return paid(spark, sf).withColumn(A, pay)
+
+
+@check(
+    "missing_with_nan",
+    GAPS + f"""SELECT '{A}' AS column_name, count(*) AS rows, count(*) - (SELECT count(*) FROM held) AS missing,
+      round((count(*) - (SELECT count(*) FROM held)) * 100.0 / count(*), 4) AS missing_pct FROM holed""",
+)
+def _(spark, sf):
+    return rounded(p.missing_counts(holed(spark, sf).select(A)), 4)
+
+
+@check("histogram_with_nan", GAPS + _hist_sql(A, 20, source="held").removeprefix(PAID))
+def _(spark, sf):
+    return rounded(p.histogram(holed(spark, sf), F.col(A), 20), 4)
+
+
+@check("histogram_lines", GAPS + f" SELECT round(avg({A}), 4) AS mean, round(quantile_cont({A}, 0.5), 4) AS median FROM held")
+def _(spark, sf):
+    return rounded(p.histogram_lines(holed(spark, sf), F.col(A)), 4)
+
+
+@check(
+    "correlation_with_nan",
+    GAPS + " UNION ALL ".join(f" SELECT '{c}' AS column_name, round(corr({c}, {A}), 6) AS correlation FROM held" for c in NUM if c != A),
+)
+def _(spark, sf):
+    return rounded(p.correlation_with(holed(spark, sf), columns=[c for c in NUM if c != A]), 6)
