@@ -71,6 +71,19 @@ def distribution(
     return out.select(*columns)
 
 
+def distribution_of_counts(counted: DataFrame, by: list[str], value: str, count: str, percentiles: dict[str, float]) -> DataFrame:
+    """As ``distribution`` without moments, from the counts of each value (double, present) in each group."""
+    cells = counted.select(*by, F.col(value).alias("__v"), F.col(count).alias("__c")).withColumn("__b", bucket(F.col("__v")))
+    groups = _locate(cells, by, percentiles)
+    out = join_groups(groups.select(*by, "n"), _percentile_values(cells, groups, by, percentiles), by)
+    columns = [F.col(c) for c in (*by, "n")]
+    for name, p in percentiles.items():
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
+        columns.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    return out.select(*columns)
+
+
 def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
     """The two neighbouring 0-based ranks of each percentile, over ``n``."""
     out = {}

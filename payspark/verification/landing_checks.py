@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.profile import correlation_matrix
 from ..operators.records import standardize_source, union_sources
 from ..plans.merge import merge_counters, merge_standardized
 from ..session import work_path
-from ..sources import files, sinks
+from ..sources import files, ledger, sinks
 from .bridge import MERGED_SQL, PAID, PAID_SQL, check, paid, source_tables, tables_of
+from .record_checks import LINE, SCRAPE_SQL, scrape_records
 from .text_checks import K, KEYS
 
 DIRTY_SQL = """dirty0 AS (SELECT * REPLACE (CASE WHEN k1 % 50 = 7 THEN NULL ELSE job_title END AS job_title,
@@ -102,3 +104,40 @@ def _(spark, sf):
     rows = paid(spark, sf).select(*KEYS, "job_title", "skills_csv")
     sinks.write_jsonl(rows, path)
     return spark.read.schema(rows.schema).json(path)
+
+
+def landing(spark, sf, root: str, day: int) -> list[tuple[str, str]]:
+    """One day's files: even lines come on day 0, odd ones on day 1; every third order is consolidated, the others are raw."""
+    rows = scrape_records(spark, sf).where(F.col("k2") % 2 == day)
+    for name, of_name in (("processed", F.col("k1") % 3 == 0), ("raw", F.col("k1") % 3 != 0)):
+        rows.where(of_name).drop(*[c for c in LINE if c != "collected_at"]).write.json(f"{root}/{name}/day={day}")
+    return [(f"{root}/processed", "*.json"), (f"{root}/raw", "*.json")]
+
+
+@check(
+    "incremental_history",
+    SCRAPE_SQL + """ SELECT job_url, min(CASE WHEN k1 % 3 = 0 THEN 0 ELSE 1 END)::INT AS stage, 0 AS read_again FROM scrape WHERE job_url IS NOT NULL GROUP BY job_url""",
+)
+def _(spark, sf):
+    root = work_path(spark, "history")
+    for day in (0, 1):
+        folders = landing(spark, sf, root, day)
+        ledger.advance_history(spark, folders, f"{root}/state")
+    found, again = ledger.advance_history(spark, folders, f"{root}/state")  # nothing has landed since
+    return found.select("job_url", "stage", F.lit(again).alias("read_again"))
+
+
+CORRELATED = ("wage_from", "annual_salary", "year")
+
+
+@check(
+    "stored_matrix",
+    PAID + " UNION ALL ".join(
+        f"SELECT '{a}' AS column_name, '{b}' AS other, round(corr({a}, {b}), 6) AS correlation FROM paid" for a in CORRELATED for b in CORRELATED
+    ),
+)
+def _(spark, sf):
+    path = f"{work_path(spark, 'report')}/matrix"
+    sinks.write_report(correlation_matrix(paid(spark, sf), list(CORRELATED)), path)
+    stored = spark.read.schema("column_name string, other string, correlation double").json(path)
+    return stored.withColumn("correlation", F.round("correlation", 6))

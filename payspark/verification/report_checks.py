@@ -485,3 +485,17 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return rounded(p.correlation_with(holed(spark, sf), columns=[c for c in NUM if c != A]), 6)
+
+
+REPORTS = {"by_title": "job_title", "by_employer": "employer_name", "by_year": "year", "by_unit": "wage_unit", "by_level": "seniority_level", "overall": "'all'"}
+
+
+@check(
+    "percentile_reports",
+    GAPS + ", cells AS (" + " UNION ALL ".join(f"SELECT '{r}' AS report, CAST({e} AS VARCHAR) AS group_value, {A} AS v FROM held" for r, e in REPORTS.items())
+    + """) SELECT report, group_value, count(*) AS n, round(avg(v) + 1e-7, 4) AS mean, round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.5), 4) AS median,
+      round(quantile_cont(v, 0.75), 4) AS q75 FROM cells WHERE group_value IS NOT NULL GROUP BY report, group_value""",
+)
+def _(spark, sf):
+    reports = p.percentile_reports(holed(spark, sf), {r: F.expr(e) for r, e in REPORTS.items()}, F.col(A))
+    return rounded(reports.withColumn("mean", F.col("mean") + 1e-7), 4)  # means of few cents lie on rounding's edge

@@ -72,3 +72,32 @@ def test_contiguous_parts(spark, rows, parts):
     got = [r.part for r in ordering.contiguous_parts(df, parts, rows).orderBy("position").collect()]
     sizes = [rows // parts + (p < rows % parts) for p in range(parts)]
     assert got == [p for p, n in enumerate(sizes) for _ in range(n)]
+
+
+def test_history_reads_each_file_once(spark, tmp_path):
+    import json
+    import os
+
+    from payspark.sources import ledger
+
+    def land(folder, name, urls):
+        os.makedirs(tmp_path / folder, exist_ok=True)
+        with open(tmp_path / folder / name, "w") as f:
+            f.writelines(json.dumps({"job_url": u, "position": f"{name}-{i}"}) + "\n" for i, u in enumerate(urls))
+            f.write("not json\n")
+
+    folders = [(str(tmp_path / "processed"), "consolidated-*.jsonl"), (str(tmp_path / "raw"), "batch-*.jsonl")]
+    root = str(tmp_path / "state")
+    os.makedirs(tmp_path / "processed")
+    land("raw", "batch-2.jsonl", ["a", "b", "b", None])
+    first, n = ledger.advance_history(spark, folders, root)
+    assert n == 1 and {r.job_url: r.position for r in first.collect()} == {"a": "batch-2.jsonl-0", "b": "batch-2.jsonl-1"}
+    land("raw", "batch-1.jsonl", ["b", "c"])
+    land("processed", "consolidated-9.jsonl", ["c"])
+    second, n = ledger.advance_history(spark, folders, root)
+    want = {"a": "batch-2.jsonl-0", "b": "batch-1.jsonl-0", "c": "consolidated-9.jsonl-0"}
+    assert n == 2 and {r.job_url: r.position for r in second.collect()} == want
+    again, n = ledger.advance_history(spark, folders, root)
+    assert n == 0 and {r.job_url: r.position for r in again.collect()} == want
+    kept = ledger.read_ledger(spark, root)
+    assert sorted(r.run for r in kept.collect()) == [0, 1, 1]
