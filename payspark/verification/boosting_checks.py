@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import boosting as b
 from ..operators.ordering import contiguous_parts, with_positions
+from ..operators.scoring import rank_importance
 from ..session import work_path
 from .bridge import PAID, check, paid
 from .record_checks import LINE, LINE_SQL, in_order
@@ -100,6 +101,22 @@ def _(spark, sf):
     return b.saved_scores(inputs(spark, sf), root, keep=KEYS).withColumn("prediction", F.round("prediction", 6))
 
 
+GAIN_SQL = " UNION ALL ".join(f"SELECT f, gain FROM w_{t}_b{d}" for t in range(WHOLE.trees) for d in range(WHOLE.depth))
+
+
+@check(
+    "boosted_importance",
+    FITTED + f""", gains AS ({GAIN_SQL}), every AS (SELECT unnest(range(1, {len(NAMES) + 1})) AS f),
+    means AS (SELECT f, coalesce(avg(gain), 0) AS gain FROM every LEFT JOIN gains USING (f) GROUP BY f),
+    shares AS (SELECT f, gain / sum(gain) OVER () AS v FROM means)
+    SELECT {NAME_SQL} AS feature, upper(left({NAME_SQL}, 1)) || substr({NAME_SQL}, 2) AS display_name, round(v, 4) AS importance,
+      round(v * 100, 2) AS importance_pct, round(v, 6) AS share FROM shares""",
+)
+def _(spark, sf):
+    weights = spark.createDataFrame(list(whole_model(spark, sf).importance.items()), "feature string, importance double")
+    return rank_importance(weights).withColumn("share", F.round("share", 6))
+
+
 FOLD_SQL = f"SELECT *, row_number() OVER (ORDER BY {LINE_SQL}) - 1 AS spot, count(*) OVER () AS n FROM m"
 
 
