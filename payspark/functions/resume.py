@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from .words import SPACE, alternation, bind, strip
+from .words import SPACE, alternation, bind, hits, strip, whole_word
 
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
@@ -34,6 +34,12 @@ def any_pattern(patterns) -> str:
     return r"\b(?:" + "|".join(p.removeprefix(r"\b") for p in patterns) + ")"
 
 
+def listed_words(patterns) -> list[str]:
+    """The literal words of patterns such as ``\\b(one|two words)\\b``."""
+    bare = (p.removeprefix(r"\b").removesuffix(r"\b").removeprefix("(").removesuffix(")") for p in patterns)
+    return [w for p in bare for w in p.split("|")]
+
+
 def title_scores(lower: Column) -> Column:
     """Array of (score, order, title) for the title patterns found in the text."""
     n = len(rules.TITLE_PATTERNS)
@@ -52,7 +58,8 @@ def title_scores(lower: Column) -> Column:
             )
         )
     found = F.array_compact(F.array(*rows))
-    return F.when(lower.rlike(any_pattern(p for p, _ in rules.TITLE_PATTERNS)), found)
+    gate = hits(lower, rules.TITLE_NOUNS) & lower.rlike(any_pattern(p for p, _ in rules.TITLE_PATTERNS))
+    return F.when(gate, found)
 
 
 def best_title(lower: Column) -> Column:
@@ -63,14 +70,14 @@ def best_title(lower: Column) -> Column:
 def resume_skills(lower: Column) -> Column:
     hits = [F.when(lower.rlike(p), F.lit(name)) for name, p in rules.SKILL_PATTERNS.items()]
     found = F.array_sort(F.array_compact(F.array(*hits)))
-    gate = lower.rlike(any_pattern(rules.SKILL_PATTERNS.values()))
+    gate = lower.rlike(whole_word(listed_words(rules.SKILL_PATTERNS.values())))
     return F.when(gate, found).otherwise(F.array().cast("array<string>"))
 
 
 def resume_location(lower: Column) -> Column:
     """Struct (state, confidence) of the first state pattern found, in table order."""
     none = F.struct(F.lit(None).cast("string").alias("state"), F.lit(0.0).alias("confidence"))
-    out = F.when(~lower.rlike(any_pattern(rules.STATE_PATTERNS.values())), none)
+    out = F.when(~lower.rlike(whole_word(listed_words(rules.STATE_PATTERNS.values()))), none)
     for state, pattern in rules.STATE_PATTERNS.items():
         at = F.regexp_instr(lower, F.lit(pattern)) - 1
         boost = F.when(at <= rules.MID_WINDOW, 1.5).otherwise(1.0)
@@ -94,12 +101,13 @@ def resume_years(lower: Column, title: Column) -> Column:
     span = rules.RANGE_YEARS_PATTERN
     mid = F.bround((F.try_add(num(span, 1), num(span, 2))) / 2, 0)
     default = found(F.lit(rules.RESUME_DEFAULT_YEARS), 0.0)
-    out = F.when(lower == "", default).when(lower.rlike(span), found(capped(mid), 1.0))
+    written = lower.contains("year")  # all written forms hold it, and most texts do not
+    out = F.when(lower == "", default).when(written & lower.rlike(span), found(capped(mid), 1.0))
     for p in rules.YEARS_PATTERNS:
-        out = out.when(lower.rlike(p), found(capped(num(p, 1)), 1.0))
+        out = out.when(written & lower.rlike(p), found(capped(num(p, 1)), 1.0))
     for words, years in rules.TITLE_YEARS_HINTS:
         out = out.when(F.coalesce(F.lower(title).rlike(alternation(words)), F.lit(False)), found(F.lit(years), 0.5))
-    text_hit = lower.rlike(alternation(rules.TEXT_YEARS_WORDS))
+    text_hit = hits(lower, rules.TEXT_YEARS_WORDS)
     return out.when(text_hit, found(F.lit(rules.TEXT_YEARS), 0.4)).otherwise(default)
 
 

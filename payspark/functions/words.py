@@ -18,10 +18,34 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACE}|{SPACE}$", "")
 
 
+def escaped(word: str) -> str:
+    return re.sub(r"([.+*?^$()\[\]{}|\\/-])", r"\\\1", word)
+
 
 def alternation(words: Iterable[str]) -> str:
     """One regex that matches any of the literal words; one scan of the text instead of one per word."""
-    return "|".join(re.sub(r"([.+*?^$()\[\]{}|\\/-])", r"\\\1", w) for w in words)
+    return "|".join(map(escaped, words))
+
+
+def trie(words: Iterable[str]) -> str:
+    """One regex that matches any of the literal words, branching letter by letter, so that a text position is given up at the first
+    letter that no word goes on with."""
+    words = sorted(set(words))
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    branches = [escaped(head) + trie(tails) for head, tails in heads.items()]
+    if not branches:
+        return ""
+    whole = branches[0] if len(branches) == 1 and "" not in words else f"(?:{'|'.join(branches)})"
+    return f"{whole}?" if "" in words else whole
+
+
+def whole_word(words: Iterable[str]) -> str:
+    """One regex that finds any of the literal words between word boundaries; a position is first tested for a first letter."""
+    words = list(words)
+    return rf"(?=[{''.join(sorted({escaped(w[0]) for w in words}))}])\b{trie(words)}\b"
 
 
 def hits(lower: Column, words: Iterable[str]) -> Column:

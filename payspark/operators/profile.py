@@ -296,24 +296,34 @@ def category_flags(text: Column) -> dict[str, Column]:
 
 
 def skill_category_coverage(df: DataFrame) -> DataFrame:
-    """Rows, share and median salary per skill category, and whether that beats the overall median."""
+    """Rows, share and median salary per skill category, and whether that beats the overall median.
+
+    The postings are read once: equal (categories, salary) cells are counted map side and written, and all figures come from the cells.
+    """
     flags = category_flags(F.col("__text"))
-    flagged = df.select(SALARY, category_text(df).alias("__text")).select(
-        SALARY, *[v.alias(k) for k, v in flags.items()]
+    named = F.array_compact(F.array(*[F.when(v == 1, F.lit(k)) for k, v in flags.items()]))
+    rows = df.select(F.col(SALARY).cast("double").alias(SALARY), category_text(df).alias("__text"))
+    cells = written_once(rows.select(SALARY, named.alias("__names")).groupBy(SALARY, "__names").agg(F.count(F.lit(1)).alias("__c")), "coverage")
+    counts = cells.agg(
+        F.sum("__c").alias("__rows"),
+        *[F.sum(F.when(F.array_contains("__names", k), F.col("__c")).otherwise(0)).alias(k) for k in flags],
     )
-    counts = flagged.agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(k).alias(k) for k in flags])
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in flags])
     coverage = counts.select("__rows", F.explode(pairs).alias("p")).select(
         F.col("p.k").alias("category"),
         F.col("p.v").alias("jobs"),
         F.when(F.col("__rows") > 0, F.col("p.v") * 100.0 / F.col("__rows")).alias("coverage_pct"),
     )
-    names = F.array_compact(F.array(*[F.when(F.col(k) == 1, F.lit(k)) for k in flags]))
-    long = valid_salaries(flagged, EDA_LOW, EDA_HIGH).select(F.explode(names).alias("category"), SALARY)
-    medians = distribution(long, ["category"], F.col(SALARY), {"median_salary": 0.5}).drop("n")
-    overall = distribution(df, [], F.col(SALARY), {"median": 0.5}).select("median").scalar()
+    # the overall median, over all salaries, is the group without a name
+    paid = cells.where(F.col(SALARY).isNotNull() & ~F.isnan(SALARY))
+    member = valid_salaries(paid, EDA_LOW, EDA_HIGH).select(F.explode("__names").alias("category"), SALARY, "__c")
+    long = paid.select(F.lit("").alias("category"), SALARY, "__c").unionByName(member)
+    ranked = distribution_of_counts(
+        long.groupBy("category", SALARY).agg(F.sum("__c").alias("__c")), ["category"], SALARY, "__c", {"median_salary": 0.5}
+    ).select("category", "median_salary")
+    overall = ranked.where("category = ''").select("median_salary").scalar()
     return (
-        coverage.join(medians, "category", "left")
+        coverage.join(ranked, "category", "left")
         .withColumn("overall_median", overall)
         .withColumn("above_overall", F.col("median_salary") > F.col("overall_median"))
     )

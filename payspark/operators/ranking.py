@@ -58,9 +58,11 @@ def distribution(
             base = base.where(F.col(c).isNotNull())
     counted = base.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", bucket(F.col("__v")))
     groups = _locate(counted, g, percentiles)
-    out = groups.select(*g, "n", "min", "max")
-    if {"mean", "std"} & {*moments}:  # Spark's deviation keeps the mean and the squares around it, so a large offset costs no digits
-        out = join_groups(out, base.groupBy(*g).agg(F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("std")), g)
+    out = groups.select(*g, "n", "min", "max", "mean")
+    if "std" in moments:  # squares around the mean, so a large offset costs no digits
+        around = F.sum(F.col("__c") * F.pow(F.col("__v") - F.col("mean"), 2))
+        squares = join_groups(counted, groups.select(*g, "mean"), g).groupBy(*g).agg(around.alias("__s"))
+        out = join_groups(out, squares, g).withColumn("std", F.when(F.col("n") > 1, F.sqrt(F.col("__s") / (F.col("n") - 1))))
     if percentiles:
         out = join_groups(out, _percentile_values(counted, groups, g, percentiles), g)
     columns = [F.col(c) for c in by] + [F.col(c) for c in ("n", *moments)]
@@ -96,7 +98,8 @@ def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
 def _locate(counted: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
     """Per group: size, ends and, per wanted rank, its bucket with its ends and the number of rows before it."""
     before = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    heads = counted.groupBy(*g, "__b").agg(F.sum("__c").alias("__bc"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    heads = counted.groupBy(*g, "__b").agg(F.sum("__c").alias("__bc"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
+                                                  F.sum(F.col("__v") * F.col("__c")).alias("__sum"))
     heads = heads.withColumns(
         {
             "__off": F.coalesce(F.sum("__bc").over(before), F.lit(0)),
@@ -108,7 +111,8 @@ def _locate(counted: DataFrame, g: list[str], percentiles: dict[str, float]) ->
         F.max(F.when((F.col("__off") <= r) & (r < F.col("__off") + F.col("__bc")), place)).alias(f"__at_{k}")
         for k, r in _ranks(percentiles).items()
     ]
-    ends = [F.max("n").cast("bigint").alias("n"), F.min("__lo").alias("min"), F.max("__hi").alias("max")]
+    ends = [F.max("n").cast("bigint").alias("n"), F.min("__lo").alias("min"), F.max("__hi").alias("max"),
+            (F.sum("__sum") / F.sum("__bc")).alias("mean")]
     return heads.groupBy(*g).agg(*ends, *at)
 
 

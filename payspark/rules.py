@@ -292,6 +292,7 @@ TITLE_PATTERNS = (
     (r"\bvp\s+of\s+(ai|ml)\b", "VP of AI"),
     (r"\b(ai|ml|machine learning)\s+manager\b", "AI/ML Manager"),
 )
+TITLE_NOUNS = ("engineer", "scientist", "director", "head", "vp", "manager")  # each title pattern needs one of them
 SKILL_PATTERNS = {
     "Python": r"\bpython\b",
     "Machine Learning": r"\b(machine learning|ml)\b",
