@@ -442,7 +442,17 @@ def _(spark, sf):
     return rounded(p.feature_availability(tables), 4)
 
 
-@check("availability_matrix")
+@check(
+    "availability_matrix",
+    PAID + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, " + ", ".join(
+            (f"coalesce(format('{{:.1f}}%', count({AVAIL[s][f]}) FILTER (data_source = '{s}') * 100.0 / "
+             f"nullif(count(*) FILTER (data_source = '{s}'), 0)), 'N/A')" if f in AVAIL[s] else "'N/A'") + f" AS {s}"
+            for s in AVAIL
+        ) + " FROM paid GROUP BY ()"
+        for f in rules.KEY_FEATURES
+    ),
+)
 def _(spark, sf):
     tables = {s: df.select(*AVAIL[s]) for s, df in stamped_sources(spark, sf).items()}
     return p.availability_matrix(p.feature_availability(tables), list(tables))

@@ -381,10 +381,47 @@ def _(spark, sf):
     )
 
 
-@check("document_fields")
+# word boundaries that hold for letters of any language, as in document_locations
+EDGES = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
+
+
+def _located_sql():
+    """Confidence of the first state found: 1.5 where it starts within the first 2,000 characters after the start."""
+    whens = []
+    for p in rules.STATE_PATTERNS.values():
+        p = EDGES[0] + p[2:-2] + EDGES[1]
+        at = f"length(regexp_split_to_array(low, '{p}')[1]) + length(regexp_extract(low, '{p}', 1))"
+        whens.append(f"WHEN regexp_matches(low, '{p}') THEN CASE WHEN {at} <= 2000 THEN 1.5 ELSE 1 END")
+    return f"CAST(CASE {' '.join(whens)} ELSE 0 END AS DOUBLE)"
+
+
+def _years_sure_sql(title):
+    written = " OR ".join(f"regexp_matches(low, '{p}')" for p in (rules.RANGE_YEARS_PATTERN, *rules.YEARS_PATTERNS))
+    hinted = " OR ".join(any_of(f"lower({title})", words) for words, _ in rules.TITLE_YEARS_HINTS)
+    return f"CAST(CASE WHEN {written} THEN 1 WHEN {hinted} THEN 0.5 WHEN {any_of('low', rules.TEXT_YEARS_WORDS)} THEN 0.4 ELSE 0 END AS DOUBLE)"
+
+
+@check(
+    "document_fields",
+    r"""WITH b AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[\s\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')) AS clean, lower(clean) AS low FROM documents),"""
+    + f""" s AS (SELECT *, {_title_score_sql()} AS m, {_resume_skills_sql()} AS skills FROM b),
+    h AS (SELECT *, {_hint_sql()} AS hint FROM s),
+    t AS (SELECT *, CASE WHEN hint.t IS NOT NULL AND (m.t IS NULL OR hint.s > m.s) THEN hint.t ELSE m.t END AS title FROM h)
+    SELECT doc_id, title AS job_title, {_state_sql(*EDGES)} AS location, {_years_sql('title')} AS experience_years, array_to_string(skills, ',') AS skills,
+      CAST(greatest(coalesce(m.s, 0), coalesce(round(hint.s, 4), 0)) AS DOUBLE) AS title_confidence, {_located_sql()} AS location_confidence,
+      {_years_sure_sql('title')} AS experience_confidence, CAST(CASE WHEN len(skills) > 0 THEN 1 ELSE 0 END AS DOUBLE) AS skills_confidence,
+      CASE WHEN clean <> '' THEN left(clean, 500) END AS preview, clean <> '' AS success,
+      CASE WHEN clean = '' THEN 'Could not extract text from file. Please try a different format.'
+        WHEN title IS NULL THEN 'Resume parsed but no job title detected' ELSE 'Resume parsed successfully' END AS message FROM t""",
+)
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return resume.parse_documents(docs).drop("text")
+    out = resume.parse_documents(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "job_title", "location", "experience_years", F.array_join("skills", ",").alias("skills"),
+        F.round("confidence.job_title", 4).alias("title_confidence"), F.col("confidence.location").alias("location_confidence"),
+        F.col("confidence.experience").alias("experience_confidence"), F.col("confidence.skills").alias("skills_confidence"),
+        F.col("extracted_text_preview").alias("preview"), "success", "message",
+    )
 
 
 @check(

@@ -163,3 +163,24 @@ def test_skills_title(spark):
     assert [(r.title, round(r.confidence, 4)) for r in got] == [
         ("MLOps Engineer", 0.55), ("Data Engineer", 0.4), (None, 0.0), ("Data Scientist", 0.5),
     ]
+
+
+def test_gates_hold_every_word_of_their_patterns():
+    import itertools
+    import re
+
+    from payspark import rules
+    from payspark.functions.resume import listed_words
+    from payspark.functions.words import trie, whole_word
+
+    for pattern, _ in rules.TITLE_PATTERNS:  # every way through the groups holds a noun
+        parts = [g.strip("()").split("|") for g in re.split(r"(\([^)]*\))", pattern)]
+        assert all(any(n in "".join(way) for n in rules.TITLE_NOUNS) for way in itertools.product(*parts)), pattern
+    for patterns in (rules.SKILL_PATTERNS.values(), rules.STATE_PATTERNS.values()):
+        words = listed_words(patterns)
+        found = re.compile(whole_word(words))
+        for w in words:
+            assert re.fullmatch(trie(words), w)
+            for text in (w, f"in {w}.", f"x{w}", f"{w}x", f"{w[:-1]} {w}"):
+                assert bool(found.search(text)) == any(re.search(p, text) for p in patterns), text
+    assert re.fullmatch(trie(["a+b", "a", "ab"]), "a+b") and not re.fullmatch(trie(["a+b", "ab"]), "a")
