@@ -6,8 +6,9 @@ holds and the letter sequences in them (lower case, present or not), so a few wo
 rows (``max_rows`` per class, drawn by a hash of the id; class sizes are counted over all labels and undo the drawing
 in the loss); every document is scored whole.
 
-``labels`` with a ``grade`` column (0 = harmless) are used as they are.  Labels that only say toxic or not are graded by how many
-different words with a feature typical of toxic rows a toxic row holds: one, two, three or more are grades 1, 2, 3.
+``labels`` with a ``grade`` column (0 = harmless, at most MAX_GRADE) are used as they are.  Labels that only say toxic or not are graded
+by how many different words with a feature typical of toxic rows a toxic row holds: the thirds of the toxic rows by that number are
+grades 1, 2 and 3 (equal numbers share a grade, so fewer grades may come out).
 
 Defined cases: null and empty texts hold no word and get the severity of the bare thresholds; rows with a null label or id teach nothing;
 labels of one kind only give a model without words that finds nothing toxic; repeated rows are scored each; an
@@ -36,6 +37,8 @@ MAX_ROWS = 4000
 MAX_FEATURES = 4096
 LETTERS = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 5)
+GRADES = 3
+MAX_GRADE = 20
 CACHED_WORDS = 300_000
 
 
@@ -145,6 +148,15 @@ def _as_features(names: list[str], positive: set[int]):
     return run
 
 
+def graded_by_count(toxic: np.ndarray, marked: np.ndarray, grades: int = GRADES) -> np.ndarray:
+    """0 for harmless rows; toxic rows by equal parts of their numbers of marked words, from 1 on without gaps."""
+    out = np.zeros(len(toxic), np.int64)
+    if toxic.any():
+        cuts = np.unique(np.quantile(marked[toxic], np.arange(1, grades) / grades, method="inverted_cdf"))
+        out[toxic] = 1 + np.unique(np.searchsorted(cuts, marked[toxic], side="left"), return_inverse=True)[1]
+    return out
+
+
 def fit_thresholds(
     rows: np.ndarray, cols: np.ndarray, grades: np.ndarray, sample_weight: np.ndarray, n_words: int, n_grades: int,
     l2: float = 1e-4, steps: int = 300, rate: float = 0.1,
@@ -186,6 +198,8 @@ def fit(
 ) -> OrdinalModel:
     """The model; the feature numbers of at most ``max_rows`` rows per class come to the driver, near copies once."""
     graded = "grade" in labels.columns
+    if graded:  # so many classes at most, as their sizes come to the driver
+        labels = labels.withColumn("grade", F.greatest(F.lit(0), F.least(F.lit(MAX_GRADE), F.col("grade").cast("int"))))
     drawn, sizes = draw_labelled(df, labels, "grade" if graded else label, text, id_col, max_rows, seed)
     keyed = drawn.select(F.col("__label").cast("bigint"), "__text").mapInArrow(_with_key, "label bigint, text string, key bigint")
     sample = stage(keyed.dropDuplicates(["label", "key"]), "labelled")
@@ -198,7 +212,7 @@ def fit(
     held = made.column("held").combine_chunks()
     rows = np.repeat(np.arange(len(label_of)), np.diff(held.offsets.to_numpy()))
     cols = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    grades = label_of if graded else np.where(label_of > 0, np.clip(marked, 1, 3), 0)
+    grades = label_of if graded else graded_by_count(label_of > 0, marked)
     weight = np.ones(len(grades))
     for g, n in sizes.items():
         weight[label_of == g] = n / max(1, (label_of == g).sum())
