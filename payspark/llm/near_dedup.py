@@ -246,10 +246,15 @@ def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, simil
 
 
 def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, its least node by a hash, where they are not joined yet."""
+    """Each member of a bucket with the bucket's hub, its least node by a hash, where they are not joined yet.
+
+    Buckets of one component, those of one node among them, have no hub, so their rows are met by none.
+    """
     order = F.xxhash64(F.lit(turn), "node")
-    hubs = buckets.groupBy("band").agg(F.min(F.struct(order.alias("h"), "node", "comp")).alias("__h"))
-    hubs = hubs.select("band", F.col("__h.node").alias("hub"), F.col("__h.comp").alias("hub_comp"))
+    hubs = buckets.groupBy("band").agg(
+        F.min(F.struct(order.alias("h"), "node", "comp")).alias("__h"), F.min("comp").alias("least"), F.max("comp").alias("most")
+    )
+    hubs = hubs.where("least < most").select("band", F.col("__h.node").alias("hub"), F.col("__h.comp").alias("hub_comp"))
     return buckets.join(hubs, "band").where("node != hub AND comp != hub_comp")
 
 
