@@ -121,30 +121,22 @@ def lattice(words: DataFrame, model: PieceModel) -> DataFrame:
     n, longest = F.length("word"), model.longest
     size = words.agg(F.sum(n * F.least(n, F.lit(longest)))).first()[0] or 0
     spread = words.repartition(max(1, -(-size // TASK_SUBSTRINGS)), "wid")
-    windows = F.transform(
-        F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int")),
-        lambda k: F.struct((k * WINDOW).alias("at"), F.substr("word", k * WINDOW + 1, F.lit(WINDOW + longest - 1)).alias("t")),
+    windows = spread.select("wid", "word", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / WINDOW).cast("int"))).alias("k"))
+    cut = windows.select("wid", "word", (F.col("k") * WINDOW).alias("at"), F.substr("word", F.col("k") * WINDOW + 1, F.lit(WINDOW + longest - 1)).alias("t"))
+    # starts and sizes are exploded one after the other, which stays compiled; start 0 of the first window is the word itself, in one row of its own
+    first = F.when(F.col("at") == 0, 0).otherwise(1)
+    starts = cut.select("*", F.explode(F.sequence(first, F.least(F.lit(WINDOW), F.length("t")))).alias("s"))
+    own = F.col("s") == 0
+    most = F.when(own, 0).otherwise(F.least(F.lit(longest), F.length("t") - F.col("s") + 1))
+    sizes = starts.select("*", F.explode(F.sequence(F.when(own, 0).otherwise(1), most)).alias("k"))
+    head = F.shiftleft((F.col("at") + F.col("s") - 1 + F.col("k")).cast("bigint"), END_BIT) + F.shiftleft(F.col("k").cast("bigint"), SIZE_BIT)
+    subs = sizes.select(
+        "wid", F.when(own, F.col("word")).alias("word"), F.when(~own, head).alias("head"), F.when(~own, F.substr("t", F.col("s"), F.col("k"))).alias("piece")
     )
-    # the word itself goes along in one row of its own
-    cut = spread.select("wid", F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.col("word").alias("t"))), windows)).alias("c"))
-    at, t = F.col("c.at"), F.col("c.t")
-
-    def from_start(s: Column) -> Column:
-        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.length(t) - s + 1))
-        return F.transform(
-            sizes,
-            lambda k: F.struct(
-                (F.shiftleft((at + s - 1 + k).cast("bigint"), END_BIT) + F.shiftleft(k.cast("bigint"), SIZE_BIT)).alias("head"), F.substr(t, s, k).alias("piece")
-            ),
-        )
-
-    inner = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.length(t))), from_start))
-    own = F.array(F.struct(F.lit(-1).cast("bigint").alias("head"), t.alias("piece")))
-    subs = cut.select("wid", F.explode(F.when(at < 0, own).otherwise(inner)).alias("x")).select("wid", "x.head", "x.piece")
     known = subs.join(F.broadcast(model.table(words.sparkSession).select("piece", "id")), "piece", "left")
-    head, single = F.col("head"), F.shiftright("head", SIZE_BIT).bitwiseAND(255) == 1
-    edge = F.when(head < 0, F.lit(None)).when(F.col("id").isNotNull(), head + F.col("id")).when(single, head + UNKNOWN + F.ascii("piece"))
-    rows = known.select("wid", F.when(head < 0, F.col("piece")).alias("word"), edge.alias("edge")).where("word IS NOT NULL OR edge IS NOT NULL")
+    single = F.shiftright("head", SIZE_BIT).bitwiseAND(255) == 1
+    edge = F.when(F.col("id").isNotNull(), F.col("head") + F.col("id")).when(single, F.col("head") + UNKNOWN + F.ascii("piece"))
+    rows = known.select("wid", "word", edge.alias("edge")).where("word IS NOT NULL OR edge IS NOT NULL")
     return rows.groupBy("wid").agg(F.max("word").alias("word"), F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
@@ -152,11 +144,16 @@ def _kept(state: Column, value: Column) -> list[Column]:
     """``tail`` and ``full`` of a state with one more value: arrays of RUN, so that a long word's choices are not copied at every step."""
     filled = F.size(state["tail"]) >= RUN
     return [
-        F.when(filled, F.array(value)).otherwise(F.concat(state["tail"], F.array(value))).alias("tail"),
-        F.when(filled, F.concat(state["full"], F.array(state["tail"]))).otherwise(state["full"]).alias("full"),
+        F.when(filled, F.array(value)).otherwise(F.array_append(state["tail"], value)).alias("tail"),
+        F.when(filled, F.array_append(state["full"], state["tail"])).otherwise(state["full"]).alias("full"),
     ]
 
 
+def _all(state: Column) -> Column:
+    """The values kept, in their order; ``full`` starts with one empty array."""
+    return F.when(F.size(state["full"]) == 1, state["tail"]).otherwise(F.concat(F.flatten(state["full"]), state["tail"]))
+
+
 def best_path(model: PieceModel) -> Column:
     """Ids of the path with the best summed score over ``edges``; of equal paths the one reached from the leftmost start."""
     scores = [0.0] * (1 + max((i for i, _, _ in model.pieces), default=0))
@@ -165,7 +162,7 @@ def best_path(model: PieceModel) -> Column:
     score_of = F.split(F.lit(",".join(map(repr, scores))), ",").cast("array<double>")
     longs = F.array().cast("array<bigint>")
     start = F.struct(
-        F.lit(1).cast("bigint").alias("at"), F.struct(F.lit(float("-inf")).alias("score"), F.lit(0).cast("bigint").alias("choice")).alias("best"),
+        F.lit(1).cast("bigint").alias("at"), F.lit(float("-inf")).alias("score"), F.lit(0).cast("bigint").alias("choice"),
         F.array(F.lit(0.0)).alias("back"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"),
     )
 
@@ -173,23 +170,21 @@ def best_path(model: PieceModel) -> Column:
         end, choice = F.shiftright(edge, END_BIT), edge.bitwiseAND((1 << END_BIT) - 1)
         size, piece = F.shiftright(choice, SIZE_BIT).cast("int"), choice.bitwiseAND((1 << SIZE_BIT) - 1)
         own = F.when(piece >= UNKNOWN, F.lit(model.unknown_score)).otherwise(F.get(score_of, piece.cast("int")))
-
-        def reached(before: Column) -> Column:
-            return F.struct((before + own).alias("score"), choice.alias("choice"))
-
-        best, back = state["best"], state["back"]
-        same = F.struct(
-            state["at"].alias("at"), F.greatest(best, reached(F.get(back, size - 1))).alias("best"), back.alias("back"), state["tail"].alias("tail"),
-            state["full"].alias("full"),
+        score, back = state["score"], state["back"]
+        reached = F.get(back, size - 1) + own
+        better = F.struct(
+            state["at"].alias("at"), reached.alias("score"), choice.alias("choice"), back.alias("back"), state["tail"].alias("tail"), state["full"].alias("full")
         )
+        longer = F.array_prepend(back, score)
         later = F.struct(
-            end.alias("at"), reached(F.when(size == 1, best["score"]).otherwise(F.get(back, F.greatest(size - 2, F.lit(0))))).alias("best"),
-            F.slice(F.concat(F.array(best["score"]), back), 1, model.longest).alias("back"), *_kept(state, best["choice"]),
+            end.alias("at"), (F.when(size == 1, score).otherwise(F.get(back, F.greatest(size - 2, F.lit(0)))) + own).alias("score"), choice.alias("choice"),
+            F.when(F.size(back) < 2 * model.longest, longer).otherwise(F.slice(longer, 1, model.longest)).alias("back"), *_kept(state, state["choice"]),
         )
-        return F.when(end == state["at"], same).otherwise(later)
+        # at one end the edges come by size, so that of equal scores the later edge is the longer one
+        return F.when(end != state["at"], later).when(reached >= score, better).otherwise(state)
 
     def choices(state: Column) -> Column:
-        return F.concat(F.flatten(state["full"]), state["tail"], F.array(state["best"]["choice"]))
+        return F.array_append(_all(state), state["choice"])
 
     def back_step(state: Column, choice: Column) -> Column:
         passed = F.struct((state["skip"] - 1).alias("skip"), state["tail"].alias("tail"), state["full"].alias("full"))
@@ -198,11 +193,14 @@ def best_path(model: PieceModel) -> Column:
 
     def taken(chosen: Column) -> Column:
         none = F.struct(F.lit(0).cast("bigint").alias("skip"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"))
-        return F.aggregate(F.reverse(chosen), none, back_step, lambda s: F.reverse(F.concat(F.flatten(s["full"]), s["tail"])))
+        return F.aggregate(F.reverse(chosen), none, back_step, lambda s: F.reverse(_all(s)))
+
+    def spelled(path: Column) -> Column:
+        ids = F.flatten(F.transform(path, lambda v: F.when(v < UNKNOWN, F.array(v)).otherwise(_byte_ids(v - UNKNOWN, model.first_byte))))
+        return F.when(F.exists(path, lambda v: v >= UNKNOWN), ids).otherwise(path).cast("array<int>")
 
-    path = taken(F.aggregate("edges", start, step, choices))
-    ids = F.transform(path, lambda v: F.when(v < UNKNOWN, F.array(v)).otherwise(_byte_ids(v - UNKNOWN, model.first_byte)))
-    return F.flatten(ids).cast("array<int>")
+    # a plain let: the path is named once, as it is used three times
+    return F.element_at(F.transform(F.array(taken(F.aggregate("edges", start, step, choices))), spelled), 1)
 
 
 def _byte_ids(code: Column, first_byte: int) -> Column:
@@ -265,23 +263,24 @@ def encode_words(words: DataFrame, model: PieceModel, fold: str = "best") -> Dat
 
 
 def _rare_words(pattern: str, hot):
-    """(row, word) for every different word of a text that is not in the dictionary."""
+    """(row, k, word) for the k-th different word of a text that is not in the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, known = _find_words(pattern), hot.value
         for batch in batches:
-            uids, words = [], []
+            uids, places, words = [], [], []
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = {w for w in find(text) if w not in known}
+                own = dict.fromkeys(w for w in find(text) if w not in known)
                 uids += [uid] * len(own)
+                places += range(len(own))
                 words += own
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(words, pa.string())], [UID, "word"])
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(places, pa.int32()), pa.array(words, pa.string())], [UID, "k", "word"])
 
     return run
 
 
 def _stitch(pattern: str, hot, schema: pa.Schema):
-    """A document's words, from the dictionary or from its own rare words, one after the other."""
+    """A document's words, from the dictionary or from its own rare words in the order of their first places, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, known = _find_words(pattern), hot.value
@@ -289,8 +288,10 @@ def _stitch(pattern: str, hot, schema: pa.Schema):
             out = []
             for text, rare in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 ids: list[int] = []
-                own = {r["word"]: r["ids"] for r in rare or ()}
-                for w in find(text):
+                found = find(text)
+                ids_of = {r["k"]: r["ids"] for r in rare or ()}
+                own = {w: ids_of[k] for k, w in enumerate(dict.fromkeys(w for w in found if w not in known))}
+                for w in found:
                     ids += known.get(w) or own[w]
                 out.append(ids)
             yield pa.record_batch([b.column(0), pa.array(out, pa.list_(pa.int32()))], schema=schema)
@@ -323,8 +324,10 @@ def encode(
     top = encoded.join(frequent(counted, hot_words).select("word"), "word").toArrow()
     hot = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("ids").to_pylist())))
     # rare words of a document: no word here is frequent, so neither join meets a hot key
-    pairs = docs.select(UID, "t").mapInArrow(_rare_words(model.word_pattern, hot), f"{UID} bigint, word string")
-    rare = pairs.join(encoded, "word").groupBy(UID).agg(F.collect_list(F.struct("word", "ids")).alias("rare"))
+    pairs = docs.select(UID, "t").mapInArrow(_rare_words(model.word_pattern, hot), f"{UID} bigint, k int, word string")
+    # dealt before they are gathered: single rows are smaller on their way than lists of one
+    dealt = pairs.join(encoded, "word").select(UID, "k", "ids").repartition(UID)
+    rare = dealt.groupBy(UID).agg(F.collect_list(F.struct("k", "ids")).alias("rare"))
     schema = T.StructType().add(id_col, df.schema[id_col].dataType).add("ids", T.ArrayType(T.IntegerType()))
     return docs.join(rare, UID, "left").select(id_col, "t", "rare").mapInArrow(
         _stitch(model.word_pattern, hot, arrow_schema(spark, schema)), schema
