@@ -28,7 +28,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
+    """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The code goes to the executors first, as ``df`` may run some of it.
+    """
+    ship(df.sparkSession)
     path = work_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
