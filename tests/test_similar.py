@@ -101,3 +101,16 @@ def test_history_reads_each_file_once(spark, tmp_path):
     assert n == 0 and {r.job_url: r.position for r in again.collect()} == want
     kept = ledger.read_ledger(spark, root)
     assert sorted(r.run for r in kept.collect()) == [0, 1, 1]
+
+
+def test_numbered_names_meet_by_their_rests(spark):
+    """Names alike but for a few digits share most segments: they meet by what is left without the wrong characters, not all with all."""
+    rng = random.Random(3)
+    texts = {f"customer#{rng.randint(0, 4000):09d}"[rng.randint(0, 3) :] for _ in range(150)} | {edited(rng, "aab" * rng.randint(1, 7)) for _ in range(60)}
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = {(a, b) for a in texts for b in texts if (len(a), a.encode()) < (len(b), b.encode()) and 1 - distance(a, b) / len(b) >= 0.85}
+    assert {(r.a, r.b) for r in similar.similar_pairs(df, 0.85, 2).collect()} == want
+    shorter = similar._rests(df, 0.85, partners=True).withColumnRenamed("text", "a")
+    longer = similar._rests(df, 0.85, partners=False).withColumnRenamed("text", "b")
+    met = {(r.a, r.b) for r in shorter.join(longer, "h").select("a", "b").distinct().collect()}
+    assert {(a, b) for a, b in want if len(b) <= similar.REST_LENGTH} <= met and len(met) < len(texts) ** 2 / 4
