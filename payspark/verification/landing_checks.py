@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.profile import correlation_matrix
 from ..operators.records import standardize_source, union_sources
 from ..plans.merge import merge_counters, merge_standardized
-from ..session import work_path
+from ..session import work_path, written_once
 from ..sources import files, ledger, sinks
 from .bridge import MERGED_SQL, PAID, PAID_SQL, check, paid, source_tables, tables_of
 from .record_checks import LINE, SCRAPE_SQL, scrape_records
@@ -53,7 +53,7 @@ def _(spark, sf):
       (rows_before - rows_valid) / rows_before AS filter_rate, (rows_valid - rows_after) / rows_valid AS duplicate_rate FROM c""",
 )
 def _(spark, sf):
-    union = dirty_union(spark, sf)
+    union = written_once(dirty_union(spark, sf), "sources")  # as run_merge does: counts and merge read one table
     return merge_counters(union, merge_standardized(union)).drop("merged_at")
 
 
@@ -110,8 +110,9 @@ def landing(spark, sf, root: str, day: int) -> list[tuple[str, str]]:
     """One day's files: even lines come on day 0, odd ones on day 1; every third order is consolidated, the others are raw."""
     rows = scrape_records(spark, sf).where(F.col("k2") % 2 == day)
     for name, of_name in (("processed", F.col("k1") % 3 == 0), ("raw", F.col("k1") % 3 != 0)):
-        rows.where(of_name).drop(*[c for c in LINE if c != "collected_at"]).write.json(f"{root}/{name}/day={day}")
-    return [(f"{root}/processed", "*.json"), (f"{root}/raw", "*.json")]
+        landed = rows.where(of_name).drop(*[c for c in LINE if c != "collected_at"])
+        landed.write.option("compression", "gzip").json(f"{root}/{name}/day={day}")
+    return [(f"{root}/processed", "*.json.gz"), (f"{root}/raw", "*.json.gz")]
 
 
 @check(

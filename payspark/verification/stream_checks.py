@@ -16,8 +16,8 @@ def ingested(spark, sf) -> str:
     records = scrape_records(spark, sf)
     for day, odd in enumerate((0, 1, 0)):
         part = records.where(F.col("k2") % 2 == odd).drop(*[c for c in LINE if c != "collected_at"])
-        part.write.json(f"{root}/landing/day={day}")
-        ingest_new_postings(spark, f"{root}/landing/day=*", f"{root}/table", f"{root}/state", pattern="*.json")
+        part.write.option("compression", "gzip").json(f"{root}/landing/day={day}")
+        ingest_new_postings(spark, f"{root}/landing/day=*", f"{root}/table", f"{root}/state", pattern="*.json.gz")
     return f"{root}/table"
 
 
