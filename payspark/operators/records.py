@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import pay, text
 from ..functions.words import blank, strip
+from ..session import written_once
 from .ranking import distribution, join_groups
 
 # --- projection and standardisation -------------------------------------------------------------------
@@ -76,7 +77,11 @@ def clean_scrape_records(df: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def project_scrape_record(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Scraper fields to the stored record; the first record per url of the run is kept."""
+    """Scraper fields to the stored record; the first record per url of the run is kept.
+
+    The first place of each url is found over the url and the columns of ``order`` alone, so that no record is sorted whole but
+    those in such a place.  ``order`` must give a row the same values whenever it is read.
+    """
     names = {
         "collected_at": "collectedAt", "position": "position", "company": "company", "location": "location",
         "posted_date": "date", "job_url": "jobUrl", "salary": "salary", "seniority_level": "seniorityLevel",
@@ -88,7 +93,12 @@ def project_scrape_record(df: DataFrame, order: list[Column]) -> DataFrame:
         "skills": F.coalesce("skills", F.array().cast("array<string>")),
         "description": F.substring(F.coalesce("description", F.lit("")), 1, rules.DESCRIPTION_CUT),
     }
-    first = first_per_key(df, ["jobUrl"], order)
+    places = [F.col(f"__o{i}") for i in range(len(order))]
+    placed = df.select("*", *[o.alias(f"__o{i}") for i, o in enumerate(order)])
+    best = first_per_key(placed.select(F.col("jobUrl").alias("__url"), *places), ["__url"], places)
+    best = written_once(best.toDF(*[f"__best_{c}" for c in best.columns]), "best")  # a table of known size: few are broadcast
+    same = [F.col("jobUrl").eqNullSafe(F.col("__best___url"))] + [p.eqNullSafe(F.col(f"__best___o{i}")) for i, p in enumerate(places)]
+    first = first_per_key(placed.join(best, reduce(lambda a, b: a & b, same), "left_semi"), ["jobUrl"], places)
     return first.select(*[special.get(n, F.col(c)).alias(n) for n, c in names.items()])
 
 

@@ -240,3 +240,17 @@ def test_plain_markup_reads_as_the_parser_reads_it():
         for parser in (ours, detail):
             html._read(parser, page, {})
         assert ours.items == items.items and detail.found == text.found, page
+
+
+def test_no_whole_record_is_sorted_before_its_url_is_chosen(spark):
+    columns = "k int, collectedAt string, position string, company string, location string, date string, jobUrl string, salary string, " \
+        "seniorityLevel string, employmentType string, jobFunction string, industries string, applicantCount int, experienceYears string, " \
+        "education string, skills array<string>, companyLogo string, description string"
+    def row(k, url, name):
+        return (k, "t", name, "c", "l", "d", url, None, None, None, None, None, 1, None, None, None, None, "x" * 600)
+
+    df = spark.createDataFrame([row(2, "u", "b"), row(1, "u", "a"), row(1, "u", "a"), row(None, "v", "n"), row(3, "v", "m"), row(7, None, "z"), row(8, None, "y")], columns)
+    out = r.project_scrape_record(df, [F.col("k")])
+    assert sorted((x.job_url or "", x.position, len(x.description)) for x in out.collect()) == [("", "z", 500), ("u", "a", 500), ("v", "n", 500)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan  # the windows over all rows see the url and the order alone, and end in a written table
