@@ -84,9 +84,10 @@ def binned(df: DataFrame, features: list[str], target: str, keep: Iterable[str]
     y = F.col(target).cast("double")
     ready = align_features(df.where(y.isNotNull()), features, [F.struct(*keep, y.alias("__y")).alias("__row")])
     steps = [k / bins for k in range(1, bins)]
-    values = ready.agg(*[F.percentile_approx(f"`{f}`", steps, 10_000).alias(f"c{i}") for i, f in enumerate(features)]).first()
-    least = ready.agg(*[F.min(f"`{f}`").alias(f"c{i}") for i, f in enumerate(features)]).first()
-    cuts = [sorted({c for c in values[i] or [] if c > least[i]}) for i in range(len(features))]
+    ready = written_once(ready, "features")
+    values = ready.agg(*[F.percentile_approx(f"`{f}`", steps, 10_000).alias(f"c{i}") for i, f in enumerate(features)],
+                       *[F.min(f"`{f}`").alias(f"m{i}") for i, f in enumerate(features)]).first()
+    cuts = [sorted({c for c in values[f"c{i}"] or [] if c > values[f"m{i}"]}) for i in range(len(features))]
 
     def bin_of(feature: str, own: list[float]) -> Column:
         return F.size(F.filter(F.lit(own), lambda v: v <= F.col(f"`{feature}`"))) if own else F.lit(0)

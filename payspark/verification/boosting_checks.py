@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import boosting as b
 from ..operators.ordering import contiguous_parts, with_positions
 from ..operators.scoring import rank_importance
-from ..session import work_path
+from ..session import work_path, written_once
 from .bridge import PAID, check, paid
 from .record_checks import LINE, LINE_SQL, in_order
 from .text_checks import K, KEYS
@@ -76,8 +76,8 @@ FITTED = f"{INPUT_SQL}, {cuts_sql('m', WHOLE.bins)}, {fit_sql('m', WHOLE, 'w', '
 NAME_SQL = f"([{', '.join(repr(n) for n in NAMES)}])[f]"
 
 
-def whole_model(spark, sf):
-    return b.fit(b.binned(inputs(spark, sf), NAMES, "pay", bins=WHOLE.bins), WHOLE)
+def whole_model(spark, sf, rows=None):
+    return b.fit(b.binned(inputs(spark, sf) if rows is None else rows, NAMES, "pay", bins=WHOLE.bins), WHOLE)
 
 
 @check(
@@ -91,14 +91,16 @@ def _(spark, sf):
 
 @check("gbt_scores", FITTED + f" SELECT {K}, round(m, 6) AS prediction FROM w_m{WHOLE.trees}")
 def _(spark, sf):
-    return b.predict(whole_model(spark, sf), inputs(spark, sf), KEYS).withColumn("prediction", F.round("prediction", 6))
+    rows = written_once(inputs(spark, sf), "inputs")  # fitted and scored
+    return b.predict(whole_model(spark, sf, rows), rows, KEYS).withColumn("prediction", F.round("prediction", 6))
 
 
 @check("saved_model_scores", FITTED + f" SELECT {K}, round(m, 6) AS prediction FROM w_m{WHOLE.trees}")
 def _(spark, sf):
     root = work_path(spark, "models")
-    b.save(spark, whole_model(spark, sf), root, "20250101_000000")
-    return b.saved_scores(inputs(spark, sf), root, keep=KEYS).withColumn("prediction", F.round("prediction", 6))
+    rows = written_once(inputs(spark, sf), "inputs")  # fitted and scored
+    b.save(spark, whole_model(spark, sf, rows), root, "20250101_000000")
+    return b.saved_scores(rows, root, keep=KEYS).withColumn("prediction", F.round("prediction", 6))
 
 
 GAIN_SQL = " UNION ALL ".join(f"SELECT f, gain FROM w_{t}_b{d}" for t in range(WHOLE.trees) for d in range(WHOLE.depth))
