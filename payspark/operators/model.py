@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..session import written_once
 from .features import align_features, numeric_matrix
 from .scoring import rank_importance, regression_metrics
 from .splits import row_hash
@@ -46,7 +47,8 @@ def _assembler(features: list[str]) -> VectorAssembler:
 def _fit(df: DataFrame, features: list[str], target: str, params: dict | None) -> PayModel:
     params = {**rules.MODEL_PARAMS, **(params or {})}
     assembler = _assembler(features)
-    ready = numeric_matrix(df, features, [F.col(target).cast("double").alias(LABEL)])
+    # the fit reads its rows several times before it keeps its own copy: their features are made once
+    ready = written_once(numeric_matrix(df, features, [F.col(target).cast("double").alias(LABEL)]), "matrix")
     fitted = _estimator(params).fit(assembler.transform(ready).select(LABEL, "features"))
     weights = dict(zip(features, (float(x) for x in fitted.featureImportances.toArray())))
     return PayModel(PipelineModel([assembler, fitted]), features, weights, params)
@@ -76,7 +78,8 @@ def predict(model: PayModel, df: DataFrame, keep: Iterable[str] | None = None) -
 
 
 def evaluate(model: PayModel, df: DataFrame, target: str) -> dict:
-    scored = predict(model, df.withColumn(LABEL, F.col(target).cast("double")), [LABEL])
+    """Metrics of a model on ``df``; each row is scored once, however often the metrics read the scores."""
+    scored = written_once(predict(model, df.withColumn(LABEL, F.col(target).cast("double")), [LABEL]), "scored")
     return regression_metrics(scored, LABEL, "prediction").first().asDict()
 
 

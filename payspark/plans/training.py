@@ -13,6 +13,7 @@ from ..operators import model as m
 from ..operators.records import apply_profile, filter_lookback
 from ..operators.scoring import prediction_band, top_factors
 from ..operators.splits import stratified_split
+from ..session import written_once
 
 
 def model_table(
@@ -43,7 +44,7 @@ def train_pipeline(
     spark = merged.sparkSession
     df, features, target = model_table(merged, **selection)
     narrow = df.select(*dict.fromkeys([*ids, "year", target, *features]))
-    parts = stratified_split(narrow, ids, "year", 0.15, 0.15, 42)
+    parts = written_once(stratified_split(narrow, ids, "year", 0.15, 0.15, 42), "split")
     train, val, test = (parts.where(F.col("split") == s) for s in ("train", "val", "test"))
     extra: dict = {}
     if tune:
