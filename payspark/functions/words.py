@@ -42,10 +42,29 @@ def trie(words: Iterable[str]) -> str:
     return f"{whole}?" if "" in words else whole
 
 
+def _place(words: list[str]) -> str:
+    return rf"(?=[{''.join(sorted({escaped(w[0]) for w in words}))}])\b"
+
+
 def whole_word(words: Iterable[str]) -> str:
     """One regex that finds any of the literal words between word boundaries; a position is first tested for a first letter."""
     words = list(words)
-    return rf"(?=[{''.join(sorted({escaped(w[0]) for w in words}))}])\b{trie(words)}\b"
+    return rf"{_place(words)}{trie(words)}\b"
+
+
+def whole_words(text: Column, words: Iterable[str]) -> Column:
+    """The listed words that stand between word boundaries, as an array with repeats; one scan of the text for all of them.
+
+    The longest word of each place is found, and places may overlap; a listed word that a longer one starts with comes with it.
+    """
+    words = sorted(set(words))
+    found = F.regexp_extract_all(text, F.lit(rf"{_place(words)}(?=({trie(words)}\b))"), F.lit(1))
+    starts = {w: [v for v in words if re.match(rf"{re.escape(v)}\b", w)] for w in words}
+    longer = {w: vs for w, vs in starts.items() if len(vs) > 1}
+    if not longer:
+        return found
+    pairs = [x for w, vs in longer.items() for x in (F.lit(w), F.array(*map(F.lit, vs)))]
+    return F.flatten(F.transform(found, lambda w: F.coalesce(F.try_element_at(F.create_map(*pairs), w), F.array(w))))
 
 
 def hits(lower: Column, words: Iterable[str]) -> Column:

@@ -184,3 +184,44 @@ def test_gates_hold_every_word_of_their_patterns():
             for text in (w, f"in {w}.", f"x{w}", f"{w}x", f"{w[:-1]} {w}"):
                 assert bool(found.search(text)) == any(re.search(p, text) for p in patterns), text
     assert re.fullmatch(trie(["a+b", "a", "ab"]), "a+b") and not re.fullmatch(trie(["a+b", "ab"]), "a")
+
+
+def test_one_scan_finds_every_listed_word(spark):
+    from payspark.functions.words import whole_words
+
+    words = ["new york", "new", "york city", "sql", "my sql", "r", "ci/cd", "ci"]
+    texts = ["new york city", "my sql, mysql r", "newt ci/cd", "", None, "xnew york_city ci-r newé"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.w if r.w is None else sorted(r.w) for r in rows.select(whole_words(F.col("t"), words).alias("w")).collect()]
+    want = rows.select(*[F.col("t").rlike(rf"\b{w}\b").alias(w) for w in words]).collect()
+    assert [None if g is None else sorted(set(g)) for g in got] == [
+        None if t is None else sorted(w for w in words if r[w]) for t, r in zip(texts, want)
+    ]
+
+
+def test_title_of_short_and_long_texts(spark):
+    """The first title of a short text is the best of all scores; patterns are looked for in a text that holds their words."""
+    import re
+
+    from payspark import rules
+
+    tails = ["ai engineer", "sr. data  scientist", "senior ml engineer", "vp of ai", "ai manager", "lead data scientists", "data\nengineer at head of ml"]
+    texts = [f"{'x ' * k}{a} and {'y ' * k}{b}" for k in (0, 300, 390, 500, 1200) for a in tails for b in tails]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", resume.best_title(F.col("t")).alias("b"), F.array_max(resume.title_scores(F.col("t"))).alias("m")).collect()
+    n = len(rules.TITLE_PATTERNS)
+    for r in got:
+        best = None
+        for i, (p, title) in enumerate(rules.TITLE_PATTERNS):
+            if m := re.search(p, r.t):
+                score = float(n - i + (3 if m.start() <= rules.SUMMARY_WINDOW else 1 if m.start() <= rules.MID_WINDOW else 0))
+                best = max(best or (score, -i, title), (score, -i, title))
+        assert (None if r.b is None else tuple(r.b)) == best and r.b == r.m
+
+
+def test_text_rules_scan_once(spark):
+    """Regexes over the whole text, which made up the time of these queries, do not grow with the number of listed words."""
+    df = spark.createDataFrame([("a", "b")], "t string, u string")
+    for made in (resume.resume_skills(F.col("t")), resume.resume_location(F.col("t")), text.description_skills(F.col("t"))):
+        plan = df.select(made)._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("regexp_extract_all") == 1 and plan.count("rlike") <= 1
