@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.words import first_label, flag, has_any, hits, lookup, strip
+from ..session import written_once
 
 SKILL_FLAGS = [f"skill_{c}" for c in rules.SKILL_CATEGORIES]
 
@@ -191,7 +192,12 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
-    """``df`` with ``<column>_encoded``; a label that ``codes`` does not hold gets the code of "unknown", or -1 without one."""
+    """``df`` with ``<column>_encoded``; a label that ``codes`` does not hold gets the code of "unknown", or -1 without one.
+
+    The codes are written first, so that the planner knows their size: few of them are sent to the rows, which then need no shuffle by
+    label and stay where they are however many share one.
+    """
+    codes = written_once(codes, "label-codes")
     unknown = codes.where(F.col("label") == "unknown").select("code").scalar()
     met = df.withColumn("__label", _label(column)).join(codes.withColumnRenamed("label", "__label"), "__label", "left")
     return met.select(*df.columns, F.coalesce("code", unknown, F.lit(-1.0)).alias(f"{column}_encoded"))

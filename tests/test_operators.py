@@ -253,3 +253,12 @@ def test_labels_unseen_are_unknown(spark):
     codes = fe.label_codes(df, "c")
     got = fe.encode_labels(spark.createDataFrame([("a",), ("z",), (None,), ("b",)], "c string"), codes, "c").collect()
     assert {r.c: r.c_encoded for r in got} == {"a": 0.0, "b": 1.0, None: 2.0, "z": 2.0}
+
+
+def test_few_label_codes_move_no_rows(spark):
+    """Rows that share a label are not brought together: the join with the codes sends the codes."""
+    df = spark.range(2_000_000).select("id", F.when(F.col("id") % 3 > 0, "a").alias("c"))
+    out = fe.encode_labels(df, fe.label_codes(df, "c"), "c")
+    assert sorted(r.n for r in out.groupBy("c_encoded").agg(F.count("*").alias("n")).collect()) == [666_667, 1_333_333]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(__label" not in plan
