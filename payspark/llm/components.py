@@ -34,3 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "comp")
         if moved.where("moved").isEmpty():
             return labels
+
+
+def grown(comps: DataFrame, edges: DataFrame) -> DataFrame:
+    """``comps`` with further edges: only the components that these touch are joined, one node each; edges met before are not read again."""
+    root = lambda end: comps.select(F.col("node").alias(end), F.col("comp").alias(f"root_{end}"))
+    between = edges.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left")
+    between = between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a != b").distinct()
+    more = components(between)
+    joined = comps.join(more.select(F.col("node").alias("comp"), F.col("comp").alias("__to")), "comp", "left")
+    alone = more.join(comps, "node", "left_anti").select("node", "comp")
+    return stage(joined.select("node", F.coalesce("__to", "comp").alias("comp")).unionByName(alone), "comps")

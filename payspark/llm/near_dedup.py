@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import UID, numbered, stage, text_of
-from .components import components
+from .components import components, grown
 from .exact_dedup import arrow_schema
 
 SHINGLE = 5
@@ -215,11 +215,27 @@ def near_groups(
 
 
 def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float, few: int, bands: int, rounds: int, files: int) -> DataFrame:
-    """Components of the nodes that share a band and are similar: ``node``, ``comp``.  Thin tables are written in ``files`` files."""
-    edges, tested, comps, opened, before = None, None, None, buckets, 0
+    """Components of the nodes that share a band and are similar: ``node``, ``comp``.  Thin tables are written in ``files`` files.
+
+    A node first meets one hub, the one it shares most bands with; its other hubs then only where they are of another component.
+    """
+    hubs = buckets.where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    hubs = stage(hubs.coalesce(files), "hubs")
+
+    def tried(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The new pairs among ``met`` and those of them that are links."""
+        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs.coalesce(files), "pairs")
+        return pairs, stage(verified(pairs, texts, similarity), "links")
+
+    tested = None
+    tested, linked = tried(hubs.groupBy("node").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub")))
+    comps, opened, before = components(linked), buckets, 0
     for turn in count():
         if turn == 0:
-            met = buckets.where("node != hub")
+            met = _apart(hubs, comps)
         else:
             left, opened = _open_buckets(opened, comps, files)  # a bucket of one component stays so
             if not left:
@@ -229,22 +245,23 @@ def _join_buckets(buckets: DataFrame, signed: DataFrame, texts: DataFrame, simil
             elif turn <= rounds or left <= 0.9 * before:
                 met = _with_hubs(_refined(opened, signed, bands, turn, files), turn)
             else:
-                linked = stage(_checked_in_blocks(opened, signed, texts, similarity), "links")
-                return components(edges.unionByName(linked))
+                return grown(comps, stage(_checked_in_blocks(opened, signed, texts, similarity), "links"))
             before = left
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs.coalesce(files), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = stage(verified(pairs, texts, similarity), "links")
-        edges = linked if edges is None else edges.unionByName(linked)
-        comps = components(edges)
+        pairs, linked = tried(met)
+        tested = tested.unionByName(pairs)
+        comps = grown(comps, linked)
         if turn and left <= few:
             break
     return comps
 
 
+def _apart(hubs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The nodes and hubs that are not joined yet."""
+    own = hubs.select("node", "hub").join(comps, "node", "left").select("node", "hub", F.coalesce("comp", "node").alias("comp"))
+    of_hub = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+    return own.join(of_hub, "hub", "left").where(F.col("comp") != F.coalesce("hub_comp", "hub")).select("node", "hub")
+
+
 def _with_hubs(buckets: DataFrame, turn: int) -> DataFrame:
     """Each member of a bucket with the bucket's hub, its least node by a hash, where they are not joined yet.
 

@@ -9,7 +9,7 @@ import pytest
 
 from payspark.llm import exact_dedup as ex
 from payspark.llm import near_dedup as nd
-from payspark.llm.components import components
+from payspark.llm.components import components, grown
 
 
 def rows_of(df, key="doc_id"):
@@ -175,3 +175,30 @@ def test_signatures_do_not_depend_on_the_batch(docs, odd_texts):
     for i, m in enumerate(made):
         own = nd.prob_minhash(m[0], m[1].astype(float), np.zeros(len(m[0]), np.int64), 1, 160)
         assert (own[0] == full[i]).all()
+
+
+def test_edges_met_before_are_not_read_again(docs, spark, monkeypatch):
+    rng, handed = random.Random(9), []
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choice(["x", "y", "z"]) + str(rng.randrange(9)) if rng.random() < 0.004 * (i % 7) else w for w in base) for i in range(150)]
+
+    def counted(edges):
+        handed.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(nd, "components", counted)
+    monkeypatch.setattr("payspark.llm.components.components", counted)
+    got = {r.doc_id: r.class_id for r in nd.near_groups(docs(texts)).collect()}
+    assert len(set(got.values())) < len(texts)
+    assert sum(handed) < len(texts)
+
+
+def test_grown_components_equal_those_of_all_edges(spark):
+    rng = random.Random(4)
+    edges = [tuple(sorted(rng.sample(range(60), 2))) for _ in range(40)]
+    table = lambda part: spark.createDataFrame(part, "a bigint, b bigint")
+    whole = {tuple(r) for r in components(table(edges)).collect()}
+    comps = components(table(edges[:15]))
+    for part in (edges[15:30], [], edges[30:]):
+        comps = grown(comps, table(part))
+    assert {tuple(r) for r in comps.select("node", "comp").collect()} == whole
