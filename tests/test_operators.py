@@ -216,6 +216,15 @@ def test_top_factors(spark):
     assert [[f.name for f in row.top_factors] for row in got] == [want for _, _, want in FACTOR_CASES]
 
 
+def test_top_factors_keep_their_limits_without_a_fold(spark):
+    weights = {"skill_nlp": 0.5, "skill_mlops": 0.4, "skill_deep_learning": 0.3, "is_staff": 0.2, "is_senior": 0.1, "estimated_yoe": 0.01, "other": 9.0}
+    df = spark.createDataFrame([(1, 1, 1, 1, 1, 3, 1, "TX", "", "x"), (-1, 0, 1, -1, 1, None, 1, None, None, None)], [*weights, "location", "company", "job_title"])
+    out = s.top_factors(df, weights)
+    names = [[f.name for f in row.top_factors] for row in out.collect()]
+    assert names == [["Skill: Nlp", "Skill: Mlops", "Seniority", "Location"], ["Skill: Deep Learning", "Seniority"]]
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_user_skills(spark):
     df = spark.createDataFrame([(0, 0, [" NLP "]), (0, 1, ["deep learning with torch"]), (1, 0, None)], "skill_nlp int, skill_deep_learning int, s array<string>")
     assert [tuple(x[:2]) for x in fe.apply_user_skills(df, "s").collect()] == [(1, 0), (0, 1), (1, 0)]
