@@ -40,6 +40,8 @@ COUNTED_WORDS = 300_000
 WINDOW = 256
 RUN = 64
 TASK_SUBSTRINGS = 2_000_000
+#: Documents whose words, rare words and ids a task holds as Python objects at a time.
+HELD_ROWS = 500
 #: An edge in one long: its end above bit 32, its size above bit 24, and an id or, under the flag, a character without a piece.
 END_BIT, SIZE_BIT, UNKNOWN = 32, 24, 1 << 23
 NORMAL, BYTE, UNIGRAM, BPE = 1, 6, 1, 2
@@ -92,6 +94,12 @@ def _find_words(pattern: str):
     return lambda text: find(BLANK + text.replace(" ", BLANK)) if text else []
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD_ROWS):
+            yield batch.slice(at, HELD_ROWS)
+
+
 def _count_words(pattern: str):
     """Words of a task's texts with their counts, given out whenever COUNTED_WORDS are held."""
 
@@ -103,7 +111,7 @@ def _count_words(pattern: str):
             counts.clear()
             return out
 
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 counts.update(find(text))
                 if len(counts) > COUNTED_WORDS:
@@ -267,7 +275,7 @@ def _rare_words(pattern: str, hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, known = _find_words(pattern), hot.value
-        for batch in batches:
+        for batch in _slices(batches):
             uids, places, words = [], [], []
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = dict.fromkeys(w for w in find(text) if w not in known)
@@ -284,7 +292,7 @@ def _stitch(pattern: str, hot, schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, known = _find_words(pattern), hot.value
-        for b in batches:
+        for b in _slices(batches):
             out = []
             for text, rare in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 ids: list[int] = []

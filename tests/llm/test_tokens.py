@@ -236,3 +236,17 @@ def test_piece_query_decodes_every_row(spark, docs, tmp_path):
 def test_numbered_rows_stay_apart(docs):
     df = docs(["a", "a", "a"], [1, 1, None])
     assert numbered(df, "t").select(UID).distinct().count() == 3
+
+
+def test_rare_words_are_held_for_few_documents_at_a_time():
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    from payspark.llm import sentencepieces as sp
+
+    ids, texts = [*range(1200)], [f"a{i % 7} b{i} b{i}" for i in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts)], ["u", "t"])
+    given = list(sp._rare_words(r"\S+", SimpleNamespace(value={}))([batch]))
+    assert len(given) >= 3
+    rows = [r for b in given for r in zip(*(c.to_pylist() for c in b.columns))]
+    assert rows == [(i, k, w) for i, t in zip(ids, texts) for k, w in enumerate(dict.fromkeys((sp.BLANK + t.replace(" ", sp.BLANK)).split()))]
