@@ -117,7 +117,13 @@ def tables_of(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def stamped_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {s: stamp_source(df, s) for s, df in source_tables(spark, sf).items()}
+    """The sources of the postings, whose tables are joined and written once for all of them."""
+    columns = (
+        "k3", "k4", "data_source", "job_title", "employer_name", "location_state", "annual_salary", "year", "job_url", "seniority_level", "education",
+        "estimated_yoe", "skills",
+    )
+    rows = written_once(paid(spark, sf).select(*columns), "postings")
+    return {s: stamp_source(df, s) for s, df in tables_of(rows).items()}
 
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:
