@@ -12,7 +12,7 @@ from ..functions.words import flag, hits, strip
 from ..session import written_once
 from .broadcasts import one_row
 from .features import skills_text
-from .ranking import distribution, distribution_of_counts
+from .ranking import GROUP_ROWS, distribution, distribution_of_counts, distribution_of_groups
 
 SALARY = "annual_salary"
 EDA_LOW, EDA_HIGH = 30000.0, 1000000.0
@@ -414,25 +414,20 @@ def skill_cooccurrence(df: DataFrame, top: int = 20) -> DataFrame:
     )
 
 
-def percentile_reports(df: DataFrame, groups: dict[str, Column], value: Column, percentiles: dict[str, float] = QUARTILES) -> DataFrame:
+def percentile_reports(
+    df: DataFrame, groups: dict[str, Column], value: Column, percentiles: dict[str, float] = QUARTILES, most: int = GROUP_ROWS
+) -> DataFrame:
     """All grouped percentile reports at once, in long form: report, group_value, n, mean and the percentiles.
 
-    One pass expands each row into a cell per report and counts equal (report, group, value) cells map side; means come from those counts and all
-    percentiles from one ``distribution`` over them with the report as a key.  A null group is left out of its report; a null or NaN
-    value out of all.
+    The group columns and values are written once; each reading expands a row into a cell per report, and ``distribution_of_groups`` moves the cells
+    of small groups once and those of large groups as counts.  A null group is left out of its report; a null or NaN value out of all.
     """
-    cells = F.array(*[F.struct(F.lit(name).alias("report"), group.cast("string").alias("group_value")) for name, group in groups.items()])
-    v = value.cast("double")
-    long = df.select(v.alias("v"), F.explode(cells).alias("c")).select("c.report", "c.group_value", "v")
-    counted = written_once(
-        long.where(F.col("group_value").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
-        .groupBy("report", "group_value", "v").agg(F.count(F.lit(1)).alias("c")),
-        "cells",
-    )
-    by = ["report", "group_value"]
-    means = counted.groupBy(*by).agg((F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"))
-    ranked = distribution_of_counts(counted, by, "v", "c", percentiles)
-    return ranked.join(means, by).select(*by, "n", "mean", *percentiles)
+    v, named = value.cast("double"), {f"g{i}": name for i, name in enumerate(groups)}
+    kept = df.select(v.alias("v"), *[group.cast("string").alias(c) for c, group in zip(named, groups.values())])
+    rows = written_once(kept.where(F.col("v").isNotNull() & ~F.isnan("v")), "cells")
+    cells = F.array(*[F.struct(F.lit(name).alias("report"), F.col(c).alias("group_value")) for c, name in named.items()])
+    long = rows.select("v", F.explode(cells).alias("c")).select("c.report", "c.group_value", "v").where(F.col("group_value").isNotNull())
+    return distribution_of_groups(long, ["report", "group_value"], "v", percentiles, most, "cells")
 
 
 # --- relations between numeric columns ---------------------------------------------------------------------

@@ -13,9 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written_once
+
 ONE = "__all"
 BUCKETS_PER_E = 8192
 PARTS = 4096
+GROUP_ROWS = 100_000
 
 
 def bucket(v: Column) -> Column:
@@ -66,11 +69,7 @@ def distribution(
     if percentiles:
         out = join_groups(out, _percentile_values(counted, groups, g, percentiles), g)
     columns = [F.col(c) for c in by] + [F.col(c) for c in ("n", *moments)]
-    for name, p in percentiles.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        columns.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*columns)
+    return out.select(*columns, *_interpolated(percentiles))
 
 
 def distribution_of_counts(counted: DataFrame, by: list[str], value: str, count: str, percentiles: dict[str, float]) -> DataFrame:
@@ -79,11 +78,50 @@ def distribution_of_counts(counted: DataFrame, by: list[str], value: str, count:
     groups = _locate(cells, by, percentiles)
     out = join_groups(groups.select(*by, "n"), _percentile_values(cells, groups, by, percentiles), by)
     columns = [F.col(c) for c in (*by, "n")]
+    return out.select(*columns, *_interpolated(percentiles))
+
+
+def distribution_of_groups(
+    df: DataFrame, by: list[str], value: str, percentiles: dict[str, float], most: int = GROUP_ROWS, tag: str = "groups"
+) -> DataFrame:
+    """``n``, mean and exact percentiles per group of rows that are read several times, so ``df`` should be a written table.
+
+    Keys and values are present and no value is NaN.  Groups are sized first, map side.  Those of at most ``most`` rows are dealt once
+    and ranked in a window of their own.  The others number less than the rows divided by ``most``, so what is known of them is sent to the
+    rows: these are counted per bucket map side, and only the values of the buckets that hold the wanted ranks are moved.
+    """
+    ranks = _ranks(percentiles)
+    v = F.col(value) + 0.0  # one zero
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"))
+    large = written_once(sizes.where(F.col("n") > most), tag)
+    listed = F.broadcast(large.select(*by))
+
+    own = Window.partitionBy(*by)
+    placed = df.join(listed, by, "left_anti").select(
+        *by, v.alias("__v"), (F.row_number().over(own.orderBy(v)) - 1).alias("__r"), F.count(F.lit(1)).over(own).alias("n")
+    )
+    small = placed.groupBy(*by).agg(
+        F.max("n").alias("n"), F.avg("__v").alias("mean"), *[F.max(F.when(F.col("__r") == r, F.col("__v"))).alias(f"__{k}") for k, r in ranks.items()]
+    )
+
+    cells = df.join(listed, by, "left_semi").select(*by, v.alias("__v"), F.lit(1).cast("bigint").alias("__c")).withColumn("__b", bucket(F.col("__v")))
+    groups = written_once(_locate(cells, by, percentiles), tag)
+    wanted = _wanted(groups, by, percentiles)
+    held = [*by, "__b", "n", "__off", "__lo", "__hi"]
+    near = cells.join(F.broadcast(wanted), [*by, "__b"]).groupBy(*held, "__v").agg(F.sum("__c").alias("__c"))
+    values = _ranked_values(written_once(near, tag), by, percentiles)
+    big = large.join(values, by).select(small.columns)
+    return small.unionByName(big).select(*by, "n", "mean", *_interpolated(percentiles))
+
+
+def _interpolated(percentiles: dict[str, float]) -> list[Column]:
+    """Each percentile from the values at its two ranks."""
+    columns = []
     for name, p in percentiles.items():
         pos = F.lit(float(p)) * (F.col("n") - 1)
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         columns.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*columns)
+    return columns
 
 
 def _ranks(percentiles: dict[str, float]) -> dict[str, Column]:
@@ -118,14 +156,23 @@ def _locate(counted: DataFrame, g: list[str], percentiles: dict[str, float]) ->
 
 def _percentile_values(counted: DataFrame, groups: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
     """Per group the values at the wanted ranks."""
-    ranks = _ranks(percentiles)
-    places = F.array_distinct(F.array(*[F.col(f"__at_{k}") for k in ranks]))
-    wanted = groups.select(*g, "n", F.explode(places).alias("__p")).select(
+    return _ranked_values(join_groups(counted, _wanted(groups, g, percentiles), [*g, "__b"]), g, percentiles)
+
+
+def _wanted(groups: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
+    """Per group the buckets that hold its wanted ranks."""
+    places = F.array_distinct(F.array(*[F.col(f"__at_{k}") for k in _ranks(percentiles)]))
+    return groups.select(*g, "n", F.explode(places).alias("__p")).select(
         *g, "n", *[F.col(f"__p.{c}").alias(f"__{c}") for c in ("b", "off", "lo", "hi")]
     )
+
+
+def _ranked_values(near: DataFrame, g: list[str], percentiles: dict[str, float]) -> DataFrame:
+    """Per group the values at the wanted ranks, from the counted values ``near`` of the buckets that hold them."""
+    ranks = _ranks(percentiles)
     width = F.col("__hi") - F.col("__lo")
     part = F.when(width > 0, F.least(F.lit(PARTS - 1), F.floor((F.col("__v") - F.col("__lo")) / width * PARTS)))
-    fine = join_groups(counted, wanted, [*g, "__b"]).withColumn("__part", F.coalesce(part, F.lit(0)))
+    fine = near.withColumn("__part", F.coalesce(part, F.lit(0)))
     before = Window.partitionBy(*g, "__b").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = fine.groupBy(*g, "__b", "n", "__off", "__part").agg(F.sum("__c").alias("__pc"))
     parts = parts.withColumn("__from", F.col("__off") + F.coalesce(F.sum("__pc").over(before), F.lit(0)))

@@ -249,6 +249,20 @@ def test_distribution_offsets_near_values_and_gaps(spark):
     assert (got[None].n, got[None].median) == (2, 6.0)
 
 
+def test_percentile_reports_move_small_groups_once_and_large_ones_as_counts(spark):
+    rows = values() + [(i, "near", 7.0 + i * 1e-9) for i in range(500)] + [(i, "nan", float("nan")) for i in range(3)]
+    df = spark.createDataFrame(rows, "i int, g string, v double")
+    want = pd.DataFrame(rows, columns=["i", "g", "v"])
+    want = pd.concat([want.assign(report="by_g"), want.assign(report="overall", g="all")]).dropna().groupby(["report", "g"])["v"]
+    for most in (0, 100, 10**6):  # all groups large, some, none
+        out = p.percentile_reports(df, {"by_g": F.col("g"), "overall": F.lit("all")}, F.col("v"), {"q1": 0.25, "median": 0.5, "p99": 0.99}, most)
+        got = {(r.report, r.group_value): r for r in out.collect()}
+        assert set(got) == {k for k, _ in want} and out.columns == ["report", "group_value", "n", "mean", "q1", "median", "p99"]
+        for k, x in want:
+            assert got[k].n == len(x) and got[k]["mean"] == pytest.approx(x.mean())
+            assert [got[k].q1, got[k].median, got[k].p99] == pytest.approx([x.quantile(q) for q in (0.25, 0.5, 0.99)], rel=1e-14)
+
+
 def test_building_a_distribution_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy", "lazy")
