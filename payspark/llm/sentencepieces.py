@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Encoding.  Texts are cut into words where no piece can cross; every distinct word of the corpus is encoded once.  Its substrings up to
+Encoding.  Texts are cut into words wherever no piece can cross, that is between two characters that no piece holds side by side; every
+distinct word of the corpus is encoded once.  Pieces that their own best split beats in score are on no best path and are left out first.  A word's substrings up to
 the longest piece are exploded and met with the piece table by an equi-join; the edges found, packed into one long each, are grouped by word
 and folded with Spark's ``aggregate`` into the path of the best summed score: the edges come in the order of their ends, each is touched
 once, and the state holds the scores of the last positions that a piece can reach back to.  Characters without a piece become the model's byte
@@ -8,8 +9,8 @@ pieces.  Words are spread over tasks by the size of their lattices, and a word o
 time in proportion to its length.  ``fold="merges"`` gives instead the ids that a BPE model's own library gives, which the best path of its
 scores is not: the words go through the model's merges, best score first.
 
-Words come back to their documents in two ways: the frequent ones, at most ``hot``, as a dictionary sent to the tasks; all others by shuffle
-joins on the word and then on the document.
+Words come back to their documents in two ways: the frequent ones, at most ``hot``, as a dictionary sent to the tasks; all others by a join on the
+word.  Documents are taken in blocks of neighbours: a block names each of its rare words once, and its texts are moved once, compressed.
 
 Decoding joins nothing: each id's bytes are looked up in one array of pieces and the bytes of a document are decoded together.
 
@@ -21,10 +22,13 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +38,19 @@ from .common import UID, stage, text_of
 from .exact_dedup import arrow_schema
 
 BLANK = "▁"
-HOT_WORDS = 100_000
-COUNTED_WORDS = 300_000
+HOT_WORDS = 400_000
+RUNS = regex.compile(rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n").findall
+#: Blank-separated units, and characters read, that a task counts before it gives out their words.
+COUNTED_UNITS, COUNTED_CHARS = 500_000, 64_000_000
 #: Starts of a word that are exploded together, positions whose choices are kept in one array, and substrings for one task.
 WINDOW = 256
 RUN = 64
 TASK_SUBSTRINGS = 2_000_000
 #: Documents whose words, rare words and ids a task holds as Python objects at a time.
 HELD_ROWS = 500
+#: A block of documents ends with the row that reaches one of these.
+BLOCK_BYTES = 16_000_000
+BLOCK_ROWS = 16_384
 #: An edge in one long: its end above bit 32, its size above bit 24, and an id or, under the flag, a character without a piece.
 END_BIT, SIZE_BIT, UNKNOWN = 32, 24, 1 << 23
 NORMAL, BYTE, UNIGRAM, BPE = 1, 6, 1, 2
@@ -100,27 +109,98 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, HELD_ROWS)
 
 
-def _count_words(pattern: str):
-    """Words of a task's texts with their counts, given out whenever COUNTED_WORDS are held."""
+def _units(text: str) -> list[str]:
+    """The text between its single blanks, which stand before each unit but one that starts with a line's end.
+
+    A text in which blanks meet is cut before runs of blanks and at its lines' ends; such units are marked by one more blank character.
+    """
+    if not text:
+        return []
+    spaced = text.replace(BLANK, " ").replace("\n", " \n")
+    if spaced[0] == " " or "  " in spaced:
+        return [BLANK + u for u in RUNS(BLANK + text.replace(" ", BLANK))]
+    return spaced.split(" ")
+
+
+def _different_units(texts: list[str]) -> list[str]:
+    units: dict[str, None] = {}
+    for t in texts:
+        units.update(dict.fromkeys(_units(t)))
+    return [*units]
+
+
+def neighbours(pieces: list[tuple[int, str, float]]) -> np.ndarray:
+    """All pairs of characters that some piece holds side by side, in order."""
+    return np.array(sorted({ord(a) << 32 | ord(b) for _, p, _ in pieces for a, b in zip(p, p[1:])}), np.uint64)
+
+
+def _cut(units: list[str], joined: np.ndarray) -> tuple[list[str], list[int]]:
+    """The words of all units, cut between characters that no piece joins, and where each unit's words start and the last ones end."""
+    if not units:
+        return [], [0]
+    texts = [u[1:] if u.startswith(BLANK) else u if u.startswith("\n") else BLANK + u for u in units]
+    whole = "".join(texts)
+    codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    pairs = codes[:-1] << np.uint64(32) | codes[1:]
+    starts = np.cumsum([0, *map(len, texts)])
+    apart = np.ones(len(codes) + 1, bool)
+    if len(joined):
+        apart[1:-1] = joined[np.minimum(np.searchsorted(joined, pairs), len(joined) - 1)] != pairs
+    apart[starts] = True
+    ends = np.flatnonzero(apart)
+    at = ends.tolist()
+    return [whole[a:b] for a, b in zip(at, at[1:])], np.searchsorted(ends, starts).tolist()
+
+
+def _different_words(joined: np.ndarray) -> Callable[[list[str]], list[str]]:
+    """Words of several texts in the order of their first units; a word may come again."""
+    return lambda texts: _cut(_different_units(texts), joined)[0]
+
+
+def _count_words(joined: np.ndarray):
+    """Words of a task's texts with their counts, given out whenever COUNTED_UNITS are held or COUNTED_CHARS are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, counts = _find_words(pattern), Counter()
+        units, read = Counter(), 0
 
         def told() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["word", "n"])
-            counts.clear()
-            return out
+            words, starts = _cut([*units], joined)
+            counts: dict[str, int] = {}
+            for w, n in zip(words, np.repeat([*units.values()], np.diff(starts)).tolist()):
+                counts[w] = counts.get(w, 0) + n
+            units.clear()
+            return pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["word", "n"])
 
         for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
-                counts.update(find(text))
-                if len(counts) > COUNTED_WORDS:
+                units.update(_units(text))
+                read += len(text)
+                if len(units) > COUNTED_UNITS or read > COUNTED_CHARS:
                     yield told()
+                    read = 0
         yield told()
 
     return run
 
 
+def needed_pieces(model: PieceModel) -> list[tuple[int, str, float]]:
+    """The pieces that can be on a best path: those whose own best split into others does not beat them."""
+    score_of = {p: score for _, p, score in model.pieces}
+
+    def split(piece: str) -> float:
+        best = [0.0] + [float("-inf")] * len(piece)
+        for end in range(1, len(piece) + 1):
+            for start in range(end):
+                part = piece[start:end]
+                if len(part) < len(piece):
+                    own = score_of.get(part, model.unknown_score if end - start == 1 else float("-inf"))
+                    best[end] = max(best[end], best[start] + own)
+        return best[-1]
+
+    # a margin for the rounding of sums
+    return [(i, p, score) for i, p, score in model.pieces if len(p) == 1 or split(p) <= score + 1e-9 * abs(score)]
+
+
 def lattice(words: DataFrame, model: PieceModel) -> DataFrame:
     """``wid``, ``word`` and its edges, packed and in the order of their ends; ``words`` has wid and word, one row each.
 
@@ -170,33 +250,32 @@ def best_path(model: PieceModel) -> Column:
     score_of = F.split(F.lit(",".join(map(repr, scores))), ",").cast("array<double>")
     longs = F.array().cast("array<bigint>")
     start = F.struct(
-        F.lit(1).cast("bigint").alias("at"), F.lit(float("-inf")).alias("score"), F.lit(0).cast("bigint").alias("choice"),
-        F.array(F.lit(0.0)).alias("back"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"),
+        F.struct(F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("edge")).alias("best"),
+        F.array().cast("array<double>").alias("back"), longs.alias("tail"), F.array(longs).cast("array<array<bigint>>").alias("full"),
     )
 
     def step(state: Column, edge: Column) -> Column:
-        end, choice = F.shiftright(edge, END_BIT), edge.bitwiseAND((1 << END_BIT) - 1)
-        size, piece = F.shiftright(choice, SIZE_BIT).cast("int"), choice.bitwiseAND((1 << SIZE_BIT) - 1)
-        own = F.when(piece >= UNKNOWN, F.lit(model.unknown_score)).otherwise(F.get(score_of, piece.cast("int")))
-        score, back = state["score"], state["back"]
-        reached = F.get(back, size - 1) + own
-        better = F.struct(
-            state["at"].alias("at"), reached.alias("score"), choice.alias("choice"), back.alias("back"), state["tail"].alias("tail"), state["full"].alias("full")
-        )
-        longer = F.array_prepend(back, score)
+        """Of the edges with one end that of size 1 comes first, and every end has it; ``back`` has the scores before the end, nearest first."""
+        size = F.shiftright(edge, SIZE_BIT).bitwiseAND(255).cast("int")
+        # a character without a piece is beyond the scores
+        own = F.coalesce(F.get(score_of, edge.bitwiseAND((1 << SIZE_BIT) - 1).cast("int")), F.lit(model.unknown_score))
+        best, back = state["best"], state["back"]
+        longer = F.array_prepend(back, best["score"])
         later = F.struct(
-            end.alias("at"), (F.when(size == 1, score).otherwise(F.get(back, F.greatest(size - 2, F.lit(0)))) + own).alias("score"), choice.alias("choice"),
-            F.when(F.size(back) < 2 * model.longest, longer).otherwise(F.slice(longer, 1, model.longest)).alias("back"), *_kept(state, state["choice"]),
+            F.struct((best["score"] + own).alias("score"), edge.alias("edge")).alias("best"),
+            F.when(F.size(back) < 2 * model.longest, longer).otherwise(F.slice(longer, 1, model.longest)).alias("back"), *_kept(state, best["edge"]),
         )
-        # at one end the edges come by size, so that of equal scores the later edge is the longer one
-        return F.when(end != state["at"], later).when(reached >= score, better).otherwise(state)
+        # of equal scores the greater edge is the longer one
+        reached = F.struct((F.get(back, size - 1) + own).alias("score"), edge.alias("edge"))
+        same = F.struct(F.greatest(best, reached).alias("best"), back.alias("back"), state["tail"].alias("tail"), state["full"].alias("full"))
+        return F.when(size == 1, later).otherwise(same)
 
     def choices(state: Column) -> Column:
-        return F.array_append(_all(state), state["choice"])
+        return F.slice(F.array_append(_all(state), state["best"]["edge"]), 2, 1 << 30)
 
     def back_step(state: Column, choice: Column) -> Column:
         passed = F.struct((state["skip"] - 1).alias("skip"), state["tail"].alias("tail"), state["full"].alias("full"))
-        taken = F.struct((F.shiftright(choice, SIZE_BIT) - 1).alias("skip"), *_kept(state, choice.bitwiseAND((1 << SIZE_BIT) - 1)))
+        taken = F.struct((F.shiftright(choice, SIZE_BIT).bitwiseAND(255) - 1).alias("skip"), *_kept(state, choice.bitwiseAND((1 << SIZE_BIT) - 1)))
         return F.when(state["skip"] > 0, passed).otherwise(taken)
 
     def taken(chosen: Column) -> Column:
@@ -267,14 +346,41 @@ def encode_words(words: DataFrame, model: PieceModel, fold: str = "best") -> Dat
         return words.select("word").mapInArrow(_merged(model), "word string, ids array<int>")
     if "wid" not in words.columns:
         words = stage(words.select("word", F.monotonically_increasing_id().alias("wid")), "words")
+    needed = needed_pieces(model)
+    model = replace(model, pieces=needed, longest=max(len(p) for _, p, _ in needed))
     return lattice(words.select("wid", "word"), model).select("word", best_path(model).alias("ids"))
 
 
-def _rare_words(pattern: str, hot):
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Neighbouring rows (row, id, text) of a task together, cut by the sizes of the texts alone."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        start = 0
+        for at, n in enumerate(pc.binary_length(batch.column(2)).to_pylist(), 1):
+            size, rows = size + n, rows + 1
+            if size >= BLOCK_BYTES or rows >= BLOCK_ROWS:
+                yield pa.Table.from_batches([*held, batch.slice(start, at - start)])
+                held, size, rows, start = [], 0, 0, at
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, ids and texts compressed); a block has the number of its first row."""
+    for table in _blocks(batches):
+        sink, kept = pa.BufferOutputStream(), table.select([1, 2])
+        with pa.ipc.new_stream(sink, kept.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
+            out.write_table(kept.combine_chunks())
+        yield pa.RecordBatch.from_arrays([pa.array([table.column(0)[0].as_py()], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "packed"])
+
+
+def _rare_words(pattern: str, hot, words_of: Callable | None = None):
     """(row, k, word) for the k-th different word of a text that is not in the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known = _find_words(pattern), hot.value
+        find, known = words_of or _find_words(pattern), hot.value
         for batch in _slices(batches):
             uids, places, words = [], [], []
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -287,22 +393,48 @@ def _rare_words(pattern: str, hot):
     return run
 
 
-def _stitch(pattern: str, hot, schema: pa.Schema):
-    """A document's words, from the dictionary or from its own rare words in the order of their first places, one after the other."""
+def _rare_words_of_blocks(pattern: str, hot, joined: np.ndarray):
+    """``_rare_words`` of whole blocks, each as one row of many texts."""
+    rare = _rare_words(pattern, hot, _different_words(joined))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _blocks(batches):
+            texts = pa.array([table.column(2).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([table.column(0).combine_chunks()[:1], texts], [UID, "t"])
+
+    return lambda batches: rare(rows(batches))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known = _find_words(pattern), hot.value
-        for b in _slices(batches):
-            out = []
-            for text, rare in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                ids: list[int] = []
-                found = find(text)
-                ids_of = {r["k"]: r["ids"] for r in rare or ()}
-                own = {w: ids_of[k] for k, w in enumerate(dict.fromkeys(w for w in found if w not in known))}
-                for w in found:
-                    ids += known.get(w) or own[w]
-                out.append(ids)
-            yield pa.record_batch([b.column(0), pa.array(out, pa.list_(pa.int32()))], schema=schema)
+
+def _ids_as_bytes(ids: pa.ChunkedArray) -> list[bytes]:
+    """Each list's 32-bit ids as bytes."""
+    out = []
+    for chunk in ids.chunks:
+        flat, ends = memoryview(chunk.values.to_numpy()).cast("B"), [4 * e for e in chunk.offsets.to_pylist()]
+        out += [bytes(flat[a:b]) for a, b in zip(ends, ends[1:])]
+    return out
+
+
+def _stitch(hot, joined: np.ndarray, schema: pa.Schema):
+    """A block's documents: the ids of their words, from the dictionary or from the block's rare words, one after the other."""
+
+    def run(packed: pa.Table, rare: pa.Table) -> pa.Table:
+        known, places = hot.value, {}
+        ids_of = dict(zip(rare.column("k").to_pylist(), _ids_as_bytes(rare.column("ids"))))
+        found = pa.ipc.open_stream(packed.column("packed")[0].as_buffer()).read_all()
+        texts = found.column(1).to_pylist()
+
+        def ids(word: str) -> bytes:
+            return known[word] if word in known else ids_of[places.setdefault(word, len(places))]
+
+        units = _different_units(texts)
+        words, starts = _cut(units, joined)
+        spelled = [ids(w) for w in words]
+        of = {u: b"".join(spelled[a:b]) for u, a, b in zip(units, starts, starts[1:])}
+        rows = [b"".join([of[u] for u in _units(t)]) for t in texts]
+        ends = [0, *accumulate(len(r) // 4 for r in rows)]
+        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(rows))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        return pa.Table.from_arrays([found.column(0).cast(schema.field(0).type), lists.cast(schema.field(1).type)], schema=schema)
 
     return run
 
@@ -325,21 +457,20 @@ def encode(
     spark = df.sparkSession
     uid = F.col(UID) if UID in df.columns else F.monotonically_increasing_id().alias(UID)
     docs = df.select(uid, F.col(id_col), text_of(text).alias("t"))
-    met = docs.select("t").mapInArrow(_count_words(model.word_pattern), "word string, n bigint")
+    # the merges may take any piece on their way
+    joined = neighbours(model.pieces if fold == "merges" else needed_pieces(model))
+    met = docs.select("t").mapInArrow(_count_words(joined), "word string, n bigint")
     counted = met.groupBy("word").agg(F.sum("n").alias("n"))
     counted = stage(counted.withColumn("wid", F.monotonically_increasing_id()), "words")
     encoded = stage(encode_words(counted, model, fold), "encoded")
     top = encoded.join(frequent(counted, hot_words).select("word"), "word").toArrow()
-    hot = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("ids").to_pylist())))
-    # rare words of a document: no word here is frequent, so neither join meets a hot key
-    pairs = docs.select(UID, "t").mapInArrow(_rare_words(model.word_pattern, hot), f"{UID} bigint, k int, word string")
-    # dealt before they are gathered: single rows are smaller on their way than lists of one
-    dealt = pairs.join(encoded, "word").select(UID, "k", "ids").repartition(UID)
-    rare = dealt.groupBy(UID).agg(F.collect_list(F.struct("k", "ids")).alias("rare"))
+    hot = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), _ids_as_bytes(top.column("ids")))))
+    # rare words of a block: no word here is frequent, so neither join meets a hot key
+    pairs = docs.mapInArrow(_rare_words_of_blocks(model.word_pattern, hot, joined), f"{UID} bigint, k int, word string")
+    rare = pairs.join(encoded, "word").select(F.col(UID).alias("block"), "k", "ids")
+    packed = docs.mapInArrow(_packed_blocks, "block bigint, packed binary")
     schema = T.StructType().add(id_col, df.schema[id_col].dataType).add("ids", T.ArrayType(T.IntegerType()))
-    return docs.join(rare, UID, "left").select(id_col, "t", "rare").mapInArrow(
-        _stitch(model.word_pattern, hot, arrow_schema(spark, schema)), schema
-    )
+    return packed.groupBy("block").cogroup(rare.groupBy("block")).applyInArrow(_stitch(hot, joined, arrow_schema(spark, schema)), schema)
 
 
 def decode(ids: Column, model: PieceModel) -> Column:

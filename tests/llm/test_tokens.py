@@ -250,3 +250,46 @@ def test_rare_words_are_held_for_few_documents_at_a_time():
     assert len(given) >= 3
     rows = [r for b in given for r in zip(*(c.to_pylist() for c in b.columns))]
     assert rows == [(i, k, w) for i, t in zip(ids, texts) for k, w in enumerate(dict.fromkeys((sp.BLANK + t.replace(" ", sp.BLANK)).split()))]
+
+
+def test_texts_move_once_in_blocks_that_name_a_rare_word_once():
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    from payspark.llm import sentencepieces as sp
+
+    model = sp.load_model(PIECES)
+    joined, find = sp.neighbours(sp.needed_pieces(model)), sp._find_words(model.word_pattern)
+    texts = [t or "" for t in SENTENCES] + [" lead", "\nline", "end ", "a\n b \n\nc", "\x00 \x1c", "rare" * 3] * 50
+    for t in texts:  # cut further than the words of the pattern, and nowhere else
+        words, starts = sp._cut(sp._units(t), joined)
+        assert "".join(words) == "".join(find(t)) and len(words) >= len(find(t)) and starts[-1] == len(words)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts))), pa.array(texts)], ["u", "doc_id", "t"])
+    batches = [rows.slice(i, 40) for i in range(0, rows.num_rows, 40)]
+    given = [r for b in sp._rare_words_of_blocks(model.word_pattern, SimpleNamespace(value={}), joined)(batches) for r in b.to_pylist()]
+    assert {r[UID] for r in given} == {0} and len({r["word"] for r in given}) == len(given)
+    packed = list(sp._packed_blocks(batches))
+    assert len(packed) == 1 and packed[0].column(0).to_pylist() == [0]
+    assert pa.ipc.open_stream(packed[0].column(1)[0].as_buffer()).read_all().column("t").to_pylist() == texts
+
+
+def test_blocks_are_cut_by_their_rows_alone(docs, monkeypatch):
+    import pyarrow as pa
+
+    from payspark.llm import sentencepieces as sp
+
+    monkeypatch.setattr(sp, "BLOCK_BYTES", 50)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(90), pa.int64()), pa.array(range(90)), pa.array(["x" * (i % 30) for i in range(90)])], ["u", "i", "t"])
+    cuts = [[t.column(0).to_pylist() for t in sp._blocks([rows.slice(i, n) for i in range(0, 90, n)])] for n in (7, 90)]
+    assert cuts[0] == cuts[1] and sum(cuts[0], []) == [*range(90)] and len(cuts[0]) > 10
+
+
+def test_pieces_beaten_by_their_split_are_left_out():
+    model = sentencepieces.load_model(PIECES)
+    needed = {p for _, p, _ in sentencepieces.needed_pieces(model)}
+    assert len(needed) < len(model.pieces) / 2 and all(p in needed for _, p, _ in model.pieces if len(p) == 1)
+    rng = random.Random(3)
+    few = sentencepieces.replace(model, pieces=[x for x in model.pieces if x[1] in needed])
+    for _, p, _ in rng.sample(model.pieces, 300):
+        word = p + rng.choice(model.pieces)[1]
+        assert brute_viterbi(word, model) == brute_viterbi(word, few)
