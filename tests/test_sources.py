@@ -254,3 +254,30 @@ def test_no_whole_record_is_sorted_before_its_url_is_chosen(spark):
     assert sorted((x.job_url or "", x.position, len(x.description)) for x in out.collect()) == [("", "z", 500), ("u", "a", 500), ("v", "n", 500)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan  # the windows over all rows see the url and the order alone, and end in a written table
+
+
+def test_a_plain_tag_is_read_once_and_gives_what_the_parser_gives(monkeypatch):
+    rng = random.Random(5)
+    parts = [
+        "<ul>", "</ul>", "<li>", "</li>", "<li/>", "<div>", "</div>", "<br>", "5+ years", "&amp;", " ", "<!-- c -->", '<time datetime="d">', "<time>", "</time>",
+        '<a class="base-card__full-link" href="x&amp;y">', '<a class="base-card__full-link">', "</a>", '<img class="artdeco-entity-image" data-delayed-url="u">',
+        '<i class="salary"/>', '<i class="description__text salary">', '<b class="num-applicants__caption">', "</b>", '<li class="description__job-criteria-item">',
+        "Industries", '<i class="description__job-criteria-text">', "</i>", "<p class=odd>",
+    ] + [f'<i class="{c}">' for c in rules.CARD_CLASSES.values()]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))) for _ in range(500)] + [None, ""]
+
+    def read():
+        known, cards = {}, []
+        for page in pages:
+            parser = html._ListItems()
+            html._read(parser, page, known)
+            cards.append([html._card(item) for item in parser.items])
+        return cards, [html._detail(page or "", known) for page in pages]
+
+    seen, tag = [], html._tag
+    monkeypatch.setattr(html, "_tag", lambda raw: seen.append(raw) or tag(raw))
+    ours = read()
+    plain = [raw for raw in seen if tag(raw) is not None]
+    assert len(plain) == len({*plain})  # however often a tag comes, it is taken apart once
+    monkeypatch.setattr(html, "_tokens", lambda page, known: [] if not page else None)
+    assert ours == read()
