@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..session import written_once
+from . import cells
 from .features import align_features, numeric_matrix
 from .scoring import rank_importance, regression_metrics
 from .splits import row_hash
@@ -48,7 +49,8 @@ def _fit(df: DataFrame, features: list[str], target: str, params: dict | None) -
     params = {**rules.MODEL_PARAMS, **(params or {})}
     assembler = _assembler(features)
     ready = numeric_matrix(df, features, [F.col(target).cast("double").alias(LABEL)])
-    fitted = _estimator(params).fit(assembler.transform(ready).select(LABEL, "features"))
+    estimator = _estimator(params)
+    fitted = cells.fit(estimator, ready, features, LABEL) or estimator.fit(assembler.transform(ready).select(LABEL, "features"))
     weights = dict(zip(features, (float(x) for x in fitted.featureImportances.toArray())))
     return PayModel(PipelineModel([assembler, fitted]), features, weights, params)
 
