@@ -3,9 +3,9 @@
 All rows of a cell have one prediction, so with squared error a tree needs of them only how many it samples, the sum of their labels and that of
 their squares.  One pass over the rows gives these numbers per cell and tree, and the trees grow on cells; a level of a tree is then a few
 array operations instead of a job over all rows.  It is the fit of ``GBTRegressor``: a row is sampled by the draws of its place in its partition, a
-node tries the features drawn for it, cuts and ties are Spark's.  Only the order of summation differs, and cuts are looked for in all rows instead of
-a sample.  The engineered features are flags, codes and small numbers, so cells stay few as rows grow; where they do not, or where a fit asks for
-something else, ``fit`` gives None.
+node tries the features drawn for it.  Cuts are looked for in all rows instead of a sample, and of cuts that part a node's rows alike the first tried
+is taken, where Spark's choice hangs on rounding.  The engineered features are flags, codes and small numbers, so cells stay few as rows grow; where they
+do not, or where a fit asks for something else, ``fit`` gives None.
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ from ..session import work_path, written_once
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS_MOST = 50_000
+#: Fewer rows a cell do not repay the way by cells.
+ROWS_A_CELL = 10
+#: Decimals of a gain's share of its node's impurity: cuts that part the rows alike tie whatever the order of summation, and the first tried has it.
+GAIN_DIGITS = 10
 #: Trees whose sums come to the driver together.
 TREES_AT_ONCE = 20
 LANES, LANE_ROWS = 64, 64
@@ -246,19 +250,19 @@ def _grown(bins: np.ndarray, cuts: list[np.ndarray], sums: np.ndarray, p: dict,
         impurity = np.array([tree[n]["impurity"] for n in opened])[:, None, None]
         li, ri = _impurity(*left), _impurity(*right)
         all_rows = left[0] + right[0]
+        few = (left[0] < p["minInstancesPerNode"]) | (right[0] < p["minInstancesPerNode"]) | (np.arange(wide - 1) >= splits[:, None])
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = impurity - left[0] / all_rows * li - right[0] / all_rows * ri
-        few = (left[0] < p["minInstancesPerNode"]) | (right[0] < p["minInstancesPerNode"]) | (np.arange(wide - 1) >= splits[:, None])
-        gain = np.where(few | ~(gain >= p["minInfoGain"]), -np.inf, gain)
-        best = gain.argmax(axis=2) if wide > 1 else np.zeros(gain.shape[:2], int)
-        most = gain.max(axis=2, initial=-np.inf)
+            share = np.where(few | ~(gain >= p["minInfoGain"]) | ~(gain > 0), -np.inf, np.round(gain / impurity, GAIN_DIGITS))
+        best = share.argmax(axis=2) if wide > 1 else np.zeros(share.shape[:2], int)
+        most = share.max(axis=2, initial=-np.inf)
         grown = []
         for i, n in enumerate(opened):
             f = tried[i][int(most[i, tried[i]].argmax())]
-            if not most[i, f] > 0:
+            if most[i, f] == -np.inf:
                 continue
             b = int(best[i, f])
-            tree[n] |= {"leaf": False, "gain": float(most[i, f]), "feature": f, "bin": b, "cut": float(cuts[f][b])}
+            tree[n] |= {"leaf": False, "gain": float(gain[i, f, b]), "feature": f, "bin": b, "cut": float(cuts[f][b])}
             for child, side, own_impurity in ((2 * n, left, li), (2 * n + 1, right, ri)):
                 tree[child] = {"stats": side[:, i, f, b], "impurity": float(own_impurity[i, f, b]), "leaf": True, "gain": -1.0}
                 if level + 1 < p["maxDepth"] and abs(tree[child]["impurity"]) >= EPSILON:
@@ -324,7 +328,7 @@ def fit(estimator: GBTRegressor, ready: DataFrame, features: list[str], label: s
     odd = (F.col("y").isNull() | ~(F.abs("y") < float("inf"))).cast("int")
     found = written_once(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.max(odd).alias("odd")), "cells")
     size = found.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("odd").alias("odd")).first()
-    if not size.cells or size.cells > CELLS_MOST or size.odd:
+    if not size.cells or size.cells > CELLS_MOST or size.n < ROWS_A_CELL * size.cells or size.odd:
         return None
     known = found.select(*keys, "n").toArrow()
     values = np.column_stack([known.column(k).to_numpy() for k in keys]) + 0.0
@@ -375,3 +379,47 @@ def _model(estimator: GBTRegressor, spark, nodes: list[tuple], trees: int, n_fea
     spark.createDataFrame(described, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{at}/treesMetadata")
     spark.createDataFrame(nodes, NODES).coalesce(1).write.parquet(f"{at}/data")
     return GBTRegressionModel.load(at)
+
+
+# --- scores ---------------------------------------------------------------------------------------------------
+
+
+def scorer(model: GBTRegressionModel, spark):
+    """A function of an array of the model's features that gives its prediction; each different array of a task's rows is walked once."""
+    model.write().save(at := work_path(spark, "trees"))
+    d, split = F.col("nodeData"), F.col("nodeData.split")
+    saved = spark.read.parquet(f"{at}/data").select(
+        "treeID", d["id"].alias("id"), d["prediction"].alias("value"), d["leftChild"].alias("left"), d["rightChild"].alias("right"),
+        split["featureIndex"].alias("f"), F.get(split["leftCategoriesOrThreshold"], 0).alias("cut"), split["numCategories"].alias("kinds"),
+    ).orderBy("treeID", "id").toArrow()
+    if max(saved.column("kinds").to_pylist()) >= 0:
+        raise ValueError("the model has categorical features")
+    tree, left, right, feature, value = (saved.column(c).to_numpy() for c in ("treeID", "left", "right", "f", "value"))
+    roots = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
+    own, ends = np.arange(len(tree)), left < 0
+    # a leaf leads to itself
+    left, right = (np.where(ends, own, roots[tree] + side) for side in (left, right))
+    feature, cut = np.where(ends, 0, feature), np.where(ends, 0.0, np.array([c or 0.0 for c in saved.column("cut").to_pylist()]))
+    weights, depth = np.array(model.treeWeights), model.getMaxDepth()
+
+    def walk(x: np.ndarray) -> np.ndarray:
+        node, row = np.repeat(roots[None], len(x), axis=0), np.arange(len(x))[:, None]
+        for _ in range(depth):
+            node = np.where(x[row, feature[node]] <= cut[node], left[node], right[node])
+        return value[node] @ weights
+
+    @F.arrow_udf("double")
+    def score(features: pa.Array) -> pa.Array:
+        if not len(features):
+            return pa.array([], pa.float64())
+        x = features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1) + 0.0
+        if np.isnan(x).any():
+            raise ValueError("a feature is NaN")
+        data, wide = x.tobytes(), 8 * x.shape[1]
+        keys = [data[i : i + wide] for i in range(0, len(data), wide)]
+        place = {k: i for i, k in enumerate(keys)}
+        found = np.concatenate([walk(x[at]) for at in np.array_split(np.array([*place.values()]), len(place) // 1000 + 1)])
+        known = dict(zip(place, found.tolist()))
+        return pa.array([known[k] for k in keys], pa.float64())
+
+    return score

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -32,6 +33,10 @@ class PayModel:
     params: dict
     metrics: dict = field(default_factory=dict)
 
+    @cached_property
+    def scorer(self):
+        return cells.scorer(self.pipeline.stages[-1], SparkSession.active())
+
     @property
     def rmse(self) -> float:
         return self.metrics.get("train", {}).get("rmse", rules.DEFAULT_RMSE)
@@ -70,11 +75,11 @@ def train(
 
 
 def predict(model: PayModel, df: DataFrame, keep: Iterable[str] | None = None) -> DataFrame:
-    """Batch scores: aligned features through the pipeline, the kept columns plus ``prediction``."""
+    """Batch scores: aligned features through the model's trees, the kept columns plus ``prediction``."""
     keep = list(df.columns if keep is None else keep)
     # the feature columns may be among the kept ones, so the kept row travels as one struct
     aligned = align_features(df, model.features, [F.struct(*keep).alias("__row")] if keep else [])
-    scored = model.pipeline.transform(aligned)
+    scored = aligned.withColumn("prediction", model.scorer(F.array(*[F.col(f"`{f}`") for f in model.features])))
     return scored.select(*([F.col("__row.*")] if keep else []), "prediction")
 
 

@@ -30,7 +30,8 @@ def splits(model):
     {"maxIter": 23, "maxDepth": 4, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 3, "seed": 42},
     {"maxIter": 3, "maxDepth": 6, "maxBins": 8, "seed": -7},
 ])
-def test_trees_on_cells_are_those_of_the_rows(spark, params):
+def test_trees_on_cells_are_those_of_the_rows(spark, monkeypatch, params):
+    monkeypatch.setattr(cells, "ROWS_A_CELL", 1)
     df = rows(spark)
     estimator = GBTRegressor(featuresCol="features", labelCol="label", **params)
     table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
@@ -49,9 +50,25 @@ def test_fits_that_are_left_to_the_rows(spark, monkeypatch):
     assert cells.fit(fit(), df.withColumn("label", F.lit(None).cast("double")), FEATURES, "label") is None
     assert cells.fit(fit(), df.withColumn("a", F.lit(float("nan"))), FEATURES, "label") is None
     assert cells.fit(fit(), df.where("false"), FEATURES, "label") is None
+    assert cells.fit(fit(), df, FEATURES, "label") is None  # fewer than ten rows a cell
+    monkeypatch.setattr(cells, "ROWS_A_CELL", 1)
     grown = m.train(df, FEATURES, "label", params={"maxIter": 2, "maxDepth": 2})
     monkeypatch.setattr(cells, "CELLS_MOST", 5)
     assert cells.fit(fit(), df, FEATURES, "label") is None
     own = m.train(df, FEATURES, "label", params={"maxIter": 2, "maxDepth": 2})
     assert splits(grown.pipeline.stages[-1]) == splits(own.pipeline.stages[-1])
     assert grown.metrics["train"] == pytest.approx(own.metrics["train"])
+
+
+def test_scores_are_those_of_the_model(spark):
+    df = rows(spark, 300).withColumn("id", F.monotonically_increasing_id()).cache()
+    model = m.train(df, FEATURES, "label", params={"maxIter": 7, "maxDepth": 4})
+    ours = {r.id: r.prediction for r in m.predict(model, df, ["id"]).collect()}
+    theirs = {r.id: r.prediction for r in model.pipeline.transform(df).collect()}
+    assert ours.keys() == theirs.keys() and max(abs(ours[i] - theirs[i]) for i in ours) < 1e-6
+    assert len(m.predict(model, df, []).columns) == 1 and m.predict(model, df.where("false"), ["id"]).count() == 0
+    assert "ArrowEvalPython" in m.predict(model, df, ["id"])._jdf.queryExecution().executedPlan().toString()
+    # an absent feature counts as 0, a NaN is refused as the pipeline refuses it
+    assert m.predict(model, df.drop("d"), []).count() == 300
+    with pytest.raises(Exception, match="NaN"):
+        m.predict(model, df.withColumn("a", F.lit(float("nan"))), []).collect()
