@@ -114,3 +114,26 @@ def test_numbered_names_meet_by_their_rests(spark):
     longer = similar._rests(df, 0.85, partners=False).withColumnRenamed("text", "b")
     met = {(r.a, r.b) for r in shorter.join(longer, "h").select("a", "b").distinct().collect()}
     assert {(a, b) for a, b in want if len(b) <= similar.REST_LENGTH} <= met and len(met) < len(texts) ** 2 / 4
+
+
+def test_texts_look_for_longer_ones_and_share_two_segments_with_them(spark):
+    rng = random.Random(9)
+    pairs = []
+    for i in range(150):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(20, 60)))
+        other = text
+        for _ in range(len(text) // 5):  # as many errors as 0.8 permits
+            at = rng.randrange(len(other))
+            other = other[:at] + rng.choice(["", rng.choice("abxyz"), rng.choice("xyz") + other[at]]) + other[at + 1 :]
+        a, b = sorted((text, other), key=lambda t: (len(t), t))
+        if a != b and 1 - distance(a, b) / len(b) >= 0.8:
+            pairs.append((i, a, b))
+    assert len(pairs) > 100
+    df = spark.createDataFrame(pairs, "id int, a string, b string")
+    look = similar._looked_up(df.select(F.col("a").alias("text")).distinct(), 0.8, F.lit(60)).withColumnRenamed("text", "a")
+    index = similar._indexed(df.select(F.col("b").alias("text")).distinct(), 0.8).withColumnRenamed("text", "b")
+    met = df.join(look.join(index, ["i", "h"]), ["a", "b"]).groupBy("id").agg(F.count_distinct("i").alias("n"))
+    assert {r.id: r.n for r in met.collect() if r.n >= 2}.keys() == {i for i, _, _ in pairs}
+    # a text of the greatest length looks for its equals alone: 14 segments, each moved by at most 6 either way
+    long = spark.createDataFrame([("".join(rng.choice("abcdefgh") for _ in range(60)),) for _ in range(20)], "text string")
+    assert similar._looked_up(long, 0.8, F.lit(60)).count() <= 20 * 14 * 13
