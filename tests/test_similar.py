@@ -130,7 +130,7 @@ def test_texts_look_for_longer_ones_and_share_two_segments_with_them(spark):
             pairs.append((i, a, b))
     assert len(pairs) > 100
     df = spark.createDataFrame(pairs, "id int, a string, b string")
-    look = similar._looked_up(df.select(F.col("a").alias("text")).distinct(), 0.8, F.lit(60)).withColumnRenamed("text", "a")
+    look = similar._looked_up(df.select(F.col("a").alias("text")).distinct(), 0.8, F.lit(max(len(b) for _, _, b in pairs))).withColumnRenamed("text", "a")
     index = similar._indexed(df.select(F.col("b").alias("text")).distinct(), 0.8).withColumnRenamed("text", "b")
     met = df.join(look.join(index, ["i", "h"]), ["a", "b"]).groupBy("id").agg(F.count_distinct("i").alias("n"))
     assert {r.id: r.n for r in met.collect() if r.n >= 2}.keys() == {i for i, _, _ in pairs}
